@@ -138,10 +138,15 @@ def dedup(pairs: DataFrame, wobble: int = WOBBLE, exact: bool = False, optical:
     key = key or BLOCK
     wobble = 0 if exact else wobble
     kept = unique_pairs(pairs, wobble, exact, key)
-    if not optical:
-        verdict = kept.select("qname", F.lit("unique").alias("dup_class"))
-        return pairs.join(verdict, "qname", "left").withColumn("dup_class", F.coalesce("dup_class", F.lit("pcr")))
-    return _optical(pairs, kept, wobble, key)
+    if optical:
+        return _optical(pairs, kept, wobble, key)
+    return _judged(pairs, kept, key).withColumn("dup_class", F.coalesce("dup_class", F.lit("pcr")))
+
+
+def _judged(pairs: DataFrame, kept: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs with dup_class 'unique' or null; names spread the rows of a hot position."""
+    place = ["qname", *key, "p1", "p2"]
+    return pairs.join(kept.select(*place, F.lit("unique").alias("dup_class")), place, "left").select(*pairs.columns, "dup_class")
 
 
 def _optical(pairs: DataFrame, kept: DataFrame, wobble: int, key: list[str]) -> DataFrame:
@@ -157,8 +162,7 @@ def _optical(pairs: DataFrame, kept: DataFrame, wobble: int, key: list[str]) ->
     def cells(df: DataFrame) -> DataFrame:
         return df.withColumns({"_a": F.expr(f"p1 div {cell}"), "_b": F.expr(f"p2 div {cell}")})
 
-    verdict = kept.select("qname", F.lit("unique").alias("dup_class"))
-    judged = pairs.join(verdict, "qname", "left")
+    judged = _judged(pairs, kept, key)
     marked = cells(judged.where("dup_class is null"))
     site = [*key, "_a", "_b"]
     step = F.array(*[F.lit(i) for i in (-1, 0, 1)])

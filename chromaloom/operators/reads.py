@@ -71,96 +71,104 @@ def classify(alignments: DataFrame, single_end: bool = False, distance: str = "s
     ``rules='legacy'`` drops the strand, end and secondary tests and takes the mate that
     is farther from the lone end.
     """
-    carry_cols = [c for c in carry if c in alignments.columns]
-    groups = _groups(alignments, carry_cols)
-    rec = {i: F.get("r", F.lit(i - 1)) for i in range(1, MAX_RECORDS + 1)}
-    legacy = rules == "legacy"
     if rules not in ("current", "legacy"):
         raise ValueError(f"unknown rules: {rules}")
+    legacy = rules == "legacy"
+    carry_cols = [c for c in carry if c in alignments.columns]
+    rec = {i: F.get("r", F.lit(i - 1)) for i in range(1, MAX_RECORDS + 1)}
+    k = F.col("k")
 
     def apart(i: int, j: int) -> Column:
         return measures.genome_distance(rec[i]["c"], rec[i]["p"], rec[j]["c"], rec[j]["p"], distance)
 
-    def close(i: int, j: int) -> Column:
-        near = F.coalesce(apart(i, j) < NEAR, F.lit(False))
+    def near(i: int, j: int) -> Column:
+        close = F.coalesce(apart(i, j) < NEAR, F.lit(False))
         if legacy:
-            return near
-        return (near & (rec[i]["s"] != rec[j]["s"]) & (rec[i]["end"] != rec[j]["end"])
+            return close
+        return (close & (rec[i]["s"] != rec[j]["s"]) & (rec[i]["end"] != rec[j]["end"])
                 & (rec[i]["sec"] | rec[j]["sec"]))
 
-    def pick(a: Column, b: Column, b_inside: Column) -> Column:
-        return F.struct(a.alias("a"), b.alias("b"), b_inside["ip"].alias("inside"))
+    ends = [(i, j) for i in range(1, 5) for j in range(i + 1, 5)]
+    groups = _groups(alignments, carry_cols).withColumns({
+        **{f"near{i}{j}": near(i, j) for i, j in ends},
+        **{f"sec{i}": rec[i]["sec"] for i in rec},
+        "end12": rec[1]["end"] == rec[2]["end"], "end13": rec[1]["end"] == rec[3]["end"]})
+
+    def flag(name: str, i: int, j: int) -> Column:
+        return F.coalesce(F.col(f"{name}{i}{j}"), F.lit(False))
 
+    # a choice is three record numbers: end A, end B, and the record giving B's interior side
     def primary(i: int, j: int) -> Column:
-        return F.when(~rec[i]["sec"], rec[i]).otherwise(rec[j])
+        return F.when(F.col(f"sec{i}"), j).otherwise(i)
 
     def other(i: int, j: int) -> Column:
-        return F.when(~rec[i]["sec"], rec[j]).otherwise(rec[i])
+        return F.when(F.col(f"sec{i}"), i).otherwise(j)
 
-    def lone(b: int, i: int, j: int) -> Column:
-        if legacy:
-            far = F.coalesce(apart(i, b), F.lit(2 ** 62)) > F.coalesce(apart(j, b), F.lit(2 ** 62))
-            return pick(F.when(far, rec[i]).otherwise(rec[j]), rec[b], F.when(far, rec[j]).otherwise(rec[i]))
-        return pick(primary(i, j), rec[b], other(i, j))
+    def choice(a, b, inside) -> Column:
+        return F.array(*[x if isinstance(x, Column) else F.lit(x) for x in (a, b, inside)])
 
-    three_ok = close(1, 2) | close(1, 3) | close(2, 3)
-    three = (F.when(rec[1]["end"] == rec[2]["end"], lone(3, 1, 2))
-             .when(rec[1]["end"] == rec[3]["end"], lone(2, 1, 3))
-             .otherwise(lone(1, 2, 3)))
+    def lone(b: int, i: int, j: int) -> Column:
+        if not legacy:
+            return choice(primary(i, j), b, other(i, j))
+        far = F.coalesce(apart(i, b), F.lit(2 ** 62)) > F.coalesce(apart(j, b), F.lit(2 ** 62))
+        return choice(F.when(far, i).otherwise(j), b, F.when(far, j).otherwise(i))
 
     def crossed(i: int, j: int, m: int, n: int) -> Column:
-        return pick(primary(i, j), primary(m, n), other(m, n))
-
-    four = (F.when(close(1, 3) & close(2, 4), crossed(1, 3, 2, 4))
-            .when(close(1, 4) & close(2, 3), crossed(1, 4, 2, 3))
-            .when(close(1, 2) & close(3, 4), crossed(1, 2, 3, 4)))
+        return choice(primary(i, j), primary(m, n), other(m, n))
 
-    k = F.col("k")
     if single_end:
-        lead, tail = primary(1, 2), other(1, 2)
-        chosen = F.when(k == 2, pick(lead, tail, tail))
+        chosen = F.when(k == 2, choice(primary(1, 2), other(1, 2), other(1, 2)))
     else:
-        chosen = (F.when(k == 2, pick(rec[1], rec[2], rec[2]))
-                  .when((k == 3) & three_ok, three).when(k == 4, four))
-    picked = groups.withColumn("x", chosen)
-    a, b = F.col("x.a"), F.col("x.b")
-    both = a["mapped"] & b["mapped"]
-    alone_ok = F.lit(not legacy) & rec[1]["mapped"]
-    status = (F.when((k == 1) & alone_ok, "singleton")
-              .when((k == 1) & ~rec[1]["mapped"], "unmapped")
+        three = (k == 3) & (flag("near", 1, 2) | flag("near", 1, 3) | flag("near", 2, 3))
+        four = k == 4
+        chosen = (F.when(k == 2, choice(1, 2, 2))
+                  .when(three & flag("end", 1, 2), lone(3, 1, 2)).when(three & flag("end", 1, 3), lone(2, 1, 3))
+                  .when(three, lone(1, 2, 3))
+                  .when(four & flag("near", 1, 3) & flag("near", 2, 4), crossed(1, 3, 2, 4))
+                  .when(four & flag("near", 1, 4) & flag("near", 2, 3), crossed(1, 4, 2, 3))
+                  .when(four & flag("near", 1, 2) & flag("near", 3, 4), crossed(1, 2, 3, 4)))
+
+    def record(at: int) -> Column:
+        return F.get("r", F.get("x", F.lit(at)) - 1)
+
+    picked = groups.select("qname", "k", "r", *carry_cols, chosen.alias("x")).withColumns(
+        {"a": record(0), "b": record(1), "inside": record(2)["ip"]})
+    both = F.col("a.mapped") & F.col("b.mapped")
+    status = (F.when((k == 1) & ~rec[1]["mapped"], "unmapped")
+              .when((k == 1) & F.lit(not legacy), "singleton")
               .when(F.col("x").isNull(), "ambiguous")
               .when(~both, "unmapped")
               .when((k == 2) & F.lit(not single_end), "normal").otherwise("chimeric"))
-
-    def end(rec_: Column, strand: Column, inside: Column, outer: Column) -> Column:
-        at = inside if single_end else rec_["p"]
-        return F.struct(rec_["c"].alias("c"), strand.cast("int").alias("s"), rec_["p"].alias("rank"),
-                        at.alias("p"), inside.alias("ip"), outer.alias("ep"), rec_["q"].alias("q"),
-                        rec_["cigar"].alias("cigar"), rec_["rec_no"].alias("rec"))
-
-    b_strand = F.when(b["s"] == 0, 16).otherwise(0) if single_end else b["s"]
-    e1 = end(a, a["s"], a["ip"], a["p"])
-    e2 = end(b, b_strand, F.col("x.inside"), b["ep"] if single_end else b["p"])
-    paired = picked.withColumn("status", status).withColumns({
-        "e1": F.when(F.col("status").isin("normal", "chimeric"), e1),
-        "e2": F.when(F.col("status").isin("normal", "chimeric"), e2)})
-    def rank(e: str) -> Column:
-        return F.struct(F.col(f"{e}.c"), F.col(f"{e}.s"), F.col(f"{e}.rank"))
-    keep = rank("e1") <= rank("e2")
+    b_strand = F.when(F.col("b.s") == 0, 16).otherwise(0) if single_end else F.col("b.s")
+    judged = picked.withColumns({"status": status, "b_strand": b_strand.cast("int")})
+    paired = F.col("status").isin("normal", "chimeric")
+    first = F.struct("a.c", "a.s", "a.p") <= F.struct("b.c", "b_strand", "b.p")
+    ranked = judged.withColumn("keep", F.when(paired, first))
+
+    def at(letter: str) -> Column:
+        inside = F.col("a.ip") if letter == "a" else F.col("inside")
+        outer = F.col("b.ep") if single_end and letter == "b" else F.col(f"{letter}.p")
+        strand = F.col("b_strand") if letter == "b" else F.col("a.s")
+        block = inside if single_end else F.col(f"{letter}.p")
+        return F.struct(strand.cast("int").alias("s"), F.col(f"{letter}.c").alias("c"), block.alias("p"), inside.alias("ip"),
+                        outer.alias("ep"), F.col(f"{letter}.q").alias("q"), F.col(f"{letter}.cigar").alias("cigar"),
+                        F.col(f"{letter}.rec_no").alias("rec"))
+
+    sided = ranked.withColumns({"one": F.when(F.col("keep"), at("a")).when(~F.col("keep"), at("b")),
+                                "two": F.when(F.col("keep"), at("b")).when(~F.col("keep"), at("a"))})
     rt = (F.when(F.col("status") == "normal", 0)
           .when(F.col("status") == "chimeric", F.when(k == 2, 0).when(k == 3, 2).otherwise(4))
           .when(F.col("status") == "singleton", 7).when(F.col("status") == "ambiguous", 8))
-    out = []
-    for side, (yes, no) in (("1", ("e1", "e2")), ("2", ("e2", "e1"))):
-        for field in ("s", "c", "p", "ip", "ep", "q", "cigar", "rec"):
-            out.append(F.when(keep, F.col(f"{yes}.{field}")).otherwise(F.col(f"{no}.{field}")).alias(f"{field}{side}"))
+    out = {f"{f}{i}": F.col(f"{side}.{f}") for i, side in ((1, "one"), (2, "two"))
+           for f in ("s", "c", "p", "ip", "ep", "q", "cigar", "rec")}
     if single_end:
-        solo, one = F.col("status") == "singleton", rec[1]
-        block = {"s1": one["s"], "s2": one["s"], "c1": one["c"], "c2": one["c"],
-                 "p1": one["p"], "p2": cg.interior_pos(one["p"], one["cigar"], one["s"], F.lit(False))}
-        wide = paired.select("qname", "k", "status", rt.cast("int").alias("rt"), "r", *carry_cols, *out)
-        return wide.withColumns({n: F.when(solo, v).otherwise(F.col(n)) for n, v in block.items()}).drop("r")
-    return paired.select("qname", "k", "status", rt.cast("int").alias("rt"), *carry_cols, *out)
+        solo, only = F.col("status") == "singleton", rec[1]
+        block = {"s1": only["s"], "s2": only["s"], "c1": only["c"], "c2": only["c"], "p1": only["p"],
+                 "p2": cg.interior_pos(only["p"], only["cigar"], only["s"], F.lit(False))}
+        out.update({n: F.when(solo, v).otherwise(out[n]) for n, v in block.items()})
+    row = F.struct(F.col("status"), rt.cast("int").alias("rt"), *[v.alias(n) for n, v in out.items()])
+    # unpacked by a generator, so that filters on the result are not rewritten in terms of the records
+    return sided.select("qname", "k", *carry_cols, F.inline(F.array(row)))
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -69,7 +69,8 @@ def motif_positions(lines: DataFrame, motifs: str | tuple[str, ...]) -> DataFram
     # the first piece begins at a hit only when the text itself does
     first = F.col("text").rlike(f"^{pattern}")
     hits = F.filter(starts, lambda s: (s < F.length("seq")) & ((s > 0) | first))
-    return stitched.select("chrom", (F.col("offset") + F.explode(hits) + 1).alias("pos"))
+    return (stitched.select("chrom", "offset", F.explode(hits).alias("at"))
+            .select("chrom", (F.col("offset") + F.col("at") + 1).alias("pos")))
 
 
 def chrom_lengths(lines: DataFrame) -> DataFrame:
