@@ -102,7 +102,7 @@ def parental_contacts(phased: DataFrame, parent: str) -> DataFrame:
 def phased_snps(vcf: DataFrame, samples: list[str]) -> tuple[DataFrame, DataFrame]:
     """Phased heterozygous single-base sites per sample, and the sites left out.
 
-    Sites phased to equal alleles are in neither. The first allele is the paternal one.
+    Sites phased to the same allele number are in neither. The first allele is the paternal one.
     """
     sample = F.explode(F.array(*[F.struct(F.lit(s).alias("sample"), F.col(s).alias("gt")) for s in samples]))
     rows = vcf.select("chrom", "pos", "ref", "alt", sample.alias("x")).select("chrom", "pos", "ref", "alt", "x.*")
@@ -111,10 +111,12 @@ def phased_snps(vcf: DataFrame, samples: list[str]) -> tuple[DataFrame, DataFram
     single = F.forall(alleles, lambda a: F.length(a) == 1)
     phased = single & genotype.contains("|")
 
-    def allele(i: int) -> Column:
-        return F.get(alleles, F.split_part(genotype, F.lit("|"), F.lit(i)).try_cast("int"))
-
-    called = rows.where(phased).select("sample", "chrom", "pos", allele(1).alias("pat"), allele(2).alias("mat"))
-    return called.where(F.col("pat") != F.col("mat")), rows.where(~phased).select("sample", "chrom", "pos", "ref", "alt", "gt")
+    def number(i: int) -> Column:
+        return F.split_part(genotype, F.lit("|"), F.lit(i))
 
+    def allele(i: int) -> Column:
+        return F.get(alleles, number(i).try_cast("int"))
 
+    called = rows.where(phased & (number(1) != number(2)))
+    found = called.select("sample", "chrom", "pos", allele(1).alias("pat"), allele(2).alias("mat"))
+    return found, rows.where(~phased).select("sample", "chrom", "pos", "ref", "alt", "gt")

@@ -230,7 +230,8 @@ def library_complexity(unique: Column, total: Column) -> Column:
         F.struct(F.lit(1.0).alias("lo"), F.lit(100.0).alias("hi"), F.lit(False).alias("done")),
         lambda a, _: F.when(a["done"] | (f(a["hi"] * c) < 0), F.struct(
             a["lo"].alias("lo"), a["hi"].alias("hi"), F.lit(True).alias("done")))
-        .otherwise(F.struct(a["hi"].alias("lo"), (a["hi"] * 10.0).alias("hi"), F.lit(False).alias("done"))))
+        .otherwise(F.struct(a["hi"].alias("lo"), (a["hi"] * 10.0).alias("hi"), F.lit(False).alias("done"))),
+        lambda a: F.struct(a["lo"].alias("lo"), a["hi"].alias("hi"), F.lit(False).alias("done")))
 
     def halve(a: Column, _: Column) -> Column:
         mid = (a["lo"] + a["hi"]) / 2.0

@@ -215,10 +215,10 @@ walk as (select isl, rn, qname, [{{'a': p1, 'b': p2}}] as kept, false as dup fro
  select n.isl, n.rn, n.qname, case when len(list_filter(w.kept, lambda k: abs(k.a - n.p1) <= 4 and abs(k.b - n.p2) <= 4)) > 0 then w.kept
    else list_append(w.kept, {{'a': n.p1, 'b': n.p2}}) end, len(list_filter(w.kept, lambda k: abs(k.a - n.p1) <= 4 and abs(k.b - n.p2) <= 4)) > 0
  from walk w join n on n.isl = w.isl and n.rn = w.rn + 1),
-judged as (select n.*, w.dup from n join walk w on n.qname = w.qname),
-optical as (select a.qname, bool_or(not (a.tile = b.tile and abs(a.x - b.x) < 50 and abs(a.y - b.y) < 50)) as pcr from judged a join judged b on a.isl = b.isl
-  and a.dup and not b.dup and b.rn < a.rn and abs(a.p1 - b.p1) <= 4 and abs(a.p2 - b.p2) <= 4 group by a.qname),
-classes as (select j.qname, case when not dup then 'unique' when o.pcr then 'pcr' else 'optical' end as dup_class from judged j left join optical o on j.qname = o.qname)
+judged as (select n.*, w.dup from n join walk w on n.isl = w.isl and n.rn = w.rn),
+optical as (select a.isl, a.rn, bool_or(not (a.tile = b.tile and abs(a.x - b.x) < 50 and abs(a.y - b.y) < 50)) as pcr from judged a join judged b on a.isl = b.isl
+  and a.dup and not b.dup and b.rn < a.rn and abs(a.p1 - b.p1) <= 4 and abs(a.p2 - b.p2) <= 4 group by a.isl, a.rn),
+classes as (select j.qname, case when not dup then 'unique' when o.pcr then 'pcr' else 'optical' end as dup_class from judged j left join optical o on j.isl = o.isl and j.rn = o.rn)
 """
 
 
