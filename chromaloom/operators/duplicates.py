@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import flags, names
 from .pairs import BLOCK
-from .support import cut, lookup_join
+from .support import cut, cut_counting, lookup_join
 
 # fixed values: default wobble in bp and optical radius in pixels
 WOBBLE = 4
@@ -31,64 +31,73 @@ OPTICAL_RADIUS = 50
 
 
 def _tile_side(wobble: int) -> int:
-    return 16 * (wobble + 1)
+    return 32 * (wobble + 1)
 
 
-def _tiles(pos: Column, wobble: int, side: int) -> Column:
-    """Tiles that need to see a position: its own first, then those within the wobble."""
-    def near(p: Column) -> Column:
-        home = F.floor(p / side).cast("bigint")
-        low, high = p - home * side < wobble, (home + 1) * side - p <= wobble
-        return (F.when(low, F.array(home, home - 1)).when(high, F.array(home, home + 1))
-                .otherwise(F.array(home)))
+def _near_border(wobble: int, side: int, dims: int | None) -> Column:
+    """Whether a tile other than its own needs to see ``pos``."""
+    def test(p: str) -> str:
+        return f"({p} % {side} < {wobble} or {p} % {side} >= {side - wobble})"
 
-    start = F.array(F.array().cast("array<bigint>"))
-    return F.aggregate(pos, start, lambda acc, p: F.flatten(
-        F.transform(acc, lambda head: F.transform(near(p), lambda t: F.concat(head, F.array(t))))))
+    return F.expr(f"{test('pos[0]')} or {test('pos[1]')}" if dims == 2 else f"exists(pos, p -> {test('p')})")
 
 
-def _within(a: Column, b: Column, wobble: int) -> Column:
-    return F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) <= wobble), lambda ok: ok)
+def _spread(df: DataFrame, columns: list[str], wobble: int, side: int, dims: int | None) -> DataFrame:
+    """A row per tile that needs to see ``pos``: its own (``n`` = 0), then those within the wobble."""
+    def step(p: str) -> str:
+        return f"case when {p} % {side} < {wobble} then -1 when {p} % {side} >= {side - wobble} then 1 else 0 end"
 
+    if dims == 2:
+        flat = df.selectExpr(*columns, f"pos[0] div {side} as h0", f"pos[1] div {side} as h1",
+                             f"{step('pos[0]')} as d0", f"{step('pos[1]')} as d1")
+        # bit 1 of n moves along the first coordinate, bit 2 along the second
+        moves = """explode(case when d0 = 0 and d1 = 0 then array(0) when d1 = 0 then array(0, 1)
+                   when d0 = 0 then array(0, 2) else array(0, 1, 2, 3) end) as n"""
+        return flat.selectExpr(*columns, "h0", "h1", "d0", "d1", moves).selectExpr(
+            *columns, "n", "h0 + if(n in (1, 3), d0, 0) as t0", "h1 + if(n in (2, 3), d1, 0) as t1")
+    options = f"if(({step('p')}) = 0, array(p div {side}), array(p div {side}, p div {side} + ({step('p')})))"
+    tiles = f"""aggregate(pos, array(cast(array() as array<bigint>)),
+        (acc, p) -> flatten(transform(acc, head -> transform({options}, t -> concat(head, array(t))))))"""
+    return df.selectExpr(*columns, f"posexplode({tiles}) as (n, tile)")
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
+def _solve_tile(wobble: int, rep_type: str, dims: int | None) -> Column:
+    """Walk the ``points`` of one tile in order; returns its settled and open home points.
 
-def _solve_tile(points: Column, wobble: int, rep_type: str) -> Column:
-    """Walk one tile's points in order; returns its settled and open home points."""
-    none = F.array().cast(f"array<struct<pos:array<bigint>,rep:{rep_type},known:boolean>>")
-    reach = F.array().cast("array<array<bigint>>")
-    zero = F.struct(reach.alias("kept"), reach.alias("open"), none.alias("out"))
-    duplicate, keep, wait = 0, 1, 2
-
-    def step(acc: Column, x: Column) -> Column:
-        def hits(seen: Column) -> Column:
-            return F.exists(seen, lambda y: _within(y, x["pos"], wobble))
-
-        def grown(seen: Column) -> Column:
-            recent = F.filter(seen, lambda y: F.get(y, F.lit(0)) >= F.get(x["pos"], F.lit(0)) - wobble)
-            return F.concat(recent, F.array(x["pos"]))
-
-        fate = (F.when(x["known"], keep).when(hits(acc["kept"]), duplicate)
-                .when(x["home"] & ~hits(acc["open"]), keep).otherwise(wait))
-        return _let(fate, lambda f: F.struct(
-            F.when(f == keep, grown(acc["kept"])).otherwise(acc["kept"]).alias("kept"),
-            F.when(f == wait, grown(acc["open"])).otherwise(acc["open"]).alias("open"),
-            F.when((f != duplicate) & x["home"] & ~x["known"], F.concat(acc["out"], F.array(F.struct(
-                x["pos"].alias("pos"), x["rep"].alias("rep"), (f == keep).alias("known")))))
-            .otherwise(acc["out"]).alias("out")))
-
-    single = F.transform(points, lambda x: F.struct(
-        x["pos"].alias("pos"), x["rep"].alias("rep"), F.lit(True).alias("known")))
-    return F.when(F.size(points) == 1, single).otherwise(F.aggregate(points, zero, step, lambda acc: acc["out"]))
-
-
-def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | None = None) -> DataFrame:
+    ``kept`` and ``open`` hold the points still within reach of the walk, ``out`` the result.
+    """
+    if dims == 2:
+        near = f"abs(y[0] - x.pos[0]) <= {wobble} and abs(y[1] - x.pos[1]) <= {wobble}"
+    else:
+        near = f"forall(zip_with(y, x.pos, (a, b) -> abs(a - b) <= {wobble}), ok -> ok)"
+
+    def hits(seen: str) -> str:
+        return f"exists(acc.{seen}, y -> {near})"
+
+    def grown(seen: str, when: str) -> str:
+        recent = f"filter(acc.{seen}, y -> y[0] >= x.pos[0] - {wobble})"
+        return f"if(fate = '{when}', concat({recent}, array(x.pos)), acc.{seen})"
+
+    out = f"array<struct<pos:array<bigint>,rep:{rep_type},known:boolean>>"
+    return F.expr(f"""if(size(points) = 1, transform(points, x -> struct(x.pos as pos, x.rep as rep, true as known)),
+      aggregate(points,
+        struct(cast(array() as array<array<bigint>>) as kept, cast(array() as array<array<bigint>>) as open, cast(array() as {out}) as out),
+        (acc, x) -> transform(
+          array(case when x.known then 'keep' when {hits('kept')} then 'duplicate'
+                     when x.home and not {hits('open')} then 'keep' else 'wait' end),
+          fate -> struct(
+            {grown('kept', 'keep')} as kept, {grown('open', 'wait')} as open,
+            if(fate <> 'duplicate' and x.home and not x.known,
+               concat(acc.out, array(struct(x.pos as pos, x.rep as rep, fate = 'keep' as known))), acc.out) as out))[0],
+        acc -> acc.out))""")
+
+
+def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | None = None,
+                  dims: int | None = None) -> DataFrame:
     """Points that survive the rule; ``points`` has the key, ``pos`` (array) and ``rep``.
 
-    Positions must be distinct within a key. Works for any number of coordinates.
+    Positions must be distinct within a key. ``dims`` is the length of ``pos`` when it is the
+    same for all points.
     """
     if wobble == 0:
         return points
@@ -96,22 +105,32 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
     if side <= 2 * wobble:
         raise ValueError("tiles must be wider than twice the wobble")
     rep_type = points.schema["rep"].dataType.simpleString()
+    dims = dims if dims == 2 else None
+    tile = ["t0", "t1"] if dims == 2 else ["tile"]
+    columns = [*key, "pos", "rep", "known"]
+    border, solve = _near_border(wobble, side, dims), _solve_tile(wobble, rep_type, dims)
+
+    def spread(df: DataFrame) -> DataFrame:
+        return _spread(df, columns, wobble, side, dims)
+
     todo = points.withColumn("known", F.lit(False))
+    sent = spread(todo)
     found = []
     while True:
-        copies = todo.select(*key, "pos", "rep", "known", F.posexplode(_tiles(F.col("pos"), wobble, side)).alias("n", "tile"))
         home = F.col("n") == 0
-        # a settled point has nothing left to say in its own tile
-        useful = copies.where(~F.col("known") | ~home)
         entry = F.struct("pos", "known", home.alias("home"), F.when(home, F.col("rep")).alias("rep"))
-        tiles = (useful.groupBy(*key, "tile").agg(F.array_sort(F.collect_list(entry)).alias("points"))
+        tiles = (sent.groupBy(*key, *tile).agg(F.sort_array(F.collect_list(entry)).alias("points"))
                  .where(F.exists("points", lambda x: x["home"])))
-        solved = tiles.select(*key, F.explode(_solve_tile(F.col("points"), wobble, rep_type)).alias("x"))
-        settled = cut(solved.select(*key, "x.*"))
+        solved = tiles.select(*key, F.explode(solve).alias("x"))
+        settled, left = cut_counting(solved.select(*key, "x.*"), ~F.col("known"))
         found.append(settled.where("known").drop("known"))
-        if settled.where("not known").isEmpty():
+        if left == 0:
             return reduce(DataFrame.unionByName, found)
-        todo = settled
+        waiting = settled.where("not known")
+        # only tiles with open points go on; what was settled matters there as a neighbour
+        active = spread(waiting).where("n = 0").select(*key, *tile).distinct()
+        around = spread(settled.where(border)).where("n > 0").join(active, [*key, *tile], "left_semi")
+        sent = spread(waiting).where("n = 0").unionByName(around)
 
 
 def _folded(pairs: DataFrame, key: list[str], carry: tuple[str, ...]) -> DataFrame:
@@ -128,7 +147,7 @@ def unique_pairs(pairs: DataFrame, wobble: int = WOBBLE, exact: bool = False,
     the input. ``qname`` identifies a pair; equal positions keep the lowest name.
     """
     key = key or BLOCK
-    kept = greedy_unique(_folded(pairs, key, carry), key, 0 if exact else wobble)
+    kept = greedy_unique(_folded(pairs, key, carry), key, 0 if exact else wobble, dims=2)
     return kept.select(*key, F.get("pos", F.lit(0)).alias("p1"), F.get("pos", F.lit(1)).alias("p2"), "rep.*")
 
 

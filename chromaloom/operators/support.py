@@ -1,10 +1,11 @@
-"""Scale helpers: size-checked broadcast, salted lookups, reliable checkpoints."""
+"""Scale helpers: size-checked broadcast, salted lookups, intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Largest lookup table sent to every executor. Lookup rows are a few longs each.
@@ -39,24 +40,36 @@ def row_salt(columns: list[str], salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make reliable checkpoints available.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables, shared by all executors.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
+    without that setting gets a folder of its own.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="chromaloom-checkpoint-")
-    sc.setCheckpointDir(named)
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            named = tempfile.mkdtemp(prefix="chromaloom-checkpoint-")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    The lineage ends at the files, so a lost executor costs no recomputation, and later
+    steps read only the columns and rows they need and know the table's size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """``cut`` that also counts the rows meeting ``condition`` while they are written."""
+    seen = Observation()
+    table = cut(df.observe(seen, F.count_if(condition).alias("n")))
+    return table, seen.get["n"]

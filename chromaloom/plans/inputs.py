@@ -104,8 +104,16 @@ STATEMENTS = {
 SOURCE_TABLES = ("lineitem", "events", "part", "orders")
 
 
+# rows of a table are spread by these columns when its files make fewer splits than there are cores
+SPREAD = {"lineitem": ("l_orderkey", "l_partkey"), "events": ("event_id",), "part": ("p_partkey",), "orders": ("o_orderkey",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD and len(df.inputFiles()) < cores:
+        return df.repartition(cores, *SPREAD[name])
+    return df
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
