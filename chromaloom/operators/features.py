@@ -112,7 +112,9 @@ def local_expected(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int
     normalised value per diagonal. The mean enrichment of a surrounding times the pixel's
     own expectation, turned back into raw counts.
     """
-    pixels = values.where(F.col("value").isNotNull()).select("chrom", "b1", "b2", "n", "value")
+    lengths = sizes.select("chrom", (F.expr(f"length div {res}") + 1).alias("nb"))
+    known = values.where(F.col("value").isNotNull()).select("chrom", "b1", "b2", "n", "value")
+    pixels = lookup_join(known, lengths, ["chrom"], "inner", salt_from=["b1", "b2"]).where("b2 < nb")
     spread = _tiled(pixels, tile, w)
     tiles = spread.select("chrom", "ti", "tj").distinct()
     span = tile + 2 * w
@@ -120,7 +122,6 @@ def local_expected(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int
     seen = tiles.withColumn("d", F.explode(F.sequence(
         F.greatest((F.col("tj") - F.col("ti")) * tile - span, F.lit(0)), (F.col("tj") - F.col("ti")) * tile + span)))
     diagonals = lookup_join(seen, exp.select("d", "expected"), ["d"], "inner", salt_from=["ti", "tj"])
-    lengths = sizes.select("chrom", (F.expr(f"length div {res}") + 1).alias("nb"))
     rows = (spread.select("chrom", "ti", "tj", "b1", "b2", "n", "value")
             .unionByName(diagonals.select("chrom", "ti", "tj", F.lit(-1).cast("bigint").alias("b1"), F.col("d").alias("b2"),
                                           F.lit(0).cast("bigint").alias("n"), F.col("expected").alias("value"))))

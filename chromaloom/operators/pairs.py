@@ -118,21 +118,27 @@ def stack_ends(pairs: DataFrame, columns: list[str], keep: list[str] | None = No
     return pairs.select(*(keep or []), F.explode(ends).alias("e")).select(*(keep or []), "e.*")
 
 
+def _tie(pairs: DataFrame) -> list[str]:
+    """Names break ties, so that rows at one hot position still spread over tasks."""
+    return ["qname"] if "qname" in pairs.columns else []
+
+
 def sort_by_contact_block(pairs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range partitions in contact-block order, each sorted: a global order without one task."""
-    order = [*BLOCK, "p1", "p2"]
+    order = [*BLOCK, "p1", "p2", *_tie(pairs)]
     ranged = pairs.repartitionByRange(partitions, *order) if partitions else pairs.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
 
 def sort_by_chromosomes_first(pairs: DataFrame) -> DataFrame:
     """Older order: chromosomes, fragments, strands, first position."""
-    return pairs.orderBy("c1", "c2", "f1", "f2", "s1", "s2", "p1")
+    return pairs.orderBy("c1", "c2", "f1", "f2", "s1", "s2", "p1", "p2", *_tie(pairs))
 
 
 def merge_sorted(parts: list[DataFrame]) -> DataFrame:
-    """Union of contact lists ordered by chromosome pair."""
-    return merge_experiments(parts).orderBy("c1", "c2")
+    """Union of contact lists ordered by chromosome pair, then by position."""
+    merged = merge_experiments(parts)
+    return merged.orderBy("c1", "c2", "p1", "p2", *_tie(merged))
 
 
 def merge_experiments(parts: list[DataFrame]) -> DataFrame:

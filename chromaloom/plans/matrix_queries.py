@@ -44,13 +44,49 @@ def fragment_matrix(spark, d):
     return matrix.fragment_matrix(flow.unique_contacts(spark, d), (500, 100, 20, 5))
 
 
-_MIRROR = f"""
-px as (select * from ({_pixels(100000)}) x where c1 = c2),
+def _mirror(res: int) -> str:
+    return f"""
+px as (select * from ({_pixels(res)}) x where c1 = c2),
 full_ as (select c1 as chrom, b1 as i, b2 as j, n from px union all select c1, b2, b1, n from px where b1 <> b2),
 rs as (select chrom, i, cast(sum(n) as double) as total from full_ group by all)
 """
 
 
+def _diagonals(res: int, source: str = "px", value: str = "n") -> str:
+    return f"""
+tot as (select b2 - b1 as d, sum({value}) as total from {source} group by 1),
+poss as (select d, sum(nb - d) as possible from (select nb, unnest(range(0, nb)) as d from (select max(pos) // {res} + 1 as nb from @sites group by chrom)) group by d),
+ex as (select p.d, coalesce(total, 0) as total, possible, coalesce(total, 0) / cast(possible as double) as expected from poss p left join tot t on t.d = p.d)
+"""
+
+
+_MIRROR = _mirror(100_000)
+_EXPECTED = _diagonals(100_000)
+
+_SCALED = """
+raw as (select p.c1 as chrom, p.b1, p.b2, p.n, p.n / sqrt(a.total * b.total) as value, case when b1 = b2 then 1 else 2 end as w from px p
+ join rs a on a.chrom = p.c1 and a.i = p.b1 join rs b on b.chrom = p.c1 and b.i = p.b2),
+factor as (select chrom, sum(n * w) / sum(value * w) as scale from raw group by chrom),
+vals as (select chrom, b1, b2, n, value * scale as value from raw join factor using (chrom))
+"""
+
+_CORRELATED = """oe as (select c1 as chrom, b1, b2, n / expected as v from px join ex on ex.d = b2 - b1),
+f as (select chrom, b1 as i, b2 as j, v from oe union all select chrom, b2, b1, v from oe where b1 <> b2),
+rows_ as (select chrom, i, sum(v) as s, sum(v * v) as ss from f group by all), k as (select chrom, count(*) as n from rows_ group by chrom),
+dots as (select a.chrom, a.i, b.i as j, sum(a.v * b.v) as dot from f a join f b on a.chrom = b.chrom and a.j = b.j and a.i <= b.i group by all),
+corr as (select x.chrom, x.i, y.i as j,
+ (coalesce(dot, 0) / n - x.s / n * y.s / n) / nullif(sqrt((x.ss / n - x.s / n * x.s / n) * (y.ss / n - y.s / n * y.s / n)), 0) as r
+from rows_ x join rows_ y on x.chrom = y.chrom and x.i <= y.i join k on k.chrom = x.chrom left join dots t on t.chrom = x.chrom and t.i = x.i and t.j = y.i)
+"""
+
+
+def _rounds(n: int, first: str, step: str) -> str:
+    """``n`` rounds of an iteration as a chain of blocks x0, x1, ..."""
+    blocks = [f"x0 as materialized ({first})"]
+    blocks += [f"x{i} as materialized ({step.format(x=f'x{i - 1}')})" for i in range(1, n + 1)]
+    return ",\n".join(blocks)
+
+
 @query("norm_vectors", f"""
 with {_MIRROR} select chrom, kind, cast(i as bigint) as bin, round(case kind when 'VC' then total else sqrt(total) end, 6) as v
 from rs, (values ('VC'), ('VC_SQRT')) k(kind)""")
@@ -61,17 +97,19 @@ def norm_vectors(spark, d):
 
 
 @query("normalised_matrix", f"""
-with {_MIRROR}, v as (select p.c1 as chrom, p.b1, p.b2, p.n, p.n / sqrt(a.total * b.total) as value, case when b1 = b2 then 1 else 2 end as w from px p
- join rs a on a.chrom = p.c1 and a.i = p.b1 join rs b on b.chrom = p.c1 and b.i = p.b2),
-s as (select chrom, sum(n * w) / sum(value * w) as scale from v group by chrom)
-select v.chrom, cast(b1 as bigint) as b1, cast(b2 as bigint) as b2, n, round(value * scale, 6) as value from v join s using (chrom)""")
+with {_MIRROR}, {_SCALED} select chrom, cast(b1 as bigint) as b1, cast(b2 as bigint) as b2, n, round(value, 6) as value from vals""")
 def normalised_matrix(spark, d):
     m = cut(_matrix(spark, d, (100_000,)))
     scaled = matrix.apply_norm(m, cut(matrix.norm_vectors(m, "VC_SQRT")))
     return scaled.select("chrom", "b1", "b2", "n", F.round("value", 6).alias("value"))
 
 
-@query("balanced_vectors")
+_BALANCE = _rounds(10, "select chrom, i, 1 / sqrt(total) as x from rs",
+                   "select v.chrom, v.i, v.x / sqrt(v.x * s.s) as x from {x} v join (select f.chrom, f.i, sum(f.n * w.x) as s from full_ f"
+                   " join {x} w on w.chrom = f.chrom and w.i = f.j group by all) s on s.chrom = v.chrom and s.i = v.i")
+
+
+@query("balanced_vectors", f"with {_mirror(250_000)}, {_BALANCE} select chrom, cast(i as bigint) as bin, round(1 / x, 6) as v from x10")
 def balanced_vectors(spark, d):
     m = cut(_matrix(spark, d, (250_000,)))
     return matrix.norm_vectors(m, "BALANCE", iters=10).select("chrom", "bin", F.round("v", 6).alias("v"))
@@ -102,13 +140,7 @@ def observed_over_expected(spark, d):
 
 
 @query("pearson_correlation", f"""
-with {_MIRROR}, {_EXPECTED}, oe as (select c1 as chrom, b1, b2, n / expected as v from px join ex on ex.d = b2 - b1),
-f as (select chrom, b1 as i, b2 as j, v from oe union all select chrom, b2, b1, v from oe where b1 <> b2),
-rows_ as (select chrom, i, sum(v) as s, sum(v * v) as ss from f group by all), k as (select chrom, count(*) as n from rows_ group by chrom),
-dots as (select a.chrom, a.i, b.i as j, sum(a.v * b.v) as dot from f a join f b on a.chrom = b.chrom and a.j = b.j and a.i <= b.i group by all)
-select x.chrom, cast(x.i as bigint) as i, cast(y.i as bigint) as j,
- round((coalesce(dot, 0) / n - x.s / n * y.s / n) / nullif(sqrt((x.ss / n - x.s / n * x.s / n) * (y.ss / n - y.s / n * y.s / n)), 0), 6) as r
-from rows_ x join rows_ y on x.chrom = y.chrom and x.i <= y.i join k on k.chrom = x.chrom left join dots t on t.chrom = x.chrom and t.i = x.i and t.j = y.i""")
+with {_MIRROR}, {_EXPECTED}, {_CORRELATED} select chrom, cast(i as bigint) as i, cast(j as bigint) as j, round(r, 6) as r from corr""")
 def pearson_correlation(spark, d):
     sizes = fragments.chrom_sizes(flow.sites(spark, d))
     m = cut(_matrix(spark, d, (100_000,)))
@@ -116,7 +148,16 @@ def pearson_correlation(spark, d):
     return matrix.pearsons(oe, block=16).select("chrom", "i", "j", F.round("r", 6).alias("r"))
 
 
-@query("compartment_eigenvector")
+_UNIT = "select chrom, i, v / sqrt(sum(v * v) over (partition by chrom)) as v from ({}) u"
+_POWER = _rounds(10, _UNIT.format("select distinct chrom, i, 1.0::double + ((i * 7) % 11) / 11.0::double as v from sym"),
+                 _UNIT.format("select s.chrom, s.i, sum(s.r * w.v) as v from sym s join {x} w on w.chrom = s.chrom and w.i = s.j group by all"))
+
+
+@query("compartment_eigenvector", f"""
+with {_mirror(250_000)}, {_diagonals(250_000)}, {_CORRELATED}, sym as (select chrom, i, j, r from corr where r is not null
+ union all select chrom, j, i, r from corr where r is not null and i <> j), {_POWER},
+top as (select chrom, arg_max(v, {{'m': round(abs(v), 12), 'o': -i}}) as t from x10 group by chrom)
+select x.chrom, cast(i as bigint) as bin, round(v * sign(t), 6) as v from x10 x join top using (chrom)""")
 def compartment_eigenvector(spark, d):
     sizes = fragments.chrom_sizes(flow.sites(spark, d))
     m = cut(_matrix(spark, d, (250_000,)))
@@ -184,6 +225,22 @@ def _values(spark, d, res):
     return scaled.where(F.col("res") == res), exp.where(F.col("res") == res), sizes
 
 
+@query("loop_surroundings", f"""
+with {_mirror(25_000)}, {_SCALED}, {_diagonals(25_000, "vals", "value")}, nb as (select chrom, max(pos) // 25000 + 1 as nb from @sites group by chrom),
+off as (select a.v as di, b.v as dj, a.v <> 0 and b.v <> 0 and greatest(abs(a.v), abs(b.v)) > 1 as donut, a.v >= 1 and b.v <= -1 and (a.v > 1 or b.v < -1) as lower_left,
+ abs(a.v) <= 1 and abs(b.v) > 1 as horizontal, abs(b.v) <= 1 and abs(a.v) > 1 as vertical from (select unnest(range(-3, 4)) as v) a, (select unnest(range(-3, 4)) as v) b),
+cells as (select v.chrom, v.b1, v.b2, v.n, v.value, o.*, coalesce(m.value, 0) as m, e.expected as e from vals v join nb using (chrom) cross join off o
+ left join vals m on m.chrom = v.chrom and m.b1 = v.b1 + o.di and m.b2 = v.b2 + o.dj join ex e on e.d = v.b2 + o.dj - v.b1 - o.di
+ where v.b2 < nb.nb and v.b1 + o.di >= 0 and v.b2 + o.dj < nb.nb and v.b2 + o.dj >= v.b1 + o.di)
+select c.chrom, cast(b1 as bigint) as b1, cast(b2 as bigint) as b2, c.n, {", ".join(
+    f"round(sum(case when {r} then m end) / nullif(sum(case when {r} then c.e end), 0) * any_value(x.expected) * any_value(c.n / c.value), 4) as {r}"
+    for r in features.REGIONS)} from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n""")
+def loop_surroundings(spark, d):
+    values, exp, sizes = _values(spark, d, 25_000)
+    found = features.local_expected(values, exp, sizes, 25_000, 1, 3, tile=32)
+    return found.select("chrom", "b1", "b2", "n", *[F.round(r, 4).alias(r) for r in features.REGIONS])
+
+
 @query("loops")
 def loops(spark, d):
     values, exp, sizes = _values(spark, d, 25_000)
