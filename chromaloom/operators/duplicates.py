@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import flags, names
 from .pairs import BLOCK
-from .support import cut, cut_counting, lookup_join
+from .support import cut, cut_measuring, lookup_join
 
 # fixed values: default wobble in bp and optical radius in pixels
 WOBBLE = 4
@@ -122,7 +122,7 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
         tiles = (sent.groupBy(*key, *tile).agg(F.sort_array(F.collect_list(entry)).alias("points"))
                  .where(F.exists("points", lambda x: x["home"])))
         solved = tiles.select(*key, F.explode(solve).alias("x"))
-        settled, left = cut_counting(solved.select(*key, "x.*"), ~F.col("known"))
+        settled, left = cut_measuring(solved.select(*key, "x.*"), F.count_if(~F.col("known")))
         found.append(settled.where("known").drop("known"))
         if left == 0:
             return reduce(DataFrame.unionByName, found)

@@ -127,7 +127,7 @@ def local_expected(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int
                                           F.lit(0).cast("bigint").alias("n"), F.col("expected").alias("value"))))
     rows = lookup_join(rows, lengths, ["chrom"], "inner", salt_from=["b1", "b2"])
 
-    def surroundings(key, cells: pd.DataFrame) -> pd.DataFrame:
+    def surroundings(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         chrom, ti, tj = key
         is_exp = cells["b1"].to_numpy() < 0
         e, px = cells[is_exp], cells[~is_exp]
@@ -179,7 +179,7 @@ def enriched(expectations: DataFrame, fdr: float = FDR) -> DataFrame:
         F.struct(F.lit(r).alias("region"), _chunk(F.col(r)).alias("chunk")) for r in REGIONS])).alias("x"))
     tally = long.groupBy("x.region", "x.chunk", "n").agg(F.count("*").alias("pixels"))
 
-    def threshold(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def threshold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         region, chunk = key
         rows = rows.sort_values("n", ascending=False)
         counts, above = rows["n"].to_numpy(), rows["pixels"].cumsum().to_numpy()
@@ -271,7 +271,7 @@ def domains(values: DataFrame, res: int, span: int = DOMAIN_SPAN, min_bins: int
     first, last = F.greatest(F.expr(f"b2 div {span}") - 2, F.lit(0).cast("bigint")), F.expr(f"b1 div {span}") + 1
     placed = pixels.withColumn("k", F.explode(F.sequence(first, last)))
 
-    def score(key, cells: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         chrom, k = key
         base, n = (k - 1) * span, 4 * span
         m = np.zeros((n, n))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import BROADCAST_ROWS, fits_broadcast, lookup_join
+from .support import BROADCAST_ROWS, cut_measuring, fits_broadcast, lookup_join
 
 BIN = 4096
 
+# Largest bin table that is broadcast, in longs: 160 MB, above that of a mammalian genome
+# cut by a four-base enzyme.
+SITE_WEIGHT = 20_000_000
+
 
 def chrom_sizes(sites: DataFrame) -> DataFrame:
     """The last site of a chromosome is its length."""
@@ -38,27 +42,22 @@ def site_bins(sites: DataFrame, size: int = BIN) -> DataFrame:
                     F.min(F.array_min("inside")).over(after).alias("high")))
 
 
-def _bins_fit(sites: DataFrame, size: int, max_rows: int) -> bool:
-    """Size check of the bin table: its rows plus its sites."""
-    weight = F.max(F.expr(f"pos div {size}")) + 1 + F.count("*")
-    total = sites.groupBy("chrom").agg(weight.alias("w")).agg(F.sum("w")).first()[0]
-    return (total or 0) <= max_rows
-
-
 def _last_bins(bins: DataFrame) -> DataFrame:
     return bins.groupBy("chrom").agg(F.first("last_bin").alias("_last"))
 
 
 def assign_fragments(df: DataFrame, sites: DataFrame, sides: tuple[str, ...] = ("1", "2"),
                      chrom: str = "c", pos: str = "p", out: str = "f", size: int = BIN,
-                     max_rows: int = BROADCAST_ROWS, bounds: bool = False) -> DataFrame:
+                     max_rows: int = SITE_WEIGHT, bounds: bool = False) -> DataFrame:
     """Fragment = number of sites at or below the position, 0 on an unknown chromosome.
 
     The position's bin row carries everything needed, so this is an equi-join instead of
     a range join. With ``bounds`` the two sites around each end are added as ``lo``/``hi``.
     """
-    small = _bins_fit(sites, size, max_rows)
-    bins = site_bins(sites, size).withColumnRenamed("bin", "_bin")
+    # stored once for both ends; its weight is its rows plus its sites
+    weight = F.sum(1 + F.size("inside"))
+    bins, total = cut_measuring(site_bins(sites, size).withColumnRenamed("bin", "_bin"), weight)
+    small = total <= max_rows
     for side in sides:
         c, p = f"{chrom}{side}", f"{pos}{side}"
         table = bins.withColumnRenamed("chrom", c)

@@ -213,7 +213,7 @@ def pearsons(oe: DataFrame, max_bins: int = MAX_PEARSON_BINS, block: int = PEARS
                         F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("other"))
     keyed = sent.withColumns({"ba": F.least("mine", "other"), "bb": F.greatest("mine", "other")})
 
-    def correlate(key, cells: pd.DataFrame) -> pd.DataFrame:
+    def correlate(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         res, chrom, ba, bb = key
         n = int(cells["n_active"].iloc[0])
         cols = np.unique(cells["j"].to_numpy())

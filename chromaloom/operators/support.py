@@ -68,8 +68,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
-    """``cut`` that also counts the rows meeting ``condition`` while they are written."""
+def cut_measuring(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
+    """``cut`` that also evaluates an aggregate over the rows while they are written."""
     seen = Observation()
-    table = cut(df.observe(seen, F.count_if(condition).alias("n")))
-    return table, seen.get["n"]
+    table = cut(df.observe(seen, measure.alias("n")))
+    return table, seen.get["n"] or 0

@@ -57,6 +57,18 @@ SINGLE_LABELS = (
     ("3 or more alignments", "ambiguous", "ambiguous_pct"),
     ("Ligation Motif Present", "ligations", "ligations_pct"),
 )
+PAIRED_TOTALS = (
+    ("Total Unique", "unique", "alignable"),
+    ("Total Duplicates", "duplicates", "alignable"),
+)
+SINGLE_TOTALS = (
+    ("1 alignment unique", "single_unique", "aligned"),
+    ("1 alignment duplicates", "single_duplicates", "aligned"),
+    ("2 alignment unique", "unique", "alignable"),
+    ("2 alignment duplicates", "duplicates", "alignable"),
+    ("Total Unique", "total_unique", "aligned"),
+    ("Total Duplicates", "total_duplicates", "aligned"),
+)
 CONTACT_LABELS = (
     ("Intra-fragment Reads", "intra_fragment"),
     ("Below MAPQ Threshold", "below_mapq"),
@@ -86,10 +98,8 @@ def format_sequencing(summary: DataFrame, single_end: bool = False) -> DataFrame
         texts.append(F.concat(text, F.lit(" ("), _percent(F.col(share)), F.lit(")")) if share else text)
     if not single_end:
         texts.append(F.format_string("Average insert size: %.2f", F.col("avg_insert").cast("double")))
-    # the report prints unique and duplicate reads against alignable and against all reads
-    totals = (("Total Unique", "unique"), ("Total Duplicates", "duplicates"))
-    for label, c in totals:
-        texts.append(F.concat(F.lit(f"{label}: "), commify(F.col(c)), F.lit(" ("), _percent(F.col(f"{c}_of_alignable_pct")),
+    for label, c, base in SINGLE_TOTALS if single_end else PAIRED_TOTALS:
+        texts.append(F.concat(F.lit(f"{label}: "), commify(F.col(c)), F.lit(" ("), _percent(F.col(f"{c}_of_{base}_pct")),
                               F.lit(", "), _percent(F.col(f"{c}_pct")), F.lit(")")))
     return _lines(summary, texts)
 

@@ -145,6 +145,15 @@ def test_report_text(spark, tmp_path):
     assert parsed["Total Duplicates"] == 200_000
 
 
+def test_single_end_report(spark):
+    stats = spark.createDataFrame([("s1", 100, 10, 0, 50, 10, 30, 7)],
+                                  "split string, total long, unmapped long, normal long, chimeric long, ambiguous long, singleton long, ligations long")
+    summary = statistics.sequencing_summary(stats, 20, 6, single_end=True)
+    text = [r.value for r in reports.format_sequencing(summary, single_end=True).orderBy("line").collect()]
+    assert text[0] == "Read type: Single End"
+    assert "1 alignment unique: 24 (80.00%, 24.00%)" in text and "Total Duplicates: 26 (32.50%, 26.00%)" in text
+
+
 def test_log_bins(spark):
     values = [0, 1, 9, 10, 11, 12, 13, 99, 100, 101, 19_999, 20_000, 123_285, 123_286, 10**10, 10**11, *measures.LOG_EDGES]
     df = spark.createDataFrame([(v,) for v in values], "d long").select("d", measures.log_bin(F.col("d")).alias("b"))
