@@ -25,6 +25,9 @@ from ..functions import flags, names
 from .pairs import BLOCK
 from .support import cut, cut_measuring, lookup_join
 
+# a row of markers holds up to nine reads
+MARKER_ROWS = 100_000
+
 # fixed values: default wobble in bp and optical radius in pixels
 WOBBLE = 4
 OPTICAL_RADIUS = 50
@@ -195,7 +198,8 @@ def _optical(pairs: DataFrame, kept: DataFrame, wobble: int, key: list[str]) ->
             .groupBy(*key, "_ca", "_cb").agg(F.collect_list(marker).alias("_markers"))
             .withColumnsRenamed({"_ca": "_a", "_cb": "_b"}))
     tile, x, y = (f(F.col("qname")) for f in (names.illumina_tile, names.illumina_x, names.illumina_y))
-    placed = lookup_join(marked.withColumns({"_t": tile, "_x": x, "_y": y}), cut(near), site, salt_from=["qname"])
+    placed = lookup_join(marked.withColumns({"_t": tile, "_x": x, "_y": y}), cut(near), site, salt_from=["qname"],
+                         max_rows=MARKER_ROWS)
 
     def marks(m: Column) -> Column:
         earlier = F.struct(m["p1"], m["p2"], m["qname"]) < F.struct("p1", "p2", "qname")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from .pairs import SHORT_FORM, phasing_candidates, to_phased_export
-from .support import lookup_join
+from .support import BROADCAST_ROWS, cut_measuring, lookup_join
 
 SNP_BIN = 256
 CATEGORIES = ("mismatch", "paternal_both", "maternal_both", "diff", "maternal", "paternal", "problem")
@@ -40,7 +40,7 @@ def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: t
     the bin as an array; only SNPs on the read are emitted. ``base`` is null where the read
     has a gap or a clip.
     """
-    bins = snp_bins(snps, size)
+    bins, weight = cut_measuring(snp_bins(snps, size), F.sum(1 + F.size("snps")))
     ends = F.array(*[F.struct(
         F.lit(i).alias("end"), F.col(f"c{i}").alias("chrom"), F.col(f"cigar{i}").alias("cigar"),
         F.col(f"seq{i}").alias("seq"),
@@ -50,7 +50,7 @@ def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: t
     rows = rows.where((F.col("chrom") != UNPHASED) & (F.col("length") > 0))
     touched = F.sequence(F.expr(f"(start + 1) div {size}"), F.expr(f"(start + length) div {size}"))
     probe = rows.withColumn("bin", F.explode(touched))
-    joined = lookup_join(probe, bins, ["chrom", "bin"], "inner", salt_from=["qname"])
+    joined = lookup_join(probe, bins, ["chrom", "bin"], "inner", salt_from=["qname"], small=weight <= BROADCAST_ROWS)
     on_read = F.filter("snps", lambda s: (s["pos"] > F.col("start")) & (s["pos"] <= F.col("start") + F.col("length")))
     hit = joined.withColumn("snp", F.explode(on_read))
     base = cg.base_at(F.col("cigar"), F.col("seq"), F.col("start"), F.col("snp.pos"))

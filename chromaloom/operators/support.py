@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Largest lookup table sent to every executor. Lookup rows are a few longs each.
-BROADCAST_ROWS = 5_000_000
+# Largest lookup table sent to every executor: rows of a few longs and a short name each.
+# Callers with wider rows pass a lower limit or their own size check.
+BROADCAST_ROWS = 2_000_000
 SALTS = 16
 
 
