@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .support import cut, cut_measuring
+from .support import cut, cut_measuring, numbered
 
 # Strings of the template (fixed values).
 START, END = "<|im_start|>", "<|im_end|>"
@@ -41,21 +41,10 @@ def chains(turns: DataFrame) -> DataFrame:
     text, so repeated rows follow each other; null turns come first, null conv_ids are one
     conversation; null roles and texts are empty.
     """
-    spark = turns.sparkSession
     rows = turns.select(F.col("conv_id").alias("tree"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    by = [F.col("tree").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).select(
-        "tree", "role", "text", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")))
-    # one count per task
-    counts, base = [], 0
-    for r in placed.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():
-        counts.append((r["_part"], base))
-        base += r["n"]
-    starts = spark.createDataFrame(counts or [(0, 0)], "_part int, _base long")
-    numbered = placed.join(F.broadcast(starts), "_part").select("tree", (F.col("_base") + F.col("_row")).alias("message"), "role", "text")
-    before = numbered.select((F.col("message") + 1).alias("message"), F.col("tree").alias("_tree"), F.col("message").alias("_parent"))
-    return numbered.join(before, "message", "left").select(
+    rows, _ = numbered(rows, [F.col("tree").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")], "message")
+    before = rows.select((F.col("message") + 1).alias("message"), F.col("tree").alias("_tree"), F.col("message").alias("_parent"))
+    return rows.join(before, "message", "left").select(
         "tree", "message", F.when(F.col("tree").eqNullSafe(F.col("_tree")), F.col("_parent")).alias("parent"), "role", "text", F.lit(1.0).alias("score"))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, line_crf, orc_tokens, packing, simhash, tokens, warc, word_bpe
+from . import chat, host_rules, html_text, line_crf, orc_tokens, packing, simhash, tokens, warc, winnowing, word_bpe
 from .support import cut, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of all pages in its layout."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 2048 tokens."""
@@ -136,3 +142,11 @@ def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = line_crf.fit(docs, table(spark, sf_dir, "labels"))
     return line_crf.scores(docs, model).select("doc_id", line_crf.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    found = winnowing.edits(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), winnowing.string("kept").alias("fingerprint"),
+                        winnowing.string("edited_kept").alias("edited_fingerprint"), "near_edited", "near_next")

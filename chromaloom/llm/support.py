@@ -55,6 +55,24 @@ def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(ids.hint("shuffle_merge"), key, "left_anti")
 
 
+def numbered(rows: DataFrame, by: list[Column], index: str = "_index") -> tuple[DataFrame, int]:
+    """``rows`` numbered from 0 in the order of ``by``, and their count.
+
+    A range sort deals them over tasks, also within one value of the first columns; the driver
+    adds up one count per task.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = cut(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).select("*", F.spark_partition_id().alias("_part"), row.alias("_row")))
+    starts, total = [], 0
+    for r in placed.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():
+        starts.append((r["_part"], total))
+        total += r["n"]
+    base = spark.createDataFrame(starts or [(0, 0)], "_part int, _base long")
+    return placed.join(F.broadcast(base), "_part").withColumn(index, F.col("_base") + F.col("_row")).drop("_part", "_row", "_base"), total
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable node for every node of an undirected graph: columns node, root (longs).
 
