@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,6 +50,11 @@ JUNCTIONS = {
     "MluCI": ("AATTAATT",),
     "CviAII": ("CATATG",),
     "Csp6I": ("GTATAC",),
+    "Arima": ("GAATAATC", "GAATACTC", "GAATAGTC", "GAATATTC", "GAATGATC",
+              "GACTAATC", "GACTACTC", "GACTAGTC", "GACTATTC", "GACTGATC",
+              "GAGTAATC", "GAGTACTC", "GAGTAGTC", "GAGTATTC", "GAGTGATC",
+              "GATCAATC", "GATCACTC", "GATCAGTC", "GATCATTC", "GATCGATC",
+              "GATTAATC", "GATTACTC", "GATTAGTC", "GATTATTC", "GATTGATC"),
     "MboI+MseI": ("GATCGATC", "TTATAA"),
     "CviQI+MseI": ("GTATAC", "TTATAA", "GTATAA", "TTATAC"),
     "Csp6I+MseI": ("GTATAC", "TTATAA", "GTATAA", "TTATAC"),
@@ -64,17 +67,8 @@ JUNCTIONS = {
 UNKNOWN_JUNCTION = "XXXX"
 
 
-def _arima() -> tuple[str, ...]:
-    # the mix cuts at GATC and GANTC: left half GA[ATGC], right half [ATGC]TC
-    left = ["GAAT", "GACT", "GAGT", "GATC", "GATT"]
-    right = ["AATC", "ACTC", "AGTC", "ATTC", "GATC"]
-    return tuple(sorted(a + b for a, b in product(left, right)))
-
-
 def junctions(enzyme: str) -> tuple[str, ...]:
     """Junction motifs of an enzyme; mixes may be written in either order."""
-    if enzyme == "Arima":
-        return _arima()
     wanted = sorted(enzyme.split("+"))
     for name, motifs in JUNCTIONS.items():
         if sorted(name.split("+")) == wanted:
@@ -97,10 +91,10 @@ def junction_for(enzyme: str) -> str:
 
 
 def junction_column(enzyme: Column) -> Column:
-    """Junction pattern looked up per row."""
-    names = sorted({*JUNCTIONS, "Arima"})
-    table = F.create_map(*[F.lit(x) for n in names for x in (n, junction_for(n))])
-    return F.coalesce(F.try_element_at(table, enzyme), F.lit(UNKNOWN_JUNCTION))
+    """Junction pattern looked up per row; mixes may be written in any order."""
+    table = F.create_map(*[F.lit(x) for n in sorted(JUNCTIONS) for x in ("+".join(sorted(n.split("+"))), junction_for(n))])
+    name = F.array_join(F.array_sort(F.split(enzyme, r"\+")), "+")
+    return F.coalesce(F.try_element_at(table, name), F.lit(UNKNOWN_JUNCTION))
 
 
 def dangling_motif(junction: str) -> str | None:

@@ -67,7 +67,8 @@ def cb_parse(cb: Column) -> dict[str, Column]:
 
 
 def sam_tag(tags: Column, name: str) -> Column:
-    return F.try_element_at(tags, F.lit(name))
+    """Value of the first tag of a name; null without one."""
+    return F.get(F.filter(tags, lambda t: t["tag"] == name), F.lit(0))["value"]
 
 
 def homolog_name(chrom: Column, homolog: Column) -> Column:

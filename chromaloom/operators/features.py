@@ -243,8 +243,9 @@ def strongest_first(peaks: DataFrame, radius: int) -> DataFrame:
 def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: int | None = None,
           window: int | None = None, fdr: float = FDR, radius: int = CLUSTER_RADIUS) -> DataFrame:
     """Loop pixels: enriched over all surroundings, clustered, one row per cluster (BEDPE)."""
-    p, w = PEAK_SHAPE.get(res, (1, 3))
-    p, w = peak or p, window or w
+    if res not in PEAK_SHAPE and (peak is None or window is None):
+        raise ValueError(f"give peak and window: there are no usual ones at {res} bp")
+    p, w = (x if y is None else y for x, y in zip(PEAK_SHAPE.get(res, (peak, window)), (peak, window)))
     stored = cut(local_expected(values, exp, sizes, res, p, w))
     tops = strongest_first(enriched(stored, fdr), max(radius // res, 1))
     return tops.select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from .pairs import mapq_filter
-from .support import BROADCAST_ROWS, cut, lookup_join
+from .support import BROADCAST_ROWS, cut, cut_measuring, lookup_join
 
 # fixed values: resolutions of a standard map, and the finer ones of a deep map
 RESOLUTIONS = (2_500_000, 1_000_000, 500_000, 250_000, 100_000, 50_000, 25_000, 10_000, 5_000, 2_000, 1_000)
@@ -145,25 +145,31 @@ def _balanced(matrix: DataFrame, iters: int, min_total: float, cut_every: int) -
     return x.withColumn("v", 1.0 / F.col("x"))
 
 
-def apply_norm(matrix: DataFrame, norm: DataFrame, rescale: bool = True) -> DataFrame:
-    """Add ``value`` = n / (v_i v_j) per intra-chromosomal pixel, scaled to the matrix total.
+def apply_norm(matrix: DataFrame, norm: DataFrame, rescale: bool = True, within: bool = True) -> DataFrame:
+    """Add ``value`` = n / (v_i v_j) per pixel, scaled to the total of its chromosome pair.
 
     Bins without a factor give no value. ``norm`` holds one kind and is best a stored table.
+    ``within`` keeps to pixels of one chromosome and names it ``chrom``; else each side takes
+    the factor of its own chromosome.
     """
-    pixels = intra(matrix)
-    v = norm.select("res", "chrom", "bin", "v")
+    pixels = intra(matrix) if within else matrix
+    pair = ["chrom"] if within else ["c1", "c2"]
+    v, weight = cut_measuring(norm.select("res", "chrom", "bin", "v"), F.count("*"))
     for i in (1, 2):
-        side = v.select("res", "chrom", F.col("bin").alias(f"b{i}"), F.col("v").alias(f"v{i}"))
-        pixels = lookup_join(pixels, side, ["res", "chrom", f"b{i}"], salt_from=["b1", "b2"])
-    valued = pixels.withColumn("value", F.col("n") / F.nullif(F.col("v1") * F.col("v2"), F.lit(0.0)))
+        chrom = "chrom" if within else f"c{i}"
+        side = v.select("res", F.col("chrom").alias(chrom), F.col("bin").alias(f"b{i}"), F.col("v").alias(f"v{i}"))
+        pixels = lookup_join(pixels, side, ["res", chrom, f"b{i}"], salt_from=["b1", "b2"], small=weight <= BROADCAST_ROWS)
+    valued = pixels.withColumn("value", F.col("n") / F.nullif(F.col("v1") * F.col("v2"), F.lit(0.0))).drop("v1", "v2")
     if not rescale:
-        return valued.drop("v1", "v2")
-    weight = F.when(F.col("b1") == F.col("b2"), 1).otherwise(2)
-    scale = valued.where("value is not null").groupBy("res", "chrom").agg(
+        return valued
+    valued = cut(valued)
+    diagonal = (F.col("b1") == F.col("b2")) & (F.lit(True) if within else F.col("c1") == F.col("c2"))
+    weight = F.when(diagonal, 1).otherwise(2)
+    scale = valued.where("value is not null").groupBy("res", *pair).agg(
         (F.sum(F.col("n") * weight) / F.sum(F.col("value") * weight)).alias("scale"))
-    # one row per resolution and chromosome
-    return (valued.join(scale, ["res", "chrom"], "left")
-            .withColumn("value", F.col("value") * F.col("scale")).drop("v1", "v2", "scale"))
+    # a row per resolution and chromosome or pair of them
+    scaled = lookup_join(valued, cut(scale), ["res", *pair], salt_from=["b1", "b2"])
+    return scaled.withColumn("value", F.col("value") * F.col("scale")).drop("scale")
 
 
 def expected(matrix: DataFrame, sizes: DataFrame, resolutions, value: str = "n") -> DataFrame:
@@ -279,7 +285,7 @@ def extract_region(matrix: DataFrame, res: int, region1: tuple[str, int, int], r
         hit = hit | (within("b2", a0, a1) & within("b1", b0, b1))
     part = inside.where(hit)
     if norm is not None:
-        scaled = apply_norm(inside, norm)
+        scaled = apply_norm(inside, norm, within=ca == cb)
         part = scaled.where(hit).withColumnRenamed("value", "_v")
     else:
         part = part.withColumn("_v", F.col("n").cast("double"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from ..functions import flags, measures, names
-from .support import lookup_join
+from .support import lookup_join, number_within
 
 # Reads with more records than this are ambiguous whatever the records say, so a group
 # never needs more than its first four records and a count.
@@ -17,18 +17,14 @@ INNER_INSERT = 1000
 
 
 def record_ordinals(alignments: DataFrame, order: list | None = None) -> DataFrame:
-    """Number records within each read when the input has no order of its own.
+    """Number all records within each read when the input has no order of its own.
 
-    Keeps the first four per read (the rank filter runs before the shuffle) next to the
-    full group size ``k``.
+    Adds ``rec_no`` and the group size ``k``; no read is gathered, however many records it has.
     """
     order = order or [F.col("flag").bitwiseAND(F.lit(64)).desc(), F.col("flag").bitwiseAND(F.lit(256)),
                       "rname", "pos", "cigar"]
     base = alignments.withColumn("qname", names.read_base_name(F.col("qname")))
-    sizes = base.groupBy("qname").agg(F.count("*").alias("k"))
-    rank = F.row_number().over(Window.partitionBy("qname").orderBy(*order))
-    first = base.withColumn("rec_no", rank).where(F.col("rec_no") <= MAX_RECORDS)
-    return first.join(sizes, "qname")
+    return number_within(base, F.col("qname"), order, "rec_no", "k")
 
 
 def _prepared(alignments: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Largest lookup table sent to every executor: rows of a few longs and a short name each.
@@ -41,6 +41,35 @@ def row_salt(columns: list[str], salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
 
 
+def number_within(df: DataFrame, key: Column, order: list[Column | str], number: str, size: str) -> DataFrame:
+    """Number the rows of each key in ``order`` from 1 and count them; all rows stay.
+
+    A range sort over key and order deals a hot key over many partitions. Windows work inside
+    one partition; what a key has in earlier partitions is added from a table with at most one
+    key per border between partitions.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = ["_key", *order]
+    placed = cut(df.withColumn("_key", F.coalesce(key.cast("string"), F.lit(""))).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                 .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")))
+    spans = placed.groupBy("_part").agg(F.min("_key").alias("first"), F.max("_key").alias("last")).orderBy("_part").collect()
+    split = sorted({a["last"] for a, b in zip(spans, spans[1:]) if a["last"] == b["first"]})
+    counts = (placed.join(F.broadcast(spark.createDataFrame([(k,) for k in split], "_key string")), "_key")
+              .groupBy("_key", "_part").count().orderBy("_key", "_part").collect())
+    totals: dict[str, int] = {}
+    before = []
+    for r in counts:
+        before.append((r["_key"], r["_part"], totals.get(r["_key"], 0)))
+        totals[r["_key"]] = totals.get(r["_key"], 0) + r["count"]
+    bases = spark.createDataFrame([(*b, totals[b[0]]) for b in before], "_key string, _part int, _base long, _total long")
+    here = Window.partitionBy("_part", "_key")
+    numbered = placed.withColumns({"_no": F.row_number().over(here.orderBy("_row")), "_n": F.count("*").over(here)})
+    joined = numbered.join(F.broadcast(bases), ["_key", "_part"], "left")
+    return joined.withColumns({number: F.col("_no") + F.coalesce("_base", F.lit(0)), size: F.coalesce("_total", "_n")}).drop(
+        "_key", "_part", "_row", "_no", "_n", "_base", "_total")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables, shared by all executors.
 

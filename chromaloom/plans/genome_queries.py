@@ -71,16 +71,19 @@ def fragments_of_genome(spark, d):
     return placed.select(F.col("c1").alias("chrom"), F.col("p1").alias("pos"), F.col("f1").alias("frag"), "reads")
 
 
-_JUNCTIONS = " ".join(f"when '{n}' then '{motifs.junction_for(n)}'" for n in sorted({*motifs.JUNCTIONS, "Arima"}))
-_ENZYME = "case p_partkey % 6 when 0 then 'HindIII' when 1 then 'MboI' when 2 then 'Arima' when 3 then 'StyI' when 4 then 'none' else 'CviAII+MseI' end"
+_JUNCTIONS = " ".join(f"when '{n}' then '{motifs.junction_for(n)}'" for n in sorted(motifs.JUNCTIONS))
+_ENZYMES = ("HindIII", "MboI", "Arima", "StyI", "none", "CviAII+MseI", "MseI+CviAII", "Csp6I+CviAII", "MseI+CviAII+Csp6I", "MseI+Csp6I")
+_ENZYME = f"case p_partkey % {len(_ENZYMES)} " + " ".join(f"when {i} then '{e}'" for i, e in enumerate(_ENZYMES)) + " end"
+# the mixes in the order they are listed in
+_LISTED = "case enzyme " + " ".join(f"when '{a}' then '{b}'" for a, b in (
+    ("MseI+CviAII", "CviAII+MseI"), ("Csp6I+CviAII", "CviAII+Csp6I"), ("MseI+CviAII+Csp6I", "Csp6I+CviAII+MseI"), ("MseI+Csp6I", "Csp6I+MseI"))) + " else enzyme end"
 
 
 @query("junction_by_enzyme", f"""
-select enzyme, coalesce(case enzyme {_JUNCTIONS} end, 'XXXX') as junction, count(*) as n from (select {_ENZYME} as enzyme from part) group by all""")
+select enzyme, coalesce(case {_LISTED} {_JUNCTIONS} end, 'XXXX') as junction, count(*) as n from (select {_ENZYME} as enzyme from part) group by all""")
 def junction_by_enzyme(spark, d):
-    k = F.col("p_partkey") % 6
-    enzyme = (F.when(k == 0, "HindIII").when(k == 1, "MboI").when(k == 2, "Arima").when(k == 3, "StyI")
-              .when(k == 4, "none").otherwise("CviAII+MseI"))
+    k = F.col("p_partkey") % len(_ENZYMES)
+    enzyme = F.element_at(F.array(*map(F.lit, _ENZYMES)), (k + 1).cast("int"))
     return spark.read.parquet(f"{d}/part.parquet").groupBy(
         enzyme.alias("enzyme"), motifs.junction_column(enzyme).alias("junction")).agg(F.count("*").alias("n"))
 

@@ -451,7 +451,7 @@ def phase_categories(spark, d):
 
 @query("parental_contacts", _PHASE + """
 select q.parent, p.qname, p.c1, p.p1, p.f1, p.c2, p.p2, p.f2 from phased h join @pairs p on h.qname = p.qname
- join (values ('maternal'), ('paternal')) as q(parent) on h.category in (q.parent, concat(q.parent, '_both'))""")
+ join (values ('maternal'), ('paternal')) as q(parent) on replace(h.category, '_both', '') = q.parent""")
 def parental_contacts(spark, d):
     phased = phasing.phase_pairs(flow.contact_pairs(spark, d), derive(spark, d, "snps"))
     parts = [phasing.parental_contacts(phased, p).withColumn("parent", F.lit(p)) for p in ("maternal", "paternal")]

@@ -52,7 +52,7 @@ def read_names(spark, d):
 
 @query("record_ordinals", """
 select qname, rname, pos, cigar, flag, row_number() over (partition by qname order by (flag & 64) desc, (flag & 256), rname, pos, cigar) as ordinal,
- count(*) over (partition by qname) as k from @alignments qualify ordinal <= 4""")
+ count(*) over (partition by qname) as k from @alignments""")
 def record_ordinals(spark, d):
     numbered = reads.record_ordinals(derive(spark, d, "alignments"))
     return numbered.select("qname", "rname", "pos", "cigar", "flag", F.col("rec_no").cast("bigint").alias("ordinal"), "k")
@@ -258,16 +258,21 @@ def collision_duplicates(spark, d):
     return collisions.dedup_groups(collisions.abnormal_groups(records)).select("qname", "is_dup")
 
 
+def _tag(name, kind, value):
+    return F.struct(F.lit(name).alias("tag"), F.lit(kind).alias("type"), value.alias("value"))
+
+
 @query("sam_text", """
-select qname, rec_no, flag, rname, pos, mapq, cigar, concat(cast(rec_no as varchar), ':', split) as note from @alignments""")
+select qname, rec_no, flag, rname, pos, mapq, cigar, concat(cast(rec_no as varchar), ':', split) as note, 'iZfA' as types from @alignments""")
 def sam_text(spark, d):
     records = derive(spark, d, "alignments").withColumns({
         "rnext": F.lit("*"), "pnext": F.lit(0), "tlen": F.lit(0), "seq": F.lit("*"), "qual": F.lit("*"),
-        "tags": F.create_map(F.lit("RC"), F.col("rec_no").cast("string"), F.lit("NT"), F.concat_ws(":", F.col("rec_no").cast("string"), "split"))})
+        "tags": F.array(_tag("RC", "i", F.col("rec_no").cast("string")), _tag("NT", "Z", F.concat_ws(":", F.col("rec_no").cast("string"), "split")),
+                        _tag("AS", "f", (F.col("mapq") / 2).cast("string")), _tag("NT", "A", F.lit("x")))})
     lines = sam.format_sam(records).select(F.col("value").alias("text"), F.lit(0).alias("order"))
     parsed = sam.parse_sam(lines)
     return parsed.select("qname", names.sam_tag(F.col("tags"), "RC").cast("int").alias("rec_no"), "flag", "rname", "pos",
-                         "mapq", "cigar", names.sam_tag(F.col("tags"), "NT").alias("note"))
+                         "mapq", "cigar", names.sam_tag(F.col("tags"), "NT").alias("note"), F.array_join(F.transform("tags", lambda t: t["type"]), "").alias("types"))
 
 
 @query("sequencing_summary", """

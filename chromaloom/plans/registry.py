@@ -26,4 +26,4 @@ def query(name: str, twin: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import genome_queries, matrix_queries, pair_queries, read_queries  # noqa: F401
+    from . import file_queries, genome_queries, matrix_queries, pair_queries, read_queries  # noqa: F401

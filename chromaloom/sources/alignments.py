@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..operators.support import cut, lookup_join
 
 FIXED = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
 TYPES = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
@@ -23,29 +24,33 @@ def _numbered(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
-    """Fixed columns and tag map from SAM text lines; ``lines`` has ``text`` and ``order``."""
+    """Fixed columns and the tags (tag, type, value) in order from SAM text lines; ``lines`` has ``text`` and ``order``."""
     cols = F.split("text", "\t")
     body = lines.where(~F.startswith("text", F.lit("@")) & (F.size(cols) >= 11))
     fixed = [F.get(cols, F.lit(i)).cast(TYPES.get(name, "string")).alias(name) for i, name in enumerate(FIXED)]
     tag = F.transform(F.slice(cols, 12, F.greatest(F.size(cols) - 11, F.lit(0))), lambda t: F.struct(
-        F.split_part(t, F.lit(":"), F.lit(1)), F.regexp_replace(t, "^[^:]*:[^:]*:", "")))
-    return body.select("order", *fixed, F.map_from_entries(tag).alias("tags"))
+        F.split_part(t, F.lit(":"), F.lit(1)).alias("tag"), F.split_part(t, F.lit(":"), F.lit(2)).alias("type"),
+        F.regexp_replace(t, "^[^:]*:[^:]*:", "").alias("value")))
+    return body.select("order", *fixed, tag.alias("tags"))
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Alignment records; ``rec_no`` is the position within the read, 5 for all past the fourth.
+    """Alignment records; ``rec_no`` is the position of a record among those of its read.
 
-    The first four records of a read are ranked with a limit that works before the shuffle,
-    and joined back by their place in the file, so no read is gathered however many records
-    carry its name.
+    The lines are scanned once and shuffled once, by read name and the part of the file they
+    stand in, so a name that fills many parts is not gathered. What a name has in earlier parts
+    of the files is added by a lookup with a row per such name and part.
     """
     raw = _numbered(spark, path)
     parsed = parse_sam(raw.select("text", F.struct("file", "block", "seq_id").alias("order")))
-    named = parsed.withColumn("_name", names.read_base_name(F.col("qname")))
-    rank = F.row_number().over(Window.partitionBy("_name").orderBy("order"))
-    early = named.select("_name", "order").withColumn("rec_no", rank).where(F.col("rec_no") <= 4).drop("_name")
-    return (parsed.join(early, "order", "left")
-            .withColumn("rec_no", F.coalesce("rec_no", F.lit(5))).drop("order"))
+    place = ["_name", "_file", "_block"]
+    named = parsed.withColumns({"_name": names.read_base_name(F.col("qname")), "_file": F.col("order.file"), "_block": F.col("order.block")})
+    here = Window.partitionBy(*place)
+    local = cut(named.withColumns({"rec_no": F.row_number().over(here.orderBy("order.seq_id")), "_n": F.count("*").over(here)}).drop("order"))
+    before = Window.partitionBy("_name").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = cut(local.where("rec_no = 1").withColumn("_base", F.sum("_n").over(before)).where("_base is not null").select(*place, "_base"))
+    joined = lookup_join(local.drop("_n"), bases, place, salt_from=["rec_no"])
+    return joined.withColumn("rec_no", (F.col("rec_no") + F.coalesce("_base", F.lit(0))).cast("int")).drop(*place, "_base")
 
 
 def sam_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -58,7 +63,7 @@ def sam_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def format_sam(alignments: DataFrame) -> DataFrame:
     """Text lines with the derived tags appended after the existing ones."""
-    kept = F.transform(F.map_entries("tags"), lambda e: F.concat_ws(":", e["key"], F.lit("Z"), e["value"]))
+    kept = F.transform("tags", lambda t: F.concat_ws(":", t["tag"], t["type"], t["value"]))
     derived = [("MQ", "i", "mate_mapq"), ("ip", "i", "ip"), ("mp", "i", "mp"), ("rt", "A", "rt"), ("cb", "Z", "cb")]
     extra = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{t}:{k}:"), F.col(c).cast("string")))
              for t, k, c in derived if c in alignments.columns]

@@ -88,6 +88,20 @@ def test_ordinals_without_input_order(spark):
     assert [(r.rec_no, r.flag, r.k) for r in got] == [(1, 65, 3), (2, 321, 3), (3, 145, 3)]
 
 
+def test_ordinals_of_a_hot_read(spark):
+    """A name with a third of the rows fills many partitions; no record is lost."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 500)).alias("qname"), F.lit(65).alias("flag"),
+                                  F.lit("chr1").alias("rname"), F.pmod(F.col("id") * 7919, F.lit(100_003)).alias("pos"), F.lit("5M").alias("cigar"))
+    got = {}
+    for r in reads.record_ordinals(df).collect():
+        got.setdefault(r.qname, []).append((r.rec_no, r.pos, r.k))
+    assert sum(map(len, got.values())) == 3000 and len(got["hot"]) == 1000
+    for rows in got.values():
+        rows.sort()
+        assert [n for n, _, _ in rows] == list(range(1, len(rows) + 1)) and [p for _, p, _ in rows] == sorted(p for _, p, _ in rows)
+        assert {k for _, _, k in rows} == {len(rows)}
+
+
 def test_mates_and_insert_size(spark):
     inner = [(65, "chr1", 1000, 60, "50M"), (145, "chr1", 1250, 7, "50M")]
     found, df = classify(spark, {"x": inner})
