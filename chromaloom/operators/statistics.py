@@ -85,7 +85,8 @@ def contact_statistics(pairs: DataFrame, sites: DataFrame | None = None, q: int
                        junction: str = "GATCGATC", total_reads: int | None = None) -> DataFrame:
     """One row of contact counters in a single pass over unique pairs.
 
-    ``three_prime``/``five_prime`` and ``true_dangling_*`` need ``sites``. Shares of the
+    ``three_prime``/``five_prime`` and ``true_dangling_*`` need ``sites``; counters of junctions
+    and dangling ends are null without sequences. Shares of the
     unique pairs, and of the sequenced reads when known, follow the counters.
     """
     df = _described(contact_status(pairs, q), junction)
@@ -93,7 +94,12 @@ def contact_statistics(pairs: DataFrame, sites: DataFrame | None = None, q: int
     is_long = F.col("range") == "long"
     dangling = F.col("dangling1") | F.col("dangling2")
 
+    # without sequences nothing is known about junctions and dangling ends
+    sequenced = "seq1" in pairs.columns
+
     def n(cond: Column, name: str) -> Column:
+        if not sequenced and ("ligation" in name or "dangling" in name):
+            return F.max(F.lit(None).cast("bigint")).alias(name)
         return F.count_if(contact & F.coalesce(cond, F.lit(False))).alias(name)
 
     aggs = [F.count("*").alias("unique_pairs"),

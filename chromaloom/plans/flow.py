@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,10 +58,31 @@ def homologs(linked_: DataFrame) -> DataFrame:
     return called.unionByName(conflicting)
 
 
-def process(alignments: DataFrame, sites_: DataFrame, path: str, resolutions=matrix.RESOLUTIONS,
-            junction: str = "GATCGATC", wobble: int = duplicates.WOBBLE) -> dict[str, DataFrame]:
+LEVELS = (1, 30)
+
+
+def with_sequences(unique: DataFrame, alignments: DataFrame) -> DataFrame:
+    """Sequences of both ends' records, where the alignments have them."""
+    if "seq" not in alignments.columns:
+        return unique
+    # a chosen record is one of a read's first four
+    own = alignments.where(F.col("rec_no") <= reads.MAX_RECORDS).select(reads.names.read_base_name(F.col("qname")).alias("qname"), "rec_no", "seq")
+    for i in (1, 2):
+        unique = unique.join(own.select("qname", F.col("rec_no").alias(f"rec{i}"), F.col("seq").alias(f"seq{i}")), ["qname", f"rec{i}"], "left")
+    return unique
+
+
+def process(alignments: DataFrame, sites_: DataFrame | None, path: str, resolutions=matrix.RESOLUTIONS, junction: str = "GATCGATC",
+            wobble: int = duplicates.WOBBLE, levels: tuple[int, ...] = LEVELS, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
     """A whole experiment: reads to contacts, statistics, matrices and normalisation.
 
+    Duplicates and fragments follow the outer positions of the ends; contact lists, statistics
+    and matrices use the interior ones. Statistics, histograms and matrices come for each
+    mapping quality of ``levels`` (column ``q``); matrices hold all contacts at that quality, also
+    those within a fragment. Without sites the ends get dummy fragments, and interior positions
+    are moved by the average insert size; ``sizes`` then gives the chromosomes. Counters that
+    need sequences are null when the alignments have none.
+
     Stages that later ones share are written as Parquet tables under ``path``, a folder all
     executors reach; a rerun starts from the tables that exist by calling the operators on
     them.
@@ -70,18 +93,29 @@ def process(alignments: DataFrame, sites_: DataFrame, path: str, resolutions=mat
         df.write.mode("overwrite").parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
+    def leveled(make) -> DataFrame:
+        return reduce(DataFrame.unionByName, [make(q).withColumn("q", F.lit(q)) for q in levels])
+
     found = stage("classified", reads.classify(alignments))
-    both = fragments.assign_fragments(reads.accepted(found), sites_)
-    unique = stage("unique", duplicates.unique_pairs(both, wobble, carry=("q1", "q2", "ip1", "ip2")))
-    contacts = unique.select("qname", *pairs.SHORT_FORM, "q1", "q2")
-    maps = stage("matrix", matrix.contact_matrix(pairs.valid_contacts(contacts), resolutions, 1, fragments.chrom_sizes(sites_)))
-    norms = [matrix.norm_vectors(maps, kind) for kind in ("VC", "VC_SQRT")]
+    insert = reads.insert_size(found)
+    if sites_ is None:
+        moved = reads.adjust_insert_size(reads.accepted(found), stage("insert", insert))
+        both = pairs.dummy_fragments(moved)
+    else:
+        both = fragments.assign_fragments(reads.accepted(found), sites_)
+        sizes = fragments.chrom_sizes(sites_)
+    unique = stage("unique", with_sequences(duplicates.unique_pairs(both, wobble, carry=("q1", "q2", "ip1", "ip2", "rec1", "rec2")), alignments))
+    ends = [c for c in unique.columns if c.startswith("seq")]
+    contacts = unique.withColumns({"p1": F.col("ip1"), "p2": F.col("ip2")}).select("qname", *pairs.SHORT_FORM, "q1", "q2", *ends)
+    maps = stage("matrix", leveled(lambda q: matrix.contact_matrix(contacts, resolutions, q, sizes)))
+    norms = [leveled(lambda q, kind=kind: matrix.norm_vectors(maps.where(F.col("q") == q).drop("q"), kind)) for kind in ("VC", "VC_SQRT")]
     return {
         "split_stats": reads.split_counters(found),
-        "insert_size": reads.insert_size(found),
+        "insert_size": insert,
         "unique": unique,
-        "statistics": statistics.contact_statistics(contacts, sites_, junction=junction),
-        "hists": statistics.hists(contacts, sites_),
+        "contacts": contacts,
+        "statistics": leveled(lambda q: statistics.contact_statistics(contacts, sites_, q, junction)),
+        "hists": leveled(lambda q: statistics.hists(contacts, sites_, q)),
         "matrix": maps,
         "norm": stage("norm", norms[0].unionByName(norms[1])),
     }
