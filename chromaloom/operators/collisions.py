@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flags, names
 from .duplicates import WOBBLE, greedy_unique
 
-# A read has at most one alignment per base, so its records form a short array. Input that
-# breaks this is refused instead of being gathered.
+# A read has at most one alignment per base, so its records form a short array. Names with more
+# records are malformed; ``oversized_reads`` lists them.
 MAX_WAYS = 10_000
 
 
@@ -22,18 +22,27 @@ def abnormal_groups(alignments: DataFrame, q: int = 10) -> DataFrame:
     """Reads whose every record is on a standard chromosome at or above ``q``.
 
     ``recs`` is ordered by chromosome and position. The test is evaluated while counting;
-    only reads that pass it are gathered.
+    only reads that pass it are gathered. Names with more than ``MAX_WAYS`` records are in
+    ``oversized_reads`` instead.
     """
-    read = names.read_base_name(F.col("qname"))
-    fine = names.on_standard_chromosome(F.col("rname")) & (F.col("mapq") >= q)
+    read, fine = _tested(q)
     rec = F.struct(F.col("rname").alias("chrom"), "pos", flags.strand(F.col("flag")).cast("int").alias("strand"),
                    F.col("rec_no"), "mapq", "cigar")
     grouped = alignments.groupBy(read.alias("qname")).agg(
         F.count("*").alias("k"), F.bool_and(fine).alias("ok"),
         F.array_sort(F.collect_list(F.when(fine & (F.col("rec_no") <= MAX_WAYS), rec))).alias("recs"))
-    sized = F.when(F.col("k") <= MAX_WAYS, F.col("k")).otherwise(
-        F.raise_error(F.lit("more alignments than a read has bases")).cast("bigint"))
-    return grouped.where("ok").select("qname", sized.alias("k"), "recs")
+    return grouped.where(F.col("ok") & (F.col("k") <= MAX_WAYS)).select("qname", "k", "recs")
+
+
+def oversized_reads(alignments: DataFrame, q: int = 10) -> DataFrame:
+    """Names that pass the test of ``abnormal_groups`` with more records than a read can have: (qname, k)."""
+    read, fine = _tested(q)
+    counted = alignments.groupBy(read.alias("qname")).agg(F.count("*").alias("k"), F.bool_and(fine).alias("ok"))
+    return counted.where(F.col("ok") & (F.col("k") > MAX_WAYS)).select("qname", "k")
+
+
+def _tested(q: int) -> tuple[Column, Column]:
+    return names.read_base_name(F.col("qname")), names.on_standard_chromosome(F.col("rname")) & (F.col("mapq") >= q)
 
 
 def _keyed(groups: DataFrame) -> DataFrame:

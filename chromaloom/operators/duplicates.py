@@ -37,31 +37,30 @@ def _tile_side(wobble: int) -> int:
     return 32 * (wobble + 1)
 
 
-def _near_border(wobble: int, side: int, dims: int | None) -> Column:
+def _near_border(wobble: int, side: int) -> Column:
     """Whether a tile other than its own needs to see ``pos``."""
     def test(p: str) -> str:
         return f"({p} % {side} < {wobble} or {p} % {side} >= {side - wobble})"
 
-    return F.expr(f"{test('pos[0]')} or {test('pos[1]')}" if dims == 2 else f"exists(pos, p -> {test('p')})")
+    return F.expr(f"{test('pos[0]')} or {test('pos[1]')}")
 
 
-def _spread(df: DataFrame, columns: list[str], wobble: int, side: int, dims: int | None) -> DataFrame:
-    """A row per tile that needs to see ``pos``: its own (``n`` = 0), then those within the wobble."""
+def _spread(df: DataFrame, columns: list[str], wobble: int, side: int) -> DataFrame:
+    """A row per tile that needs to see ``pos``: its own (``n`` = 0), then those within the wobble.
+
+    Tiles lie over the first two positions, so a point has four rows at most; further positions
+    are compared inside the tile.
+    """
     def step(p: str) -> str:
         return f"case when {p} % {side} < {wobble} then -1 when {p} % {side} >= {side - wobble} then 1 else 0 end"
 
-    if dims == 2:
-        flat = df.selectExpr(*columns, f"pos[0] div {side} as h0", f"pos[1] div {side} as h1",
-                             f"{step('pos[0]')} as d0", f"{step('pos[1]')} as d1")
-        # bit 1 of n moves along the first coordinate, bit 2 along the second
-        moves = """explode(case when d0 = 0 and d1 = 0 then array(0) when d1 = 0 then array(0, 1)
-                   when d0 = 0 then array(0, 2) else array(0, 1, 2, 3) end) as n"""
-        return flat.selectExpr(*columns, "h0", "h1", "d0", "d1", moves).selectExpr(
-            *columns, "n", "h0 + if(n in (1, 3), d0, 0) as t0", "h1 + if(n in (2, 3), d1, 0) as t1")
-    options = f"if(({step('p')}) = 0, array(p div {side}), array(p div {side}, p div {side} + ({step('p')})))"
-    tiles = f"""aggregate(pos, array(cast(array() as array<bigint>)),
-        (acc, p) -> flatten(transform(acc, head -> transform({options}, t -> concat(head, array(t))))))"""
-    return df.selectExpr(*columns, f"posexplode({tiles}) as (n, tile)")
+    flat = df.selectExpr(*columns, f"pos[0] div {side} as h0", f"pos[1] div {side} as h1",
+                         f"{step('pos[0]')} as d0", f"{step('pos[1]')} as d1")
+    # bit 1 of n moves along the first coordinate, bit 2 along the second
+    moves = """explode(case when d0 = 0 and d1 = 0 then array(0) when d1 = 0 then array(0, 1)
+               when d0 = 0 then array(0, 2) else array(0, 1, 2, 3) end) as n"""
+    return flat.selectExpr(*columns, "h0", "h1", "d0", "d1", moves).selectExpr(
+        *columns, "n", "h0 + if(n in (1, 3), d0, 0) as t0", "h1 + if(n in (2, 3), d1, 0) as t1")
 
 
 def _solve_tile(wobble: int, rep_type: str, dims: int | None) -> Column:
@@ -109,12 +108,12 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
         raise ValueError("tiles must be wider than twice the wobble")
     rep_type = points.schema["rep"].dataType.simpleString()
     dims = dims if dims == 2 else None
-    tile = ["t0", "t1"] if dims == 2 else ["tile"]
+    tile = ["t0", "t1"]
     columns = [*key, "pos", "rep", "known"]
-    border, solve = _near_border(wobble, side, dims), _solve_tile(wobble, rep_type, dims)
+    border, solve = _near_border(wobble, side), _solve_tile(wobble, rep_type, dims)
 
     def spread(df: DataFrame) -> DataFrame:
-        return _spread(df, columns, wobble, side, dims)
+        return _spread(df, columns, wobble, side)
 
     todo = points.withColumn("known", F.lit(False))
     sent = spread(todo)

@@ -254,17 +254,22 @@ def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: i
         "n", "members")
 
 
-DOMAIN_SPAN = 100
+def beyond_span(values: DataFrame, span: int) -> DataFrame:
+    """Pixels per chromosome that ``domains`` with this span does not look at, and their total."""
+    far = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") >= 2 * span))
+    return far.groupBy("chrom").agg(F.count("*").alias("pixels"), F.sum("value").alias("total"))
 
 
-def domains(values: DataFrame, res: int, span: int = DOMAIN_SPAN, min_bins: int = 4, min_score: float = 0.6) -> DataFrame:
+def domains(values: DataFrame, res: int, span: int, min_bins: int = 4, min_score: float = 0.6) -> DataFrame:
     """Contact domains from the directional preference of each bin.
 
     A(i, i+d) compares contacts d bins up- and downstream. Inside a domain [a, b] it is
     negative where the upstream partner leaves the domain and positive where the
     downstream one does. The score is the mean sign plus the mean value of the two
-    triangles; local maxima above ``min_score`` are kept. Windows of four spans slide
-    along the diagonal, so a task input holds at most (4 * span)^2 pixels.
+    triangles; local maxima above ``min_score`` are kept. ``span`` is the largest domain in
+    bins that is looked for; ``beyond_span`` counts the pixels that a larger one would use.
+    Windows of four spans slide along the diagonal, so a task input holds at most
+    (4 * span)^2 pixels.
     """
     pixels = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") < 2 * span)).select(
         "chrom", "b1", "b2", "value")

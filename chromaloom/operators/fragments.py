@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import BROADCAST_ROWS, cut_measuring, fits_broadcast, lookup_join
+from .support import cut_measuring, lookup_join
 
 BIN = 4096
+FRAGMENT_BIN = 1024
 
 # Largest bin table that is broadcast, in longs: 160 MB, above that of a mammalian genome
 # cut by a four-base enzyme.
@@ -80,11 +81,18 @@ def _spread(df: DataFrame) -> list[str]:
     return ["qname"] if "qname" in df.columns else []
 
 
-def fragment_bounds(sites: DataFrame) -> DataFrame:
-    """(chrom, frag, lo, hi): the sites on both sides of every fragment."""
-    upper = sites.select("chrom", F.col("idx").alias("frag"), F.col("pos").alias("hi"))
-    lower = sites.select("chrom", (F.col("idx") + 1).alias("frag"), F.col("pos").alias("lo"))
-    return upper.join(lower, ["chrom", "frag"], "full")
+def fragment_bins(sites: DataFrame, size: int = FRAGMENT_BIN) -> DataFrame:
+    """Sites of every run of ``size`` fragments, with the last one before it: (chrom, fbin, first, inside).
+
+    ``inside`` holds the sites from rank ``first`` on. Fragment f lies between the sites of rank
+    f - 1 and f.
+    """
+    run = F.expr(f"idx div {size}")
+    # the last site of a run is also the lower bound of the next run's first fragment
+    runs = F.when(F.col("idx") % size == size - 1, F.array(run, run + 1)).otherwise(F.array(run))
+    return (sites.select("chrom", "idx", "pos", F.explode(runs).alias("fbin")).groupBy("chrom", "fbin")
+            .agg(F.min("idx").alias("first"), F.array_sort(F.collect_list(F.struct("idx", "pos"))).alias("s"))
+            .select("chrom", "fbin", "first", F.transform("s", lambda x: x["pos"]).alias("inside")))
 
 
 def nearest_site(pos: Column, frag: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
@@ -99,15 +107,21 @@ def nearest_site(pos: Column, frag: Column, lo: Column, hi: Column) -> tuple[Col
 
 
 def site_distance(pairs: DataFrame, sites: DataFrame, sides: tuple[str, ...] = ("1", "2"),
-                  max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``site_dist`` and ``near_lower`` per end, from the fragments already assigned."""
-    bounds = fragment_bounds(sites)
-    small = fits_broadcast(sites, max_rows)
+                  max_rows: int = SITE_WEIGHT, size: int = FRAGMENT_BIN) -> DataFrame:
+    """Add ``site_dist`` and ``near_lower`` per end, from the fragments already assigned.
+
+    The table of bounding sites is stored and weighed once for both ends.
+    """
+    bins, weight = cut_measuring(fragment_bins(sites, size), F.sum(1 + F.size("inside")))
     for side in sides:
-        table = bounds.select(F.col("chrom").alias(f"c{side}"), F.col("frag").alias(f"f{side}"),
-                              F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-        pairs = lookup_join(pairs, table, [f"c{side}", f"f{side}"],
-                            salt_from=[f"p{side}", *_spread(pairs)], small=small)
-        distance, lower = nearest_site(F.col(f"p{side}"), F.col(f"f{side}"), F.col("_lo"), F.col("_hi"))
-        pairs = pairs.withColumns({f"site_dist{side}": distance, f"near_lower{side}": lower}).drop("_lo", "_hi")
+        frag = F.col(f"f{side}")
+        table = bins.select(F.col("chrom").alias(f"c{side}"), F.col("fbin").alias("_fbin"), F.col("first").alias("_first"), F.col("inside").alias("_inside"))
+        joined = lookup_join(pairs.withColumn("_fbin", F.expr(f"f{side} div {size}")), table, [f"c{side}", "_fbin"],
+                             salt_from=[f"p{side}", *_spread(pairs)], small=weight <= max_rows)
+        lo, hi = (F.get("_inside", (frag - i - F.col("_first")).cast("int")) for i in (1, 0))
+        distance, lower = nearest_site(F.col(f"p{side}"), frag, lo, hi)
+        # an end on an unknown chromosome has no distance
+        known = F.col("_first").isNotNull()
+        pairs = joined.withColumns({f"site_dist{side}": F.when(known, distance), f"near_lower{side}": F.when(known, lower)}).drop(
+            "_fbin", "_first", "_inside")
     return pairs

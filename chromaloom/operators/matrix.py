@@ -195,25 +195,26 @@ def observed_over_expected(matrix: DataFrame, exp: DataFrame, value: str = "n")
     return joined.withColumn("oe", F.col(value) / F.nullif("expected", F.lit(0.0))).drop("d", "expected")
 
 
-MAX_PEARSON_BINS = 5000
 PEARSON_BLOCK = 256
+# columns of a block that are dense at a time
+PEARSON_COLUMNS = 4096
 
 
-def pearsons(oe: DataFrame, max_bins: int = MAX_PEARSON_BINS, block: int = PEARSON_BLOCK) -> DataFrame:
+def pearsons(oe: DataFrame, max_bins: int | None = None, block: int = PEARSON_BLOCK) -> DataFrame:
     """Correlation of every two rows of the O/E matrix: (res, chrom, i, j, r) with i <= j.
 
-    Missing pixels are 0 and empty bins are left out. The answer has bins * bins entries,
-    so this is for coarse resolutions; finer ones are refused. Rows are cut into blocks and
-    each pair of blocks is one task input of at most 2 * block * bins cells.
+    Missing pixels are 0 and empty bins are left out. The answer has bins * bins entries;
+    ``max_bins`` refuses a finer map than meant. Rows are cut into blocks. Each pair of blocks
+    is one task input: the pixels of two blocks, of which some columns are dense at a time.
     """
     cells = oe.where("oe is not null").select("res", "chrom", "b1", "b2", "oe")
     both = mirrored(cells.withColumns({"c1": F.col("chrom"), "c2": F.col("chrom")}).drop("chrom"), "oe")
-    checked = both.withColumn("i", F.when(F.col("i") < max_bins, F.col("i")).otherwise(
+    checked = both if max_bins is None else both.withColumn("i", F.when(F.col("i") < max_bins, F.col("i")).otherwise(
         F.raise_error(F.lit("resolution too fine for a correlation matrix")).cast("bigint")))
     active = checked.groupBy("res", "chrom").agg(F.count_distinct("i").alias("n_active"),
                                                  F.expr(f"max(i) div {block}").alias("last"))
     # one row per resolution and chromosome
-    sized = checked.join(active, ["res", "chrom"])
+    sized = lookup_join(checked, cut(active), ["res", "chrom"], salt_from=["i", "j"])
     mine = F.expr(f"i div {block}")
     sent = sized.select("res", "chrom", "n_active", "i", "j", "oe", mine.alias("mine"),
                         F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("other"))
@@ -222,16 +223,18 @@ def pearsons(oe: DataFrame, max_bins: int = MAX_PEARSON_BINS, block: int = PEARS
     def correlate(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         res, chrom, ba, bb = key
         n = int(cells["n_active"].iloc[0])
-        cols = np.unique(cells["j"].to_numpy())
-        place = np.searchsorted(cols, cells["j"].to_numpy())
-        rows = cells["i"].to_numpy()
-        ids, at = np.unique(rows, return_inverse=True)
-        dense = np.zeros((len(ids), len(cols)))
-        dense[at, place] = cells["oe"].to_numpy()
-        mean = dense.sum(axis=1) / n
-        var = (dense ** 2).sum(axis=1) / n - mean ** 2
+        cols, place = np.unique(cells["j"].to_numpy(), return_inverse=True)
+        ids, at = np.unique(cells["i"].to_numpy(), return_inverse=True)
+        oe = cells["oe"].to_numpy()
+        mean = np.bincount(at, oe, len(ids)) / n
+        var = np.bincount(at, oe ** 2, len(ids)) / n - mean ** 2
         a, b = np.flatnonzero(ids // block == ba), np.flatnonzero(ids // block == bb)
-        cov = dense[a] @ dense[b].T / n - np.outer(mean[a], mean[b])
+        cov = -np.outer(mean[a], mean[b])
+        for start in range(0, len(cols), PEARSON_COLUMNS):
+            here = (place >= start) & (place < start + PEARSON_COLUMNS)
+            dense = np.zeros((len(ids), min(PEARSON_COLUMNS, len(cols) - start)))
+            dense[at[here], place[here] - start] = oe[here]
+            cov += dense[a] @ dense[b].T / n
         with np.errstate(invalid="ignore", divide="ignore"):
             r = cov / np.sqrt(np.outer(var[a], var[b]))
         i, j = np.repeat(ids[a], len(b)), np.tile(ids[b], len(a))

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
 from .pairs import SHORT_FORM, phasing_candidates, to_phased_export
-from .support import BROADCAST_ROWS, cut_measuring, lookup_join
+from .support import cut_measuring, lookup_join
 
 SNP_BIN = 256
+
+# Largest table of SNPs that is broadcast, in rows plus SNPs of about 40 bytes: a few hundred
+# megabytes, above the phased sites of one human genome.
+SNP_WEIGHT = 8_000_000
 CATEGORIES = ("mismatch", "paternal_both", "maternal_both", "diff", "maternal", "paternal", "problem")
 
 # fixed value: the mitochondrial chromosome is not phased
@@ -33,14 +37,23 @@ def read_start(strand: Column, pos: Column, cigar: Column) -> Column:
     return F.when(strand == 0, pos).otherwise(pos - cg.span_len(cigar) + 1)
 
 
-def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: tuple[str, ...] = ()) -> DataFrame:
+def of_sample(snps: DataFrame, sample: str | None) -> DataFrame:
+    """SNPs of one sample; a table of several samples needs the choice."""
+    if "sample" not in snps.columns:
+        return snps
+    if sample is None:
+        raise ValueError("the variants are of several samples: name one")
+    return snps.where(F.col("sample") == sample).drop("sample")
+
+
+def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: tuple[str, ...] = (), sample: str | None = None) -> DataFrame:
     """(qname, end, snp_pos, pat, mat, base) for every SNP strictly past the start of an end.
 
     A read touches one or two bins, so this is an equi-join on the bin with the SNPs of
     the bin as an array; only SNPs on the read are emitted. ``base`` is null where the read
     has a gap or a clip.
     """
-    bins, weight = cut_measuring(snp_bins(snps, size), F.sum(1 + F.size("snps")))
+    bins, weight = cut_measuring(snp_bins(of_sample(snps, sample), size), F.sum(1 + F.size("snps")))
     ends = F.array(*[F.struct(
         F.lit(i).alias("end"), F.col(f"c{i}").alias("chrom"), F.col(f"cigar{i}").alias("cigar"),
         F.col(f"seq{i}").alias("seq"),
@@ -50,7 +63,7 @@ def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: t
     rows = rows.where((F.col("chrom") != UNPHASED) & (F.col("length") > 0))
     touched = F.sequence(F.expr(f"(start + 1) div {size}"), F.expr(f"(start + length) div {size}"))
     probe = rows.withColumn("bin", F.explode(touched))
-    joined = lookup_join(probe, bins, ["chrom", "bin"], "inner", salt_from=["qname"], small=weight <= BROADCAST_ROWS)
+    joined = lookup_join(probe, bins, ["chrom", "bin"], "inner", salt_from=["qname"], small=weight <= SNP_WEIGHT)
     on_read = F.filter("snps", lambda s: (s["pos"] > F.col("start")) & (s["pos"] <= F.col("start") + F.col("length")))
     hit = joined.withColumn("snp", F.explode(on_read))
     base = cg.base_at(F.col("cigar"), F.col("seq"), F.col("start"), F.col("snp.pos"))
@@ -58,10 +71,10 @@ def overlap_snps(pairs: DataFrame, snps: DataFrame, size: int = SNP_BIN, keep: t
                       F.col("snp.pat").alias("pat"), F.col("snp.mat").alias("mat"), base.alias("base"))
 
 
-def phase_pairs(pairs: DataFrame, snps: DataFrame, q: int = 10) -> DataFrame:
+def phase_pairs(pairs: DataFrame, snps: DataFrame, q: int = 10, sample: str | None = None) -> DataFrame:
     """Pairs with at least one call, their calls per end and their category."""
     keep = tuple(c for c in SHORT_FORM if c in pairs.columns)
-    hits = overlap_snps(phasing_candidates(pairs, q), snps, keep=keep).where("base is not null")
+    hits = overlap_snps(phasing_candidates(pairs, q), snps, keep=keep, sample=sample).where("base is not null")
     call = F.struct(F.col("snp_pos").alias("pos"), "base", phase_call(F.col("base"), F.col("pat"), F.col("mat")).alias("call"))
 
     def calls(i: int) -> Column:
@@ -120,3 +133,9 @@ def phased_snps(vcf: DataFrame, samples: list[str]) -> tuple[DataFrame, DataFram
     called = rows.where(phased & (number(1) != number(2)))
     found = called.select("sample", "chrom", "pos", allele(1).alias("pat"), allele(2).alias("mat"))
     return found, rows.where(~phased).select("sample", "chrom", "pos", "ref", "alt", "gt")
+
+
+def write_by_chromosome(phased: DataFrame, path: str) -> None:
+    """Phased pairs as one folder per chromosome, spread over files by read name."""
+    out = phased.select("qname", "c1", "p1", "c2", "p2", phase_string(F.col("calls1"), 1).alias("snps1"), phase_string(F.col("calls2"), 2).alias("snps2"), "category")
+    out.withColumn("chrom", F.col("c1")).write.partitionBy("chrom").parquet(path)

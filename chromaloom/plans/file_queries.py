@@ -6,16 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import pairs, statistics, tracks
+from ..operators import collisions, duplicates, fragments, matrix, pairs, phasing, reads, statistics, tracks
 from ..operators.support import cut, shared_folder
 from ..sources import alignments as sam
 from ..sources import contacts, reports
 from . import flow
 from .inputs import derive
-from .matrix_queries import _LOOPS, _loops, _matrix, _pixels, _TYPED
+from .matrix_queries import _LOOPS, _MIRROR, _TYPED, _loops, _matrix, _pixels
 from .pair_queries import _DIST_HIST, _MAPQ_HIST, _SITE_HIST
 from .read_queries import _tag
-from .registry import query
+from .registry import TWINS, query
 
 
 def _folder(spark, name):
@@ -208,3 +208,55 @@ with {_UNIQUE_READS} select cast(q as int) as q, cast(100000 as bigint) as res,
 def experiment_matrix(spark, d):
     """Contact matrix of a whole experiment at two mapping qualities."""
     return _experiment(spark, d)["matrix"].select("q", "res", "c1", "c2", "b1", "b2", "n")
+
+
+@query("phased_by_chromosome", TWINS["phase_categories"])
+def phased_by_chromosome(spark, d):
+    """Phased pairs written by chromosome and read back."""
+    path = _folder(spark, "phased")
+    phasing.write_by_chromosome(phasing.phase_pairs(flow.contact_pairs(spark, d), derive(spark, d, "snps")), path)
+    return phasing.category_counts(spark.read.parquet(path))
+
+
+@query("phased_variants_of_sample", """
+with v as (select 's2' as sample, * from @snps union all select 's1', chrom, pos, mat, pat from @snps), one as (select chrom, pos, pat, mat from v where sample = 's1')
+select p.qname, s.pos as snp_pos, nullif(substr(p.seq1, cast(s.pos - p.p1 + 1 as int), 1), '') as base, s.pat, s.mat from @pairs p join one s on s.chrom = p.c1
+ and p.s1 = 0 and p.cigar1 = '32M' and s.pos > p.p1 and s.pos <= p.p1 + 32 where p.c1 = p.c2 and p.q1 >= 10 and p.q2 >= 10""")
+def phased_variants_of_sample(spark, d):
+    """SNPs under forward first ends without gaps, for one of two samples."""
+    own = derive(spark, d, "snps")
+    both = own.withColumn("sample", F.lit("s2")).unionByName(own.select(
+        "chrom", "pos", F.col("mat").alias("pat"), F.col("pat").alias("mat"), F.lit("s1").alias("sample")))
+    plain = phasing.phasing_candidates(flow.contact_pairs(spark, d)).where("s1 = 0 and cigar1 = '32M'")
+    return phasing.overlap_snps(plain, both, sample="s1").where("end = 1").select("qname", "snp_pos", "base", "pat", "mat")
+
+
+@query("contacts_long", """
+with recursive """ + _UNIQUE_READS.removeprefix("recursive ").rpartition(",\nu as")[0] + """
+select g.qname, g.s1, g.c1, g.p1, g.f1, g.s2, g.c2, g.p2, g.f2, g.q1, g.q2, x.cigar1, x.cigar2 from g join (select qname from walk where not dup) k on g.qname = k.qname
+ join @classified x on x.qname = g.qname""")
+def contacts_long(spark, d):
+    """Unique contacts of the long list: outer positions, fragments, qualities and alignments of both ends."""
+    found = reads.accepted(flow.classified(spark, d))
+    both = fragments.assign_fragments(found, flow.sites(spark, d))
+    unique = duplicates.unique_pairs(both, carry=("q1", "q2", "cigar1", "cigar2"))
+    return unique.select("qname", *pairs.SHORT_FORM, "q1", "q2", "cigar1", "cigar2")
+
+
+@query("oversized_reads", "select qname, count(*) as k from (select 'rd' || cast(cast(substr(qname, 3) as bigint) % 2 as varchar) as qname, * exclude (qname) from @alignments) group by 1 having count(*) > 10000 and min(mapq) >= 0")
+def oversized_reads(spark, d):
+    """Names with more records than a read has bases: all records under two names."""
+    hot = derive(spark, d, "alignments").withColumn("qname", F.concat(F.lit("rd"), (F.substring("qname", 3, 20).cast("bigint") % 2).cast("string")))
+    return collisions.oversized_reads(hot, 0)
+
+
+@query("region_of_two_chromosomes", f"""
+with {_MIRROR}, av as (select c1, c2, b1, b2, n from ({_pixels(100_000)}) x where c1 = 'chr1' and c2 = 'chr2'),
+raw as (select p.*, n / (a.total * b.total) as value from av p join rs a on a.chrom = p.c1 and a.i = p.b1 join rs b on b.chrom = p.c2 and b.i = p.b2)
+select cast(b1 * 100000 as bigint) as x, cast(b2 * 100000 as bigint) as y, round(value * (select sum(n) / sum(value) from raw), 6) as value from raw
+ where b1 between 5 and 20 and b2 between 10 and 40""")
+def region_of_two_chromosomes(spark, d):
+    """Normalised rectangle between two chromosomes."""
+    m = cut(_matrix(spark, d, (100_000,)))
+    found = matrix.extract_region(m, 100_000, ("chr1", 500_000, 2_000_000), ("chr2", 1_000_000, 4_000_000), cut(matrix.norm_vectors(m, "VC")))
+    return found.select("x", "y", F.round("value", 6).alias("value"))

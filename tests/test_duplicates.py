@@ -89,3 +89,13 @@ def test_group_duplicates_need_all_positions(spark):
     df = spark.createDataFrame(rows, "qname string, k long, recs array<struct<chrom:string,pos:long,strand:int,rec_no:int,mapq:int,cigar:string>>")
     dup = {r.qname for r in collisions.dedup_groups(df).where("is_dup").collect()}
     assert dup == {"b"}
+
+
+def test_points_of_many_ways_go_to_four_tiles_at_most(spark):
+    side = duplicates._tile_side(4)
+    df = spark.createDataFrame([("k", [side * i for i in range(1, 41)], "x")], "key string, pos array<long>, rep string")
+    assert duplicates._spread(df, ["key", "pos", "rep"], 4, side).count() == 4
+    rows = [(f"r{i}", [100 * k + d * (k + 1 == i) for k in range(12)]) for i, d in enumerate([0, 3, 4, 5, 9])]
+    points = spark.createDataFrame([("k", p, r) for r, p in rows], "key string, pos array<long>, rep string")
+    kept = {r.rep for r in duplicates.greedy_unique(points.dropDuplicates(["pos"]), ["key"], 4, side=9).collect()}
+    assert kept == {"r0", "r3", "r4"}

@@ -126,3 +126,17 @@ def test_motif_must_be_alone(spark):
                                    "chrom string, start long, end long, strand string")
     got = features.anchor_motifs(loops, peaks, motifs).collect()
     assert [(r.side, r.motif_start, r.convergent) for r in got] == [(1, 1000, True)]
+
+
+def test_domains_beyond_the_span_are_counted(spark):
+    cells = [("chr1", i, j, 10.0 if (i < 20) == (j < 20) else 1.0) for i in range(60) for j in range(i, 60)]
+    values = spark.createDataFrame(cells, "chrom string, b1 long, b2 long, value double")
+    left = features.beyond_span(values, 10).collect()
+    assert [(r.chrom, r.pixels) for r in left] == [("chr1", sum(j - i >= 20 for i in range(60) for j in range(i, 60)))]
+    assert features.beyond_span(values, 30).isEmpty()
+
+
+def test_loops_ask_for_their_shape(spark):
+    values = spark.createDataFrame([("chr1", 0, 1, 1, 1.0)], "chrom string, b1 long, b2 long, n long, value double")
+    with pytest.raises(ValueError, match="give peak and window"):
+        features.loops(values, values, values, 7000)
