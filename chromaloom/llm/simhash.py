@@ -32,6 +32,8 @@ SHARD = 4096
 LEAF = 512
 # Fingerprints of a large shard that its tree is grown from.
 TREE_SAMPLE = 512
+# Vantage points that are tried for a split.
+POINTS = 8
 LANES = np.uint64(0x0101010101010101)
 
 
@@ -113,15 +115,19 @@ def distances(fps: np.ndarray, point: np.uint64) -> np.ndarray:
     return np.bitwise_count(fps ^ point).astype(np.int64)
 
 
+def _halves(fps: np.ndarray, point: np.uint64, radius: int) -> tuple[np.uint64, int, np.ndarray, np.ndarray]:
+    """Near and far side of a vantage point; the near side reaches ``radius`` over the median."""
+    d = distances(fps, point)
+    middle = int(np.median(d))
+    return point, middle, fps[d <= middle + radius], fps[d > middle]
+
+
 def grow(sample: np.ndarray, size: float, radius: int = RADIUS, most: int = SHARD) -> tuple | None:
     """Vantage-point tree (point, median, near, far) over a sample; None is a leaf."""
     if size <= most or len(sample) < 8:
         return None
-    point = sample[0]
-    d = distances(sample, point)
-    middle = int(np.median(d))
-    near, far = sample[d <= middle + radius], sample[d > middle]
-    if max(len(near), len(far)) > 0.9 * len(sample):
+    point, middle, near, far = min((_halves(sample, p, radius) for p in sample[:: max(len(sample) // POINTS, 1)]), key=lambda h: max(len(h[2]), len(h[3])))
+    if max(len(near), len(far)) > 0.9 * len(sample):  # all within a few bits of each other
         return None
     share = size / len(sample)
     return (int(point), middle, grow(near[near != point], share * len(near), radius, most), grow(far, share * len(far), radius, most))
