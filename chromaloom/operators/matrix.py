@@ -57,9 +57,9 @@ def contact_matrix(pairs: DataFrame, resolutions=RESOLUTIONS, q: int | None = No
     kept = pairs if q is None else mapq_filter(pairs, q)
     narrow = kept.select("c1", "p1", "c2", "p2")
     if sizes is not None:
+        chroms, n = cut_measuring(sizes.select("chrom"), F.count("*"))
         for i in (1, 2):
-            known = sizes.select(F.col("chrom").alias(f"c{i}"))
-            narrow = lookup_join(narrow, known, [f"c{i}"], "inner", salt_from=["p1", "p2"])
+            narrow = lookup_join(narrow, chroms.withColumnRenamed("chrom", f"c{i}"), [f"c{i}"], "inner", salt_from=["p1", "p2"], small=n <= BROADCAST_ROWS)
 
     def first(df: DataFrame, size: int) -> DataFrame:
         a, b = F.expr(f"p1 div {size}"), F.expr(f"p2 div {size}")

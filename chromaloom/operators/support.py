@@ -14,11 +14,6 @@ BROADCAST_ROWS = 2_000_000
 SALTS = 16
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` is known to have at most ``max_rows`` rows (a bounded count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
                 salt_from: list[str] | None = None, max_rows: int = BROADCAST_ROWS,
                 salts: int = SALTS, small: bool | None = None) -> DataFrame:
@@ -26,9 +21,13 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "lef
 
     A lookup of checked size is broadcast. A larger one is shuffled, with every key
     spread over ``salts`` tasks so that one hot key does not end in one task. ``small``
-    passes on a size check the caller has already made.
+    passes on a size check the caller has already made; without it the lookup is written once
+    and counted on the way.
     """
-    if fits_broadcast(lookup, max_rows) if small is None else small:
+    if small is None:
+        lookup, rows = cut_measuring(lookup, F.count("*"))
+        small = rows <= max_rows
+    if small:
         return df.join(F.broadcast(lookup), on, how)
     salted = df.withColumn("_salt", row_salt(salt_from or df.columns, salts))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

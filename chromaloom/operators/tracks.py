@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from .pairs import junction_reads, stack_ends
-from .support import cut
+from .support import cut_measuring
 
 # fixed values: coverage unit, search step and default genome length of the resolution rule
 UNIT = 50
@@ -25,24 +25,33 @@ def coverage(pairs: DataFrame, size: int = UNIT) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
+def _wanted(size: int, genome_size: int) -> int:
+    """Bins of a size that must hold enough contacts."""
+    return genome_size // size * 4 // 5
+
+
 def _passing(cov: DataFrame, sizes: list[int], genome_size: int, min_contacts: int) -> dict[int, bool]:
     """Which bin sizes reach the threshold: one job for all of them, one row per size back."""
     sized = cov.withColumn("size", F.explode(F.array(*[F.lit(s).cast("bigint") for s in sizes])))
     bins = sized.groupBy("size", "chrom", F.expr("start div size").alias("b")).agg(F.sum("n").alias("n"))
     rows = bins.groupBy("size").agg(F.count_if(F.col("n") >= min_contacts).alias("good")).collect()
     good = {r["size"]: r["good"] for r in rows}
-    return {s: good.get(s, 0) >= genome_size // s * 4 // 5 for s in sizes}
+    return {s: good.get(s, 0) >= _wanted(s, genome_size) for s in sizes}
 
 
 def map_resolution(cov: DataFrame, genome_size: int = GENOME_SIZE, min_contacts: int = 1000) -> DataFrame:
     """Smallest bin size, in steps of 50 bp, at which 80 % of the bins hold enough contacts.
 
-    Coarse sizes (50, 1050, ...) are tried until one passes, a batch per job; then the
-    sizes between the last failure and it, again in one job, are bisected.
+    Coarse sizes (50, 1050, ...) are tried until one passes, a batch per job, from the first
+    that all ends together could fill; then the sizes between the last failure and it, again in
+    one job, are bisected.
     """
     spark = cov.sparkSession
-    cov = cut(cov)
-    low, size, passed = UNIT, UNIT, False
+    cov, ends = cut_measuring(cov, F.sum("n"))
+    size = UNIT
+    while ends < min_contacts * _wanted(size, genome_size):
+        size += STEP
+    low, passed = max(size - STEP, UNIT), False
     while not passed:
         batch = [size + i * STEP for i in range(COARSE_BATCH)]
         verdict = _passing(cov, batch, genome_size, min_contacts)
