@@ -247,7 +247,22 @@ def loops(spark, d):
     return features.loops(values, exp, sizes, 25_000)
 
 
-@query("domains")
+@query("domains", f"""
+with recursive {_MIRROR}, {_SCALED}, m as (select chrom, b1 as i, b2 as j, value from vals where b2 - b1 < 50 union all select chrom, b2, b1, value from vals where b1 <> b2 and b2 - b1 < 50),
+st as (select chrom, k * 25 + o as a from (select distinct chrom, unnest(range(greatest(b2 // 25 - 2, 0), b1 // 25 + 2)) as k from vals where b2 - b1 < 50) w, range(25) t(o)),
+pref as (select r.chrom, r.r, r.r + d as j, case when coalesce(u.value, 0) + coalesce(w.value, 0) > 0
+ then (coalesce(u.value, 0) - coalesce(w.value, 0)) / (coalesce(u.value, 0) + coalesce(w.value, 0)) else 0 end as p
+ from (select distinct chrom, a + x as r from st, range(26) t(x)) r cross join range(1, 50) z(d)
+ left join m u on u.chrom = r.chrom and u.i = r.r - d and u.j = r.r left join m w on w.chrom = r.chrom and w.i = r.r and w.j = r.r + d),
+dom as (select chrom, a, a + s as b, (a + a + s) // 2 as mid from st, range(4, 26) z(s)),
+sc as (select q.chrom, a, b, (avg(case when r > mid then p end) - avg(case when r <= mid then p end) + avg(case when r > mid then sign(p) end) - avg(case when r <= mid then sign(p) end)) / 4 as score
+ from dom q join pref f on f.chrom = q.chrom and r between a and b and (r <= mid and j between 2 * r - a + 1 and b or r > mid and j between b + 1 and 2 * r - a) group by all),
+od as (select *, row_number() over (partition by chrom order by score desc, a, b) as rn from sc where score >= 0.3),
+walk as (select chrom, rn, a, b, score, [{{'a': a, 'b': b}}] as kept, false as near from od where rn = 1
+ union all
+ select o.chrom, o.rn, o.a, o.b, o.score, case when len(list_filter(w.kept, lambda x: abs(x.a - o.a) <= 4 and abs(x.b - o.b) <= 4)) > 0 then w.kept else list_append(w.kept, {{'a': o.a, 'b': o.b}}) end,
+ len(list_filter(w.kept, lambda x: abs(x.a - o.a) <= 4 and abs(x.b - o.b) <= 4)) > 0 from walk w join od o on o.chrom = w.chrom and o.rn = w.rn + 1)
+select chrom, cast(a * 100000 as bigint) as start, cast((b + 1) * 100000 as bigint) as "end", round(score, 6) as score from walk where not near""")
 def domains(spark, d):
     values, _, _ = _values(spark, d, 100_000)
     return features.domains(values, 100_000, span=25, min_score=0.3).withColumn("score", F.round("score", 6))
