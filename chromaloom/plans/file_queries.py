@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import measures
 from ..operators import collisions, duplicates, fragments, matrix, pairs, phasing, reads, statistics, tracks
 from ..operators.support import cut, shared_folder
 from ..sources import alignments as sam
@@ -260,3 +261,29 @@ def region_of_two_chromosomes(spark, d):
     m = cut(_matrix(spark, d, (100_000,)))
     found = matrix.extract_region(m, 100_000, ("chr1", 500_000, 2_000_000), ("chr2", 1_000_000, 4_000_000), cut(matrix.norm_vectors(m, "VC")))
     return found.select("x", "y", F.round("value", 6).alias("value"))
+
+
+@query("merged_report", """
+select cast(sum(total) as bigint) as total, cast(sum(unmapped) as bigint) as unmapped, cast(sum(normal) as bigint) as normal, cast(sum(chimeric) as bigint) as chimeric,
+ cast(sum(ligations) as bigint) as ligations, round(sum(unmapped) * 100.0::double / sum(total), 2) as unmapped_pct, round(avg(total % 97 + 0.25), 2) as avg_insert from @split_stats""")
+def merged_report(spark, d):
+    """One report per split, written as text, read back and merged."""
+    stats = derive(spark, d, "split_stats")
+    label = {c: k for k, c in reports.MERGED_LABELS.items()}
+    lines = [F.concat(F.lit(f" {label[c]}: "), measures.commify(F.col(c)), F.lit(" (1.50%)")) for c in ("total", "unmapped", "normal", "chimeric", "ligations")]
+    lines.append(F.format_string(reports.INSERT_LINE, (F.col("total") % 97 + 0.25)))
+    path = _folder(spark, "reports")
+    stats.select("split", F.explode(F.array(*lines)).alias("value")).write.partitionBy("split").text(path)
+    merged = reports.merge_reports(reports.read_stats_report(spark, f"{path}/*"))
+    return merged.select("total", "unmapped", "normal", "chimeric", "ligations", "unmapped_pct", "avg_insert")
+
+
+@query("report_lines", f"""
+with c as ({TWINS["contact_statistics"]}) select label, cast(n as double) as n from c, lateral (values ('Intra-fragment Reads', intra_fragment), ('Below MAPQ Threshold', below_mapq),
+ ('Hi-C Contacts', contacts), ('Ligation Motif Present', ligation), ('Inter-chromosomal', inter), ('Intra-chromosomal', intra), ('Short Range (<20Kb)', short), ('Long Range (>20Kb)', long)) v(label, n)""")
+def report_lines(spark, d):
+    """All counters of the contact report, formatted and read back."""
+    unique = flow.unique_contacts(spark, d, ("q1", "q2", "seq1", "seq2"))
+    lines = reports.format_contact_statistics(cut(statistics.contact_statistics(unique, flow.sites(spark, d), junction="GATC")))
+    wanted = [label.strip() for label, _ in reports.CONTACT_LABELS]
+    return reports.parse_stats(lines.withColumnRenamed("value", "text")).where(F.col("label").isin(wanted))

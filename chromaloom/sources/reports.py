@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import LOG_EDGES, commify
+from ..functions.motifs import UNKNOWN_JUNCTION
 from ..operators.phasing import phased_snps
-from ..operators.statistics import MAX_MAPQ, MAX_SITE_DISTANCE
+from ..operators.statistics import MAX_MAPQ, MAX_SITE_DISTANCE, merge_stats
 
 CYTOSINE = "chrom string, pos bigint, strand string, n_meth int, n_unmeth int, context string, trinucleotide string"
 
@@ -81,6 +82,26 @@ CONTACT_LABELS = (
 )
 
 
+READ_TYPE = {False: "Read type: Paired End", True: "Read type: Single End"}
+LIGATION_LABEL = "Ligation Motif Present"
+NOT_KNOWN = "N/A"
+INSERT_LINE = "Average insert size: %.2f"
+BIAS_LINE = " 3' Bias (Long Range): %.0f%% - %.0f%%"
+TYPE_LINE = " Pair Type %%(L-I-O-R): %.0f%% - %.0f%% - %.0f%% - %.0f%%"
+# counters of a report that reports are merged by
+MERGED_LABELS = {
+    "Sequenced Read Pairs": "total",
+    "One or both reads unmapped": "unmapped",
+    "2 alignments (A...B)": "normal",
+    "2 alignments (A1...A2B; A1B2...B1A2)": "chimeric",
+    "3 or more alignments": "ambiguous",
+    "Ligation Motif Present": "ligations",
+    "Total Unique": "unique",
+    "Total Duplicates": "duplicates",
+    "Average insert size": "avg_insert",
+}
+
+
 def _percent(col: Column) -> Column:
     return F.format_string("%.2f%%", col)
 
@@ -90,14 +111,20 @@ def _lines(df: DataFrame, texts: list[Column]) -> DataFrame:
     return df.select(rows).where("value is not null")
 
 
-def format_sequencing(summary: DataFrame, single_end: bool = False) -> DataFrame:
-    """Report lines (line, value) of a one-row sequencing summary."""
-    texts = [F.lit("Read type: " + ("Single End" if single_end else "Paired End"))]
+def format_sequencing(summary: DataFrame, single_end: bool = False, junction: str | None = None) -> DataFrame:
+    """Report lines (line, value) of a one-row sequencing summary.
+
+    Without an enzyme, when ``junction`` is the pattern of none, ligations are not known.
+    """
+    texts = [F.lit(READ_TYPE[single_end])]
     for label, counter, share in SINGLE_LABELS if single_end else PAIRED_LABELS:
+        if label == LIGATION_LABEL and junction == UNKNOWN_JUNCTION:
+            texts.append(F.lit(f"{label}: {NOT_KNOWN}"))
+            continue
         text = F.concat(F.lit(f"{label}: "), commify(F.col(counter)))
         texts.append(F.concat(text, F.lit(" ("), _percent(F.col(share)), F.lit(")")) if share else text)
     if not single_end:
-        texts.append(F.format_string("Average insert size: %.2f", F.col("avg_insert").cast("double")))
+        texts.append(F.format_string(INSERT_LINE, F.col("avg_insert").cast("double")))
     for label, c, base in SINGLE_TOTALS if single_end else PAIRED_TOTALS:
         texts.append(F.concat(F.lit(f"{label}: "), commify(F.col(c)), F.lit(" ("), _percent(F.col(f"{c}_of_{base}_pct")),
                               F.lit(", "), _percent(F.col(f"{c}_pct")), F.lit(")")))
@@ -114,8 +141,8 @@ def format_contact_statistics(stats: DataFrame) -> DataFrame:
         texts.append(F.concat(F.lit(f"{label}: "), commify(F.col(c)), F.lit(" ("), share, F.lit(")")))
         if c == "ligation":
             if "three_prime_pct" in stats.columns:
-                texts.append(F.format_string(" 3' Bias (Long Range): %.0f%% - %.0f%%", "three_prime_pct", "five_prime_pct"))
-            texts.append(F.format_string(" Pair Type %%(L-I-O-R): %.0f%% - %.0f%% - %.0f%% - %.0f%%",
+                texts.append(F.format_string(BIAS_LINE, "three_prime_pct", "five_prime_pct"))
+            texts.append(F.format_string(TYPE_LINE,
                                          *[F.col(f"{o}_long_pct") for o in ("left", "inner", "outer", "right")]))
     return _lines(stats, texts)
 
@@ -139,6 +166,18 @@ def read_stats_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_stats(lines, ("file",))
 
 
+def merge_reports(found: DataFrame) -> DataFrame:
+    """One row of summed counters with shares from the lines of several reports (file, label, n).
+
+    The insert size is averaged. A counter that no report has is null.
+    """
+    names = F.create_map(*[F.lit(x) for pair in MERGED_LABELS.items() for x in pair])
+    counters = tuple(dict.fromkeys(MERGED_LABELS.values()))
+    wide = (found.withColumn("counter", F.try_element_at(names, F.col("label"))).where("counter is not null")
+            .groupBy("file").pivot("counter", list(counters)).agg(F.max("n")))
+    return merge_stats(wide, tuple(c for c in counters if c != "avg_insert"))
+
+
 def _dense(hists: DataFrame, hist: str, first: int, last: int, series: list[str]) -> DataFrame:
     """Every bin from ``first`` to ``last`` with one column per series."""
     spark = hists.sparkSession

@@ -160,6 +160,9 @@ def test_report_text(spark, tmp_path):
     assert "Total Unique: 1,000,000 (83.33%, 81.04%)" in text
     parsed = {r.label: r.n for r in reports.read_stats_report(spark, str(tmp_path / "r")).collect()}
     assert parsed["Total Duplicates"] == 200_000
+    assert "Ligation Motif Present: 7 (0.00%)" in text
+    without = [r.value for r in reports.format_sequencing(statistics.sequencing_summary(stats, 0), junction="XXXX").collect()]
+    assert "Ligation Motif Present: N/A" in without
 
 
 def test_single_end_report(spark):
