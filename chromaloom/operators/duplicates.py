@@ -12,18 +12,25 @@ state, *open*, for positions that wait for a neighbour tile. Open positions, if
 through further rounds together with what the last round settled next to them. The
 earliest open position of each round is always settled, so the rounds end, and the result
 does not depend on the tile size.
+
+In a long chain of near positions every tile waits for the one before it. What is still open
+after a few rounds is therefore cut into islands of tiles that wait for each other, found in a
+number of steps that grows with the logarithm of their length, and an island of bounded size is
+walked whole. Larger islands go on tile by tile.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flags, names
 from .pairs import BLOCK
-from .support import cut, cut_measuring, lookup_join
+from .support import components, cut, cut_measuring, lookup_join
 
 # a row of markers holds up to nine reads
 MARKER_ROWS = 100_000
@@ -33,6 +40,11 @@ WOBBLE = 4
 OPTICAL_RADIUS = 50
 
 
+# rounds tile by tile before islands are looked for, and the open points of one that is walked whole
+ROUNDS = 3
+ISLAND = 500_000
+
+
 def _tile_side(wobble: int) -> int:
     return 32 * (wobble + 1)
 
@@ -94,12 +106,47 @@ def _solve_tile(wobble: int, rep_type: str, dims: int | None) -> Column:
         acc -> acc.out))""")
 
 
+def _walk(wobble: int):
+    """Walk the points of an island in order; returns those it keeps."""
+    def run(points: pa.Table) -> pa.Table:
+        pos = points["pos"].to_pylist()
+        known = points["known"].to_pylist()
+        near: deque[int] = deque()
+        kept = []
+        for i in sorted(range(len(pos)), key=lambda i: (pos[i], not known[i])):
+            x = pos[i]
+            while near and pos[near[0]][0] < x[0] - wobble:
+                near.popleft()
+            if not known[i]:
+                if any(all(abs(a - b) <= wobble for a, b in zip(pos[j], x, strict=True)) for j in near):
+                    continue
+                kept.append(i)
+            near.append(i)
+        return points.take(pa.array(kept, pa.int64()))
+    return run
+
+
+def _islands(open_: DataFrame, key: list[str], spread) -> DataFrame:
+    """(key, t0, t1, island, n): tiles with open points, the island of each and the island's open points."""
+    tile = [*key, "t0", "t1"]
+    sent = spread(open_)
+    tiles = cut(sent.where("n = 0").groupBy(*tile).agg(F.count("*").alias("_own")).withColumn("node", F.xxhash64(*tile)))
+    own = [F.expr(f"pos[{i}] div {spread.side}").alias(f"h{i}") for i in (0, 1)]
+    edges = sent.where("n > 0").select(F.xxhash64(*key, *own).alias("a"), F.xxhash64(*tile).alias("b")).distinct()
+    there = tiles.select(F.col("node").alias("b")).distinct()
+    roots = components(edges.join(there, "b"))
+    placed = cut(tiles.join(roots, "node", "left").select(*tile, F.coalesce("root", "node").alias("island"), "_own"))
+    sizes = placed.groupBy("island").agg(F.sum("_own").alias("n"))
+    return cut(placed.drop("_own").join(sizes, "island"))
+
+
 def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | None = None,
-                  dims: int | None = None) -> DataFrame:
+                  dims: int | None = None, rounds: int = ROUNDS, island: int = ISLAND) -> DataFrame:
     """Points that survive the rule; ``points`` has the key, ``pos`` (array) and ``rep``.
 
     Positions must be distinct within a key. ``dims`` is the length of ``pos`` when it is the
-    same for all points.
+    same for all points. After ``rounds`` rounds islands of at most ``island`` open points are
+    walked whole.
     """
     if wobble == 0:
         return points
@@ -115,6 +162,8 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
     def spread(df: DataFrame) -> DataFrame:
         return _spread(df, columns, wobble, side)
 
+    spread.side, done = side, 0
+
     todo = points.withColumn("known", F.lit(False))
     sent = spread(todo)
     found = []
@@ -132,7 +181,18 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
         # only tiles with open points go on; what was settled matters there as a neighbour
         active = spread(waiting).where("n = 0").select(*key, *tile).distinct()
         around = spread(settled.where(border)).where("n > 0").join(active, [*key, *tile], "left_semi")
-        sent = spread(waiting).where("n = 0").unionByName(around)
+        sent, done = spread(waiting).where("n = 0").unionByName(around), done + 1
+        if done != rounds:
+            continue
+        islands = _islands(waiting, key, spread)
+        named = cut(sent.withColumnRenamed("n", "_move").join(islands, [*key, *tile]))
+        # a settled neighbour may come to several tiles of an island; open ones are at home in one
+        small = named.where(F.col("n") <= island).where("known or _move = 0").select(*key, "island", "pos", "rep", "known")
+        walked = small.groupBy(*key, "island").applyInArrow(_walk(wobble), small.schema)
+        found.append(cut(walked.drop("island", "known")))
+        sent = cut(named.where(F.col("n") > island).drop("island", "n").withColumnRenamed("_move", "n").select(*columns, "n", *tile))
+        if sent.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def _folded(pairs: DataFrame, key: list[str], carry: tuple[str, ...]) -> DataFrame:

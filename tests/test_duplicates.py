@@ -99,3 +99,27 @@ def test_points_of_many_ways_go_to_four_tiles_at_most(spark):
     points = spark.createDataFrame([("k", p, r) for r, p in rows], "key string, pos array<long>, rep string")
     kept = {r.rep for r in duplicates.greedy_unique(points.dropDuplicates(["pos"]), ["key"], 4, side=9).collect()}
     assert kept == {"r0", "r3", "r4"}
+
+
+@pytest.mark.parametrize("island", [500_000, 20])
+def test_long_chains_and_their_islands(spark, island):
+    """Chains over many tiles, walked as islands or, above the limit, tile by tile."""
+    rng = random.Random(3)
+    places = [(2 * i, 100) for i in range(120)] + [(rng.randint(0, 60), rng.randint(500, 540)) for _ in range(150)] + [(3 * i, 900 + 3 * i) for i in range(40)]
+    places = sorted(set(places))
+    df = spark.createDataFrame([("k", list(p), f"r{i}") for i, p in enumerate(places)], "key string, pos array<long>, rep string")
+    want = []
+    for a, b in places:
+        if not any(abs(a - x) <= 4 and abs(b - y) <= 4 for x, y in want):
+            want.append((a, b))
+    got = duplicates.greedy_unique(df, ["key"], 4, side=40, dims=2, rounds=1, island=island).collect()
+    assert sorted(tuple(r.pos) for r in got) == want
+
+
+def test_a_chain_of_many_tiles_needs_few_jobs(spark, monkeypatch):
+    """Twenty thousand points two apart settle in three rounds of tiles and one of islands."""
+    rounds = []
+    monkeypatch.setattr(duplicates, "cut_measuring", lambda df, m, real=duplicates.cut_measuring: rounds.append(1) or real(df, m))
+    df = spark.range(20_000).select(F.lit("k").alias("key"), F.array(2 * F.col("id"), F.lit(100).cast("long")).alias("pos"), F.col("id").cast("string").alias("rep"))
+    assert duplicates.greedy_unique(df, ["key"], 4, dims=2).count() == 6667
+    assert len(rounds) == 3
