@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .support import by_batch, cut
+from .support import by_batch, cut, release
 from .tokens import slices
 
 # Labelled documents of each label that the model is fitted on, at most.
@@ -254,4 +254,5 @@ def good_documents(docs: DataFrame, model: Crf, threshold: float = THRESHOLD) ->
             if batch.num_rows:
                 found = [model.score([t or "" for t in some.to_pylist()]) for some in slices(batch.column(at), 4 << 20)]
                 yield batch.filter(pa.array(np.concatenate(found) >= threshold))
+            release()
     return docs.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .support import body
+from .support import body, release
 
 END = 2
 # Rows of one row index entry, and bytes of a stripe before compression.
@@ -58,6 +58,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end: int = END, parts
                     pa.array(before + bounds[:-1]), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat.view(np.int32))),
                 ], names=["doc_id", "part", "row", "part_start", "ids"])
                 done, row, before = done + n, row + n, before + int(bounds[-1])
+            release()
 
     (dealt.mapInArrow(run, STORED).write.option("orc.bloom.filter.columns", "doc_id").option("orc.row.index.stride", index_rows)
      .option("orc.stripe.size", stripe).option("compression", "zstd").orc(path))

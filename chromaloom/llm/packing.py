@@ -22,13 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import tokens
+from .support import release
 
 WINDOW = 2048
 # Width of a length class, and how many remainders a combination may hold.
 CLASS = 32
 DEPTH = 4
 # Ids of a group: groups bound the memory of a task and are packed each on its own.
-GROUP_IDS = 4 << 20
+GROUP_IDS = 2 << 20
 END = 1
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -184,6 +185,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, width: int = CL
                     if group.n >= group_ids:
                         yield group.flush()
                 done += len(some)
+            release()
         yield group.flush(last=True)
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

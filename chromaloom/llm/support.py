@@ -29,9 +29,15 @@ def by_batch(df: DataFrame, schema: str, each: Callable[[], Callable[[pa.RecordB
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+            release()
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that Arrow keeps for reuse back: Python workers stay between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def join_hot(rows: DataFrame, table: DataFrame, key: str, total: int, how: str = "left") -> DataFrame:
     """Join ``rows`` to ``table``, which has one row per key and the key's row count as ``_n``.
 

@@ -21,7 +21,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 # Bytes of text that are split at a time; one longer text is a slice of its own.
-SLICE = 12 << 20
+SLICE = 4 << 20
 # The word pattern of byte-level BPE files (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
