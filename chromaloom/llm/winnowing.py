@@ -64,19 +64,19 @@ def positions(rows: DataFrame, text: str = "text", k: int = K, w: int = W) -> Da
 
 
 def hashes(kept: str) -> Column:
-    """Different hashes of a fingerprint."""
-    return F.array_distinct(F.transform(kept, lambda x: F.shiftright(x + (PLACES - 1), 31).cast("int")))
+    """Hashes of a fingerprint in order of position."""
+    return F.transform(kept, lambda x: F.shiftright(x + (PLACES - 1), 31).cast("int"))
 
 
-def string(kept: str) -> Column:
-    """Hashes of a fingerprint in order of position, eight hexadecimal digits each."""
-    return F.array_join(F.transform(kept, lambda x: F.lpad(F.lower(F.hex(F.shiftright(x + (PLACES - 1), 31).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
+def string(found: str) -> Column:
+    """Hashes of a fingerprint, eight hexadecimal digits each."""
+    return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: str, b: str) -> Column:
-    """Shared part of all different hashes of two fingerprints (arrays of hashes), from 0 to 1; two empty ones are alike."""
-    shared = F.size(F.array_intersect(a, b))
-    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(shared / F.greatest(F.size(a) + F.size(b) - shared, F.lit(1)))
+    """Shared part of all different hashes of two fingerprints, from 0 to 1; two empty ones are alike."""
+    shared, every = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    return F.when(every == 0, 1.0).otherwise(shared / F.greatest(every, F.lit(1)))
 
 
 def edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -84,8 +84,8 @@ def edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
 
     The next document is that of the next smaller doc_id, after the smallest the largest. The
     edited text has the last floor(n_chars / 3) code points replaced by as many first ones of the
-    next document, or all it has. Columns: doc_id, n_chars, edited, kept, edited_kept (keys), and
-    near_edited, near_next.
+    next document, or all it has. Columns: doc_id, n_chars, edited, kept, edited_kept (hashes in
+    order of position), and near_edited, near_next.
 
     Null text is an empty text. Rows that share a doc_id are one document, that with the smallest
     text; a null doc_id comes after all others. An empty table gives no rows; other columns are
@@ -103,12 +103,11 @@ def edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     before = order.select(F.pmod(F.col("at") + 1, F.lit(max(total, 1))).alias("at"), F.col("key").alias("before"), F.floor(F.col("n") / 3).cast("int").alias("take"))
     sent = order.select("key", "at").join(before, "at").select("key", "before", "take")
     # one exchange of the texts serves both joins
-    own = fingerprints(texts, "text", "kept", k, w).hint("shuffle_merge")
+    own = fingerprints(texts, "text", "_kept", k, w).select("key", "text", hashes("_kept").alias("kept")).hint("shuffle_merge")
     heads = own.join(sent.hint("shuffle_merge"), "key").select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("take")).alias("head"), F.col("kept").alias("next_kept"))
     joined = own.join(heads.hint("shuffle_merge"), "key")
     n = F.length("text")
     changed = joined.select("key", n.alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), "head").alias("edited"), "kept", "next_kept")
-    found = fingerprints(changed, "edited", "edited_kept", k, w)
-    found = found.withColumns({"_own": hashes("kept"), "_edited": hashes("edited_kept"), "_next": hashes("next_kept")})
+    found = fingerprints(changed, "edited", "_kept", k, w).withColumn("edited_kept", hashes("_kept"))
     return found.select(F.when(F.col("key") != lowest, F.col("key")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited", "kept", "edited_kept",
-                        likeness("_own", "_edited").alias("near_edited"), likeness("_own", "_next").alias("near_next"))
+                        likeness("kept", "edited_kept").alias("near_edited"), likeness("kept", "next_kept").alias("near_next"))
