@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 SALTS = 16
 
+# tables written by ``cut`` in this session
+WRITTEN: list[str] = []
+
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
                 salt_from: list[str] | None = None, max_rows: int = BROADCAST_ROWS,
@@ -93,10 +96,25 @@ def cut(df: DataFrame) -> DataFrame:
     steps read only the columns and rows they need and know the table's size.
     """
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables that ``cut`` has written so far; returns their number.
+
+    For callers that have written or collected their results: frames that still read a stage
+    fail afterwards.
+    """
+    conf, fs = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+    dropped = 0
+    while WRITTEN:
+        path = fs.Path(WRITTEN.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
+
+
 def cut_measuring(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
     """``cut`` that also evaluates an aggregate over the rows while they are written."""
     seen = Observation()

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chromaloom.operators import features, matrix
+from chromaloom.operators import features, matrix, support
 from chromaloom.sources import contacts as files
 
 PIXELS = "res long, c1 string, c2 string, b1 long, b2 long, n long"
@@ -140,3 +140,10 @@ def test_loops_ask_for_their_shape(spark):
     values = spark.createDataFrame([("chr1", 0, 1, 1, 1.0)], "chrom string, b1 long, b2 long, n long, value double")
     with pytest.raises(ValueError, match="give peak and window"):
         features.loops(values, values, values, 7000)
+
+
+def test_stage_tables_can_be_dropped(spark):
+    support.drop_stages(spark)
+    kept = support.cut(spark.range(3))
+    assert kept.count() == 3
+    assert support.drop_stages(spark) == 1 and support.drop_stages(spark) == 0
