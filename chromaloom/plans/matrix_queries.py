@@ -225,15 +225,26 @@ def _values(spark, d, res):
     return scaled.where(F.col("res") == res), exp.where(F.col("res") == res), sizes
 
 
-@query("loop_surroundings", f"""
-with {_mirror(25_000)}, {_SCALED}, {_diagonals(25_000, "vals", "value")}, nb as (select chrom, max(pos) // 25000 + 1 as nb from @sites group by chrom),
+# cells around every pixel with the regions they belong to
+_AROUND = f"""
+{_mirror(25_000)}, {_SCALED}, {_diagonals(25_000, "vals", "value")}, nb as (select chrom, max(pos) // 25000 + 1 as nb from @sites group by chrom),
 off as (select a.v as di, b.v as dj, a.v <> 0 and b.v <> 0 and greatest(abs(a.v), abs(b.v)) > 1 as donut, a.v >= 1 and b.v <= -1 and (a.v > 1 or b.v < -1) as lower_left,
  abs(a.v) <= 1 and abs(b.v) > 1 as horizontal, abs(b.v) <= 1 and abs(a.v) > 1 as vertical from (select unnest(range(-3, 4)) as v) a, (select unnest(range(-3, 4)) as v) b),
 cells as (select v.chrom, v.b1, v.b2, v.n, v.value, o.*, coalesce(m.value, 0) as m, e.expected as e from vals v join nb using (chrom) cross join off o
  left join vals m on m.chrom = v.chrom and m.b1 = v.b1 + o.di and m.b2 = v.b2 + o.dj join ex e on e.d = v.b2 + o.dj - v.b1 - o.di
  where v.b2 < nb.nb and v.b1 + o.di >= 0 and v.b2 + o.dj < nb.nb and v.b2 + o.dj >= v.b1 + o.di)
+"""
+
+
+def _region(name: str) -> str:
+    return (f"sum(case when {name} then m end) / nullif(sum(case when {name} then c.e end), 0)"
+            " * any_value(x.expected) * any_value(c.n / c.value)")
+
+
+@query("loop_surroundings", f"""
+with {_AROUND}
 select c.chrom, cast(b1 as bigint) as b1, cast(b2 as bigint) as b2, c.n, {", ".join(
-    f"round(sum(case when {r} then m end) / nullif(sum(case when {r} then c.e end), 0) * any_value(x.expected) * any_value(c.n / c.value), 4) as {r}"
+    f"round({_region(r)}, 4) as {r}"
     for r in features.REGIONS)} from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n""")
 def loop_surroundings(spark, d):
     values, exp, sizes = _values(spark, d, 25_000)
@@ -241,6 +252,33 @@ def loop_surroundings(spark, d):
     return found.select("chrom", "b1", "b2", "n", *[F.round(r, 4).alias(r) for r in features.REGIONS])
 
 
+_CHUNK = "cast(greatest(ceil(log2(greatest({}, 1e-9)) * 3), 0) as int)"
+
+
+@query("loop_pixels", f"""
+with recursive {_AROUND}, le as (select c.chrom, b1, b2, c.n, {", ".join(f"{_region(r)} as {r}" for r in features.REGIONS)}
+ from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n),
+ok as (select * from le where {" and ".join(f"{r} is not null" for r in features.REGIONS)}),
+tally as ({" union all ".join(f"select '{r}' as region, {_CHUNK.format(r)} as chunk, n, count(*) as pixels from ok group by all" for r in features.REGIONS)}),
+ab as (select *, sum(pixels) over (partition by region, chunk order by n desc) as above, sum(pixels) over (partition by region, chunk) as total from tally),
+lim as (select region, chunk, min(n) as least from ab where total * greatest(least(1 - coalesce(list_sum(list_transform(range(0, n),
+ lambda k: exp(-pow(2, chunk / 3.0) + k * ln(pow(2, chunk / 3.0)) - lgamma(k + 1)))), 0), 1), 0) / above <= {features.FDR} group by all),
+pk as (select ok.* from ok {" ".join(f"join lim l{i} on l{i}.region = '{r}' and l{i}.chunk = {_CHUNK.format(r)} and ok.n >= l{i}.least" for i, r in enumerate(features.REGIONS))}
+ where ok.n >= {features.FOLD_NEAR} * donut and ok.n >= {features.FOLD_NEAR} * lower_left and ok.n >= {features.FOLD_LINE} * horizontal
+ and ok.n >= {features.FOLD_LINE} * vertical and ok.n >= {features.FOLD_ANY} * least(donut, lower_left)),
+od as (select *, row_number() over (partition by chrom order by n desc, b1, b2) as rn from pk),
+walk as (select chrom, rn, b1, b2, n, [{{'a': b1, 'b': b2}}] as kept, false as near from od where rn = 1
+ union all
+ select o.chrom, o.rn, o.b1, o.b2, o.n, case when len(list_filter(w.kept, lambda x: abs(x.a - o.b1) <= 1 and abs(x.b - o.b2) <= 1)) > 0 then w.kept
+ else list_append(w.kept, {{'a': o.b1, 'b': o.b2}}) end, len(list_filter(w.kept, lambda x: abs(x.a - o.b1) <= 1 and abs(x.b - o.b2) <= 1)) > 0
+ from walk w join od o on o.chrom = w.chrom and o.rn = w.rn + 1)
+select chrom as c1, cast(b1 * 25000 as bigint) as x1, cast(b2 * 25000 as bigint) as y1, n from walk where not near""")
+def loop_pixels(spark, d):
+    """Strongest pixel of every loop."""
+    values, exp, sizes = _values(spark, d, 25_000)
+    return features.loops(values, exp, sizes, 25_000).select("c1", "x1", "y1", "n")
+
+
 @query("loops")
 def loops(spark, d):
     values, exp, sizes = _values(spark, d, 25_000)
