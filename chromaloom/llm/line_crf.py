@@ -251,8 +251,10 @@ def good_documents(docs: DataFrame, model: Crf, threshold: float = THRESHOLD) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                found = [model.score([t or "" for t in some.to_pylist()]) for some in slices(batch.column(at), 4 << 20)]
-                yield batch.filter(pa.array(np.concatenate(found) >= threshold))
+            done = 0
+            for some in slices(batch.column(at), 4 << 20):
+                score = model.score([t or "" for t in some.to_pylist()])
+                yield batch.slice(done, len(some)).filter(pa.array(score >= threshold))
+                done += len(some)
             release()
     return docs.mapInArrow(run, schema)

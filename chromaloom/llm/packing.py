@@ -29,7 +29,7 @@ WINDOW = 2048
 CLASS = 32
 DEPTH = 4
 # Ids of a group: groups bound the memory of a task and are packed each on its own.
-GROUP_IDS = 2 << 20
+GROUP_IDS = 1 << 20
 END = 1
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"

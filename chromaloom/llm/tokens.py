@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 # Bytes of text that are split at a time; one longer text is a slice of its own.
-SLICE = 4 << 20
+SLICE = 2 << 20
 # The word pattern of byte-level BPE files (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -54,9 +54,7 @@ def slices(texts: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
 
 class ByteBpe:
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             parsed = json.load(f)
         self.special = tuple(t["content"] for t in parsed["added_tokens"])
@@ -86,6 +84,14 @@ class ByteBpe:
         n_bytes = pc.binary_length(pa.array(spans, pa.string())).to_numpy()
         return ids, np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(n_bytes), "left") + (n_bytes.cumsum() > 0), odd
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The tokenizer itself, read when a text needs it."""
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
