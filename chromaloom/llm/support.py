@@ -1,4 +1,4 @@
-"""Helpers of this subpackage: Arrow rows, joins that stand hot keys, connected components."""
+"""Helpers of this subpackage: Arrow rows, joins that stand hot keys, numbering."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.support import cut, cut_measuring, shared_folder  # noqa: F401
+from ..operators.support import components, cut, cut_measuring, shared_folder  # noqa: F401
 
 # A key with more than this share of all rows is hot. So there are at most HOT_PARTS such keys,
 # which bounds every table of hot keys that is broadcast.
@@ -77,41 +77,3 @@ def numbered(rows: DataFrame, by: list[Column], index: str = "_index") -> tuple[
         total += r["n"]
     base = spark.createDataFrame(starts or [(0, 0)], "_part int, _base long")
     return placed.join(F.broadcast(base), "_part").withColumn(index, F.col("_base") + F.col("_row")).drop("_part", "_row", "_base"), total
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Smallest reachable node for every node of an undirected graph: columns node, root (longs).
-
-    Each round hooks every root below the smallest root among its neighbours and then jumps
-    pointers, so the number of rounds grows with the logarithm of the longest path. Only
-    minima per node are aggregated, with map-side combining: no neighbour list is gathered.
-    A star's centre has one row as a lookup, and its many rows on the other side are split
-    by the skew rules of the join. A null end is no link.
-    """
-    both = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    pairs = cut(both.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct())
-    labels = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node")))
-    while True:
-        # links between the current roots
-        up = pairs.join(labels.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u")
-        up = up.join(labels.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v")
-        pairs = cut(up.where("ru != rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())
-        if pairs.isEmpty():
-            return labels
-        hooks = cut(pairs.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")))
-        hooks = _jump(hooks)
-        labels = cut(labels.join(hooks.select(F.col("node").alias("root"), F.col("root").alias("_up")), "root", "left")
-                     .select("node", F.coalesce("_up", "root").alias("root")))
-
-
-def _jump(hooks: DataFrame) -> DataFrame:
-    """Follow parents (each smaller than its child) to the top, doubling the step each time."""
-    while True:
-        above = hooks.select(F.col("node").alias("root"), F.col("root").alias("_up"))
-        hooks, moved = cut_measuring(
-            hooks.join(above, "root", "left").select("node", F.coalesce("_up", "root").alias("root"),
-                                                     F.col("_up").isNotNull().cast("long").alias("_moved")),
-            F.sum("_moved"))
-        hooks = hooks.drop("_moved")
-        if not moved:
-            return hooks
