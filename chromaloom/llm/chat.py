@@ -63,14 +63,17 @@ def ranked_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     steps, n = cut_measuring(own.join(there, ["tree_key", "parent"], "left").select(
         "tree_key", "tree", "message", F.when(F.col("there"), F.col("parent")).alias("up"),
         F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"), "score"), F.count("*"))
-    jumps = []
-    while not steps.where("up is not null").isEmpty() and 1 << len(jumps) <= 2 * n:
-        jumps.append(steps.where("up is not null").select("tree_key", "message", "up"))
-        above = steps.select("tree_key", F.col("message").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("score").alias("_score"))
-        steps = cut(steps.join(above, ["tree_key", "up"], "left").select(
+    # messages that have reached their root take no part in further rounds
+    jumps, moving, arrived = [], steps.where("up is not null"), steps.where("up is null")
+    while not moving.isEmpty() and 1 << len(jumps) <= 2 * n:
+        jumps.append(moving.select("tree_key", "message", "up"))
+        above = arrived.unionByName(moving).select(
+            "tree_key", F.col("message").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("score").alias("_score"))
+        steps = cut(moving.join(above, ["tree_key", "up"]).select(
             "tree_key", "tree", "message", F.col("_up").alias("up"),
-            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score")))
-    rooted = steps.where("up is null")
+            (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("score") + F.col("_score")).alias("score")))
+        moving, arrived = steps.where("up is not null"), arrived.unionByName(steps.where("up is null"))
+    rooted = arrived
     leaves = rooted.join(jumps[0].select("tree_key", F.col("up").alias("message")), ["tree_key", "message"], "left_anti") if jumps else rooted
     marked = cut(_ranked(leaves, best))
     # ancestors at every distance, as a sum of powers of two
