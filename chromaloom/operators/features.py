@@ -255,22 +255,50 @@ def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: i
 
 
 def beyond_span(values: DataFrame, span: int) -> DataFrame:
-    """Pixels per chromosome that ``domains`` with this span does not look at, and their total."""
+    """Pixels per chromosome that ``domains`` with this span does not look at, and their total.
+
+    Domains of span + 1 to 2 * span bins use none of these: no such pixel does not mean that no
+    domain is left out. Without a span none is.
+    """
     far = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") >= 2 * span))
     return far.groupBy("chrom").agg(F.count("*").alias("pixels"), F.sum("value").alias("total"))
 
 
-def domains(values: DataFrame, res: int, span: int, min_bins: int = 4, min_score: float = 0.6) -> DataFrame:
+# Largest domain in bins of the first search; each further one goes twice as far.
+FIRST_SPAN = 64
+
+
+def domains(values: DataFrame, res: int, span: int | None = None, min_bins: int = 4, min_score: float = 0.6) -> DataFrame:
     """Contact domains from the directional preference of each bin.
 
     A(i, i+d) compares contacts d bins up- and downstream. Inside a domain [a, b] it is
     negative where the upstream partner leaves the domain and positive where the
     downstream one does. The score is the mean sign plus the mean value of the two
-    triangles; local maxima above ``min_score`` are kept. ``span`` is the largest domain in
-    bins that is looked for; ``beyond_span`` counts the pixels that a larger one would use.
-    Windows of four spans slide along the diagonal, so a task input holds at most
-    (4 * span)^2 pixels.
+    triangles; local maxima above ``min_score`` are kept. Bins off the map have no contacts.
+
+    Domains of every size up to the longest chromosome are looked for, in spans that double; the
+    score of a domain does not depend on the span it is found with. ``span`` asks for
+    domains of at most so many bins instead. Windows of four spans slide along the diagonal, so
+    a task input holds at most (4 * span)^2 pixels, for the last search four chromosomes squared.
     """
+    if span is not None:
+        spans = [span]
+    else:
+        last = values.where(F.col("value").isNotNull()).agg(F.max("b2")).first()[0]
+        longest, spans = max((last or 0) + 1, min_bins), [max(FIRST_SPAN, min_bins)]
+        while spans[-1] < longest:
+            spans.append(2 * spans[-1])
+        spans[-1] = longest
+    scored = _scored_domains(values, spans[0], min_bins, min_score)
+    for low, high in zip(spans, spans[1:]):
+        scored = scored.unionByName(_scored_domains(values, high, low + 1, min_score))
+    ranked = strongest_first(scored.withColumnRenamed("score", "n"), min_bins)
+    return ranked.select("chrom", (F.col("b1") * res).alias("start"), ((F.col("b2") + 1) * res).alias("end"),
+                         F.col("n").alias("score"))
+
+
+def _scored_domains(values: DataFrame, span: int, least: int, min_score: float) -> DataFrame:
+    """chrom, b1, b2 and score of all domains of ``least`` to ``span`` bins after the first with at least ``min_score``."""
     pixels = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") < 2 * span)).select(
         "chrom", "b1", "b2", "value")
     # window k serves domains that start in [k*span, (k+1)*span) and sees bins (k-1)*span to (k+3)*span
@@ -297,7 +325,7 @@ def domains(values: DataFrame, res: int, span: int, min_bins: int = 4, min_score
         sign = np.cumsum(np.pad(np.sign(pref), ((0, 0), (1, 0))), axis=1)
         best = np.full((span, span + 1), -np.inf)
         for a in range(span, 2 * span):
-            for size in range(min_bins, span + 1):
+            for size in range(least, span + 1):
                 b = a + size
                 if b >= n:
                     break
@@ -319,10 +347,7 @@ def domains(values: DataFrame, res: int, span: int, min_bins: int = 4, min_score
                 for a, size in zip(*np.nonzero(best >= min_score))]
         return pd.DataFrame(rows, columns=["chrom", "b1", "b2", "score"])
 
-    scored = placed.groupBy("chrom", "k").applyInPandas(score, "chrom string, b1 bigint, b2 bigint, score double")
-    ranked = strongest_first(scored.withColumnRenamed("score", "n"), min_bins)
-    return ranked.select("chrom", (F.col("b1") * res).alias("start"), ((F.col("b2") + 1) * res).alias("end"),
-                         F.col("n").alias("score"))
+    return placed.groupBy("chrom", "k").applyInPandas(score, "chrom string, b1 bigint, b2 bigint, score double")
 
 
 ANCHOR_BIN = 16_384

@@ -303,7 +303,7 @@ walk as (select chrom, rn, a, b, score, [{{'a': a, 'b': b}}] as kept, false as n
 select chrom, cast(a * 100000 as bigint) as start, cast((b + 1) * 100000 as bigint) as "end", round(score, 6) as score from walk where not near""")
 def domains(spark, d):
     values, _, _ = _values(spark, d, 100_000)
-    return features.domains(values, 100_000, span=25, min_score=0.3).withColumn("score", F.round("score", 6))
+    return features.domains(values, 100_000, min_score=0.3).withColumn("score", F.round("score", 6))
 
 
 _MOTIF_INPUT = """
