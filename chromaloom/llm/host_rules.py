@@ -109,11 +109,11 @@ def verdicts(docs: DataFrame, host: Column, *keep: str, max_rate: float = MAX_HO
 def kept_documents(docs: DataFrame, host: Column, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """Rows of ``docs(doc_id, text)`` that ``verdicts`` keeps, with all their columns and no other.
 
-    Rejected rows are named by doc_id, null included, and a hash of the text.
+    Rejected rows are named by doc_id and host, null included, and a hash of the text.
     """
     named = docs.select("doc_id", "text", F.xxhash64(body()).alias("_hash"), host.alias("_from"))
-    judged = verdicts(named, F.col("_from"), "doc_id", "_hash", max_rate=max_rate)
-    rejected, n = cut_measuring(judged.where("not kept").select("doc_id", "_hash").distinct(), F.count("*"))
+    judged = verdicts(named, F.col("_from"), "doc_id", "_hash", "_from", max_rate=max_rate)
+    rejected, n = cut_measuring(judged.where("not kept").select("doc_id", "_hash", "_from").distinct(), F.count("*"))
     gone = F.broadcast(rejected) if n <= BROADCAST_ROWS else rejected.hint("shuffle_merge")
     same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_hash"])
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone, same & host.eqNullSafe(gone["_from"]), "left_anti")
