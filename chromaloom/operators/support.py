@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,8 +16,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 SALTS = 16
 
-# tables written by ``cut`` in this session
+# tables written by ``cut`` in this session, outside of blocks of ``own_tables``
 WRITTEN: list[str] = []
+_BLOCK: ContextVar[list[str] | None] = ContextVar("block", default=None)
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
@@ -96,25 +100,57 @@ def cut(df: DataFrame) -> DataFrame:
     steps read only the columns and rows they need and know the table's size.
     """
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    WRITTEN.append(path)
+    block = _BLOCK.get()
+    (WRITTEN if block is None else block).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the tables that ``cut`` has written so far; returns their number.
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose tables are deleted at its end, but for those written by the function it gives.
+
+        with own_tables(spark) as keep:
+            result = keep(frame_over_tables_of_the_block)
 
-    For callers that have written or collected their results: frames that still read a stage
-    fail afterwards.
+    Kept tables belong to the block around, if there is one, or stay until ``drop_stages``. Tables
+    of other blocks and callers are left alone.
     """
+    outer, mine = _BLOCK.get(), []
+    inside = _BLOCK.set(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        here = _BLOCK.set(outer)
+        try:
+            return cut(df)
+        finally:
+            _BLOCK.reset(here)
+
+    try:
+        yield keep
+    finally:
+        _BLOCK.reset(inside)
+        _delete(spark, mine)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     conf, fs = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
     dropped = 0
-    while WRITTEN:
-        path = fs.Path(WRITTEN.pop())
+    while paths:
+        path = fs.Path(paths.pop())
         dropped += bool(path.getFileSystem(conf).delete(path, True))
     return dropped
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables that ``cut`` has written so far outside of blocks; returns their number.
+
+    For callers that have written or collected all their results: frames that still read a stage
+    fail afterwards. A query that shares the session with others takes ``own_tables``.
+    """
+    return _delete(spark, WRITTEN)
+
+
 def cut_measuring(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
     """``cut`` that also evaluates an aggregate over the rows while they are written."""
     seen = Observation()
