@@ -1,16 +1,20 @@
 """Near-duplicate classes of texts by the Jaccard likeness of their word shingles.
 
 Two texts link if they share at least ``LEAST`` (in fifths) of all their different shingles of
-``WORDS`` words. Pairs are proposed by min-hashes: two texts with likeness s meet in a band of
-``ROWS`` of them with chance s**ROWS, so of ``BANDS`` bands a pair at 0.8 misses all with chance
-2e-7. Every proposed pair is then decided by its shingles, not by its hashes. At 0.8 two 64-bit
-SimHash fingerprints differ in ten bits on average, which no block of bits survives; hence
-min-hashes here.
-
-The texts of a band's bucket are compared with some of them, the centres. Pairs that are already
-connected need no comparison, and each round has eight times as many centres as the one before,
-until every bucket is connected or compared whole: a large class of copies costs a few
-comparisons a text, not one for each of its pairs.
+``WORDS`` words. SimHash fingerprints of the shingles, searched through vantage-point trees,
+propose the closest pairs. At 0.8 two 64-bit fingerprints differ in ten bits on average, which no
+block of bits survives; so min-hashes propose the others: two texts with likeness s meet in a band
+of ``ROWS`` of them with chance s**ROWS, and of ``BANDS`` bands a pair at 0.8 misses all with chance
+2e-7. Every proposed pair is then decided by its shingles, not by its hashes.
+
+What a text has alone bounds its likeness to any other: a shingle that no other candidate has is
+never shared. Texts that have too many of them leave, and pairs are compared only where both
+texts' own shingles leave room for the likeness.
+
+The texts of a band's bucket are compared with some of them, the centres, those with the fewest
+shingles of their own first. Pairs that are already connected need no comparison, and each round
+has eight times as many centres as the one before, until every bucket is connected or compared
+whole: a large class of copies costs a few comparisons a text, not one for each of its pairs.
 """
 
 from __future__ import annotations
@@ -18,11 +22,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .simhash import keep_firsts, shingle_hashes
-from .support import body, by_batch, components, cut, cut_measuring
+from . import simhash
+from .support import BROADCAST_ROWS, body, by_batch, components, cut, cut_measuring, join_hot, own_tables
 from .tokens import slices
 
 WORDS = 5
@@ -36,7 +40,7 @@ GROWTH = 8
 # Largest list of longs that is broadcast; it is counted first.
 BROADCAST_LONGS = 1_000_000
 
-MARKS = "doc_id long, hash long, set_id long, n long, keys array<long>, shingles array<long>"
+MARKS = "doc_id long, hash long, set_id long, n long, fp long, keys array<long>"
 
 
 def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> np.ndarray:
@@ -58,28 +62,49 @@ def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS, seed
     return keys.view(np.int64)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
+
+
+def _set_ids(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64))
+
+
 def marks(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, a hash of the text, the different shingles, their hash and number, and the band keys of each row."""
+    """doc_id, a hash of the text, and of its different shingles a hash, number, fingerprint and band keys, per row."""
     def task():
-        def lists(parts: list[np.ndarray]) -> pa.ListArray:
-            ends = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
-
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets, keys = [], []
+            columns: list[list[pa.Array]] = [[], [], [], []]
             for some in slices(batch.column(2), 2 << 20):
-                found = [np.unique(shingle_hashes(t, words)) for t in some.to_pylist()]
+                found = [np.unique(simhash.shingle_hashes(t, words)) for t in some.to_pylist()]
                 full = [s for s in found if len(s)]
                 made = iter(band_keys(full)) if full else iter(())
-                keys += [next(made) if len(s) else np.empty(0, np.int64) for s in found]
-                sets += found
-            ids = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids), pa.array([len(s) for s in sets], pa.int64()), lists(keys), lists(sets)],
-                                              names=["doc_id", "hash", "set_id", "n", "keys", "shingles"])
+                parts = (_set_ids(found), pa.array([len(s) for s in found], pa.int64()), pa.array(simhash.majority(found).view(np.int64)),
+                         _lists([next(made) if len(s) else np.empty(0, np.int64) for s in found]))
+                for column, part in zip(columns, parts, strict=True):
+                    column.append(part)
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.concat_arrays, columns)], names=["doc_id", "hash", "set_id", "n", "fp", "keys"])
         return one
     return by_batch(docs.select("doc_id", F.xxhash64(body()).alias("hash"), body().alias("text")), MARKS, task)
 
 
+def _shingles(docs: DataFrame, names: DataFrame, n: int, words: int) -> DataFrame:
+    """set_id and shingles of the texts that ``names(doc_id, hash)``, ``n`` rows, name: one row a set."""
+    def task():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [np.unique(simhash.shingle_hashes(t, words)) for some in slices(batch.column(0), 2 << 20) for t in some.to_pylist()]
+            return pa.RecordBatch.from_arrays([_set_ids(found), _lists(found)], names=["set_id", "shingles"])
+        return one
+    return by_batch(_named(docs, names, n, "left_semi").select(body().alias("text")), "set_id long, shingles array<long>", task).dropDuplicates(["set_id"])
+
+
+def _named(docs: DataFrame, names: DataFrame, n: int, how: str) -> DataFrame:
+    """Semi or anti join of rows to ``names``: doc_id, null included, and the hash of the text."""
+    same = docs["doc_id"].eqNullSafe(names["doc_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == names["hash"])
+    return docs.join(F.broadcast(names) if n <= BROADCAST_ROWS else names.hint("shuffle_merge"), same, how)
+
+
 def _only(rows: DataFrame, ids: DataFrame, key: str, n: int) -> DataFrame:
     return rows.join(F.broadcast(ids) if n <= BROADCAST_LONGS else ids.hint("shuffle_merge"), key, "left_semi")
 
@@ -92,51 +117,94 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(LEAST[1] * shared >= LEAST[0] * (F.size("_a") + F.size("_b") - shared)).select("a", "b")
 
 
-def linked(marked: DataFrame) -> DataFrame:
-    """node and root (longs) of the sets of ``marked`` (a written table) that are linked to another."""
-    rows = marked.select("set_id", "n", F.explode("keys").alias("key"))
-    shared, n = cut_measuring(rows.groupBy("key").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a != b").select("key"), F.count("*"))
-    members = cut(_only(rows, shared, "key", n).distinct().withColumn("root", F.col("set_id")))
-    wanted, n = cut_measuring(members.select("set_id").distinct(), F.count("*"))
-    sets = cut(_only(marked.select("set_id", "shingles"), wanted, "set_id", n).dropDuplicates(["set_id"]))
-    found = compared = roots = None
+def _room(n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
+    """Whether sets of n shingles, some of them not theirs alone, can be alike enough."""
+    shared = F.least(common, other_common)
+    return LEAST[1] * shared >= LEAST[0] * (n + other_n - shared)
+
+
+def _close(firsts: DataFrame) -> DataFrame:
+    """Pairs a, b of sets of ``firsts(set_id, n, fp)`` whose fingerprints differ by a few bits."""
+    full = firsts.where("n > 0").select("set_id", "fp")
+    distinct, n = cut_measuring(full.groupBy("fp").agg(F.min("set_id").alias("rep")), F.count("*"))
+    equal = full.join(distinct, "fp").where("set_id != rep").select(F.col("rep").alias("a"), F.col("set_id").alias("b"))
+    return simhash.linked(distinct, n).unionByName(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def linked(docs: DataFrame, firsts: DataFrame, words: int = WORDS) -> DataFrame:
+    """node and root (longs) of the sets that are linked to another.
+
+    ``firsts`` (a written table) has a row per set: set_id, n, fp, keys, and doc_id and hash of one row with its text.
+    """
+    rows = firsts.select("set_id", F.explode("keys").alias("key"))
+    shared, n = cut_measuring(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), F.count("*"))
+    members = cut(_only(rows, shared, "key", n))
+    close = cut(_close(firsts))
+    wanted = members.select("set_id").unionByName(close.select(F.explode(F.array("a", "b")).alias("set_id"))).distinct()
+    names, n = cut_measuring(firsts.select("set_id", "doc_id", "hash").join(wanted, "set_id"), F.count("*"))
+    sets = cut(_shingles(docs, names, n, words))
+
+    # shingles that one candidate alone has
+    alone = sets.select("set_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("set_id").alias("set_id"), F.count("*").alias("n")).where("n = 1")
+    own = alone.groupBy("set_id").agg(F.count("*").alias("own"))
+    sizes = sets.select("set_id", F.size("shingles").cast("long").alias("n")).join(own, "set_id", "left").select(
+        "set_id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+    sizes = cut(sizes.where(_room(F.col("n"), F.col("common"), F.col("common"), F.col("common"))))
+    members = members.join(sizes, "set_id")
+
+    found = cut(_alike(close, sets))
+    compared, roots = close, components(found)
     centres_each = 1
-    while not members.isEmpty():
-        placed = F.row_number().over(Window.partitionBy("key").orderBy("set_id"))
+    while True:
+        named = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_new"))
+        members = cut(members.drop("root").join(named, "set_id", "left").withColumn("root", F.coalesce("_new", "set_id")).drop("_new"))
+        apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
+        members = cut(members.join(apart, "key", "left_semi"))
+        if members.isEmpty():
+            return roots
+        placed = F.row_number().over(Window.partitionBy("key").orderBy(F.col("common").desc(), "set_id"))
         centres = cut(members.withColumn("_at", placed).where(F.col("_at") <= centres_each).select(
-            "key", F.col("set_id").alias("_set"), F.col("n").alias("_n"), F.col("root").alias("_root")))
-        # the smaller of two sets holds at least LEAST of the larger one
-        near = (F.col("root") != F.col("_root")) & (LEAST[1] * F.least("n", "_n") >= LEAST[0] * F.greatest("n", "_n"))
+            "key", F.col("set_id").alias("_set"), F.col("n").alias("_n"), F.col("common").alias("_common"), F.col("root").alias("_root")))
+        near = (F.col("root") != F.col("_root")) & _room(F.col("n"), F.col("common"), F.col("_n"), F.col("_common"))
         pairs = members.join(centres, "key").where(near).select(F.least("set_id", "_set").alias("a"), F.greatest("set_id", "_set").alias("b")).distinct()
-        pairs = cut(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"))
-        good = cut(_alike(pairs, sets))
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        found = good if found is None else found.unionByName(good)
+        pairs = cut(pairs.join(compared, ["a", "b"], "left_anti"))
+        compared = compared.unionByName(pairs)
+        found = found.unionByName(cut(_alike(pairs, sets)))
         roots = components(found)
-        named = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_new"))
-        left = members.join(centres.select("key", F.col("_set").alias("set_id")), ["key", "set_id"], "left_anti")
-        left = cut(left.join(named, "set_id", "left").select("key", "set_id", "n", F.coalesce("_new", "root").alias("root")))
-        apart = left.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
-        members = cut(left.join(apart, "key", "left_semi"))
+        members = members.join(centres.select("key", F.col("_set").alias("set_id")), ["key", "set_id"], "left_anti")
         centres_each *= GROWTH
-    return wanted.select(F.col("set_id").alias("node"), F.col("set_id").alias("root")).limit(0) if roots is None else roots
-
-
-def classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """Rows doc_id, hash and set_id of ``docs(doc_id, text)``, and set_id and root of the sets that have links.
-
-    One row per row. Texts with equal shingles are one set: null and empty texts and those of white
-    space, and repeated rows. A text of fewer than ``words`` words is one shingle, and so linked
-    to equal texts only.
-    """
-    marked = cut(marks(docs, words))
-    return marked.select("doc_id", "hash", "set_id"), linked(marked).select(F.col("node").alias("set_id"), "root")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def _copies(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Names (doc_id, hash) of rows that go, and of those of which one of several equal rows stays."""
+    marked, total = cut_measuring(marks(docs, words), F.count("*"))
+    name = F.struct("doc_id", "hash")
+    firsts = cut(marked.groupBy("set_id").agg(F.min(name).alias("name"), *(F.any_value(c).alias(c) for c in ("n", "fp", "keys"))).select("set_id", "name.*", "n", "fp", "keys"))
+    roots = linked(docs, firsts, words)
+    named = marked.where("doc_id is not null").select("doc_id", "hash", "set_id")
+    sets, n_sets = cut_measuring(named.groupBy("set_id").agg(F.count("*").alias("rows"), F.min(name).alias("first"))
+                                 .join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), F.count("*"))
+    whole = cut(sets.groupBy("root").agg(F.sum("rows").alias("all"), F.min("first").alias("kept"), F.count("*").alias("_n")).where("all > 1").drop("all"))
+    table = cut(join_hot(sets, whole, "root", n_sets, "inner").select("set_id", F.col("rows").alias("_n"), "kept"))
+    several = cut(join_hot(named, table, "set_id", total, "inner"))
+    drop = several.where(name != F.col("kept")).select("doc_id", "hash").distinct()
+    again = several.where(name == F.col("kept")).groupBy("doc_id", "hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "hash")
+    return drop, again
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with one row of each class: that with the smallest doc_id, of those the smallest hash of the text.
 
-    Rows with a null doc_id stay. All columns are kept and no column is added.
+    Texts with equal shingles are one set: null and empty texts and those of white space, and
+    repeated rows. A text of fewer than ``words`` words is one shingle, and so linked to equal texts
+    only. Rows with a null doc_id stay. All columns are kept and no column is added. Rows are named
+    by doc_id and a hash of the text, so those that share a doc_id are told apart. Only the lists
+    of names outlast the call; its other tables are deleted.
     """
-    rows, roots = classes(docs)
-    return keep_firsts(docs, rows, roots)
+    with own_tables(docs.sparkSession) as keep:
+        drop, again = map(keep, _copies(docs, words))
+    kept, n = _named(docs, drop, drop.count(), "left_anti"), again.count()
+    if not n:
+        return kept
+    repeated = _named(kept, again, n, "left_semi").withColumn("_whole_text", body()).dropDuplicates(["doc_id", "_whole_text"]).drop("_whole_text")
+    return _named(kept, again, n, "left_anti").unionByName(repeated)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .support import BROADCAST_ROWS, HOT_PARTS, body, by_batch, components, cut, cut_measuring, join_hot, without
+from .support import HOT_PARTS, by_batch, components, cut, cut_measuring, join_hot
 from .tokens import slices
 
 WORDS = 3
@@ -264,48 +264,3 @@ def classes(docs: DataFrame, words: int = WORDS, seed: int = SEED, radius: int =
     named = distinct.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     table = cut(named.select("fp", F.coalesce("root", "rep").alias("component_id"), "_n"))
     return join_hot(fps, table, "fp", total).select("doc_id", "fp", "component_id")
-
-
-def keep_firsts(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class; rows with a null doc_id stay.
-
-    ``rows`` has doc_id, hash (xxhash64 of the text) and set_id of each row of docs, ``roots``
-    set_id and root where the class is not the set alone; both are written tables. The row that
-    stays is that of the smallest doc_id, of those the smallest hash. Rows are named by doc_id and
-    hash, so that rows that share a doc_id are told apart by their texts.
-    """
-    named = rows.where("doc_id is not null")
-    name = F.struct("doc_id", "hash")
-    sets = cut(named.groupBy("set_id").agg(F.count("*").alias("_n"), F.min(name).alias("_first"))
-               .join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
-    whole = sets.groupBy("root").agg(F.sum("_n").alias("_all"), F.min("_first").alias("_kept")).where("_all > 1").drop("_all")
-    table = cut(sets.join(whole, "root").select("set_id", "_n", "_kept"))
-    several = cut(join_hot(named, table, "set_id", named.count(), "inner"))
-    drop = cut(several.where(name != F.col("_kept")).select("doc_id", "hash").distinct())
-    again = cut(several.where(name == F.col("_kept")).groupBy("doc_id", "hash").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id", "hash"))
-
-    def picked(some: DataFrame, names: DataFrame, n: int, how: str) -> DataFrame:
-        same = (some["doc_id"] == names["doc_id"]) & (F.xxhash64(F.coalesce(some["text"], F.lit(""))) == names["hash"])
-        return some.join(F.broadcast(names) if n <= BROADCAST_ROWS else names.hint("shuffle_merge"), same, how)
-
-    kept = picked(docs, drop, drop.count(), "left_anti")
-    n = again.count()
-    if not n:
-        return kept
-    repeated = picked(kept, again, n, "left_semi").withColumn("_whole_text", body()).dropDuplicates(["doc_id", "_whole_text"]).drop("_whole_text")
-    return picked(kept, again, n, "left_anti").unionByName(repeated)
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest doc_id, one row of it.
-
-    Rows with a null doc_id stay. All columns are kept and no column is added.
-    """
-    found = cut(classes(docs))
-    drop = cut(found.where("doc_id != component_id").select("doc_id").distinct())
-    again = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id"))
-    kept = without(docs, drop, "doc_id")
-    if again.isEmpty():
-        return kept
-    repeated = kept.join(F.broadcast(again) if again.count() <= 200_000 else again, "doc_id", "left_semi")
-    return without(kept, again, "doc_id").unionByName(repeated.dropDuplicates(["doc_id"]))

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.support import components, cut, cut_measuring, shared_folder  # noqa: F401
+from ..operators.support import components, cut, cut_measuring, own_tables, shared_folder  # noqa: F401
 
 # A key with more than this share of all rows is hot. So there are at most HOT_PARTS such keys,
 # which bounds every table of hot keys that is broadcast.
 HOT_PARTS = 1000
 # Largest verdict or drop list that is broadcast, in rows of one or two longs; it is counted first.
 BROADCAST_ROWS = 200_000
+_C = ctypes.CDLL(None)
 
 
 def body(text: str = "text") -> Column:
@@ -34,8 +36,10 @@ def by_batch(df: DataFrame, schema: str, each: Callable[[], Callable[[pa.RecordB
 
 
 def release() -> None:
-    """Give memory that Arrow keeps for reuse back: Python workers stay between tasks and stages."""
+    """Give memory that Arrow and the C library keep for reuse back: Python workers stay between tasks and stages."""
     pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
 
 
 def join_hot(rows: DataFrame, table: DataFrame, key: str, total: int, how: str = "left") -> DataFrame:
@@ -54,13 +58,6 @@ def join_hot(rows: DataFrame, table: DataFrame, key: str, total: int, how: str =
     return some.unionByName(rest)
 
 
-def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in ``ids`` (a written table); a list of counted size is broadcast."""
-    if ids.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(ids), key, "left_anti")
-    return rows.join(ids.hint("shuffle_merge"), key, "left_anti")
-
-
 def numbered(rows: DataFrame, by: list[Column], index: str = "_index") -> tuple[DataFrame, int]:
     """``rows`` numbered from 0 in the order of ``by``, and their count.
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chromaloom.llm import host_rules, line_crf, tokens
-from test_operators import SF, brute_classes, fingerprint, ids_of
+from test_near_copies import brute_firsts
+from test_operators import SF, ids_of
 
 
 def test_pipeline(spark):
@@ -21,7 +22,7 @@ def test_pipeline(spark):
     judged = host_rules.verdicts(spark.createDataFrame(left, "doc_id long, text string, source string"), F.col("source"), "doc_id").collect()
     kept = {r.doc_id for r in judged if r.kept}
     left = [r for r in left if r[0] in kept]
-    one = {d for d, _, c in brute_classes([(d, fingerprint(t)) for d, t, _ in left]) if d == c}
+    one = set(brute_firsts([(d, t) for d, t, _ in left]))
     want = {d: np.array(ids_of(tokens.default_vocabulary(), t, [1]), "<u4").tobytes() for d, t, _ in left if d in one}
 
     got: dict[int, list] = {}
