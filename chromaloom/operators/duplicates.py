@@ -13,24 +13,23 @@ through further rounds together with what the last round settled next to them. T
 earliest open position of each round is always settled, so the rounds end, and the result
 does not depend on the tile size.
 
-In a long chain of near positions every tile waits for the one before it. What is still open
-after a few rounds is therefore cut into islands of tiles that wait for each other, found in a
-number of steps that grows with the logarithm of their length, and an island of bounded size is
-walked whole. Larger islands go on tile by tile.
+In a long chain of near positions every tile waits for the one before it. After a few rounds
+the tiles of each round are therefore wider by a factor than those of the round before, and a tile
+is walked by streaming its open positions; so the number of rounds grows with the logarithm of the
+chain. No round sees positions that are settled, but for those next to an open one.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flags, names
+from .greedy import GROWTH, next_round, settle, spread
 from .pairs import BLOCK
-from .support import components, cut, cut_measuring, lookup_join
+from .support import cut, cut_measuring, lookup_join
 
 # a row of markers holds up to nine reads
 MARKER_ROWS = 100_000
@@ -40,41 +39,14 @@ WOBBLE = 4
 OPTICAL_RADIUS = 50
 
 
-# rounds tile by tile before islands are looked for, and the open points of one that is walked whole
+# rounds with tiles of one size, whose points fit an array, before tiles widen
 ROUNDS = 3
-ISLAND = 500_000
 
 
 def _tile_side(wobble: int) -> int:
     return 32 * (wobble + 1)
 
 
-def _near_border(wobble: int, side: int) -> Column:
-    """Whether a tile other than its own needs to see ``pos``."""
-    def test(p: str) -> str:
-        return f"({p} % {side} < {wobble} or {p} % {side} >= {side - wobble})"
-
-    return F.expr(f"{test('pos[0]')} or {test('pos[1]')}")
-
-
-def _spread(df: DataFrame, columns: list[str], wobble: int, side: int) -> DataFrame:
-    """A row per tile that needs to see ``pos``: its own (``n`` = 0), then those within the wobble.
-
-    Tiles lie over the first two positions, so a point has four rows at most; further positions
-    are compared inside the tile.
-    """
-    def step(p: str) -> str:
-        return f"case when {p} % {side} < {wobble} then -1 when {p} % {side} >= {side - wobble} then 1 else 0 end"
-
-    flat = df.selectExpr(*columns, f"pos[0] div {side} as h0", f"pos[1] div {side} as h1",
-                         f"{step('pos[0]')} as d0", f"{step('pos[1]')} as d1")
-    # bit 1 of n moves along the first coordinate, bit 2 along the second
-    moves = """explode(case when d0 = 0 and d1 = 0 then array(0) when d1 = 0 then array(0, 1)
-               when d0 = 0 then array(0, 2) else array(0, 1, 2, 3) end) as n"""
-    return flat.selectExpr(*columns, "h0", "h1", "d0", "d1", moves).selectExpr(
-        *columns, "n", "h0 + if(n in (1, 3), d0, 0) as t0", "h1 + if(n in (2, 3), d1, 0) as t1")
-
-
 def _solve_tile(wobble: int, rep_type: str, dims: int | None) -> Column:
     """Walk the ``points`` of one tile in order; returns its settled and open home points.
 
@@ -106,47 +78,12 @@ def _solve_tile(wobble: int, rep_type: str, dims: int | None) -> Column:
         acc -> acc.out))""")
 
 
-def _walk(wobble: int):
-    """Walk the points of an island in order; returns those it keeps."""
-    def run(points: pa.Table) -> pa.Table:
-        pos = points["pos"].to_pylist()
-        known = points["known"].to_pylist()
-        near: deque[int] = deque()
-        kept = []
-        for i in sorted(range(len(pos)), key=lambda i: (pos[i], not known[i])):
-            x = pos[i]
-            while near and pos[near[0]][0] < x[0] - wobble:
-                near.popleft()
-            if not known[i]:
-                if any(all(abs(a - b) <= wobble for a, b in zip(pos[j], x, strict=True)) for j in near):
-                    continue
-                kept.append(i)
-            near.append(i)
-        return points.take(pa.array(kept, pa.int64()))
-    return run
-
-
-def _islands(open_: DataFrame, key: list[str], spread) -> DataFrame:
-    """(key, t0, t1, island, n): tiles with open points, the island of each and the island's open points."""
-    tile = [*key, "t0", "t1"]
-    sent = spread(open_)
-    tiles = cut(sent.where("n = 0").groupBy(*tile).agg(F.count("*").alias("_own")).withColumn("node", F.xxhash64(*tile)))
-    own = [F.expr(f"pos[{i}] div {spread.side}").alias(f"h{i}") for i in (0, 1)]
-    edges = sent.where("n > 0").select(F.xxhash64(*key, *own).alias("a"), F.xxhash64(*tile).alias("b")).distinct()
-    there = tiles.select(F.col("node").alias("b")).distinct()
-    roots = components(edges.join(there, "b"))
-    placed = cut(tiles.join(roots, "node", "left").select(*tile, F.coalesce("root", "node").alias("island"), "_own"))
-    sizes = placed.groupBy("island").agg(F.sum("_own").alias("n"))
-    return cut(placed.drop("_own").join(sizes, "island"))
-
-
 def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | None = None,
-                  dims: int | None = None, rounds: int = ROUNDS, island: int = ISLAND) -> DataFrame:
+                  dims: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """Points that survive the rule; ``points`` has the key, ``pos`` (array) and ``rep``.
 
     Positions must be distinct within a key. ``dims`` is the length of ``pos`` when it is the
-    same for all points. After ``rounds`` rounds islands of at most ``island`` open points are
-    walked whole.
+    same for all points. What is open after ``rounds`` rounds goes on in wider and wider tiles.
     """
     if wobble == 0:
         return points
@@ -154,20 +91,10 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
     if side <= 2 * wobble:
         raise ValueError("tiles must be wider than twice the wobble")
     rep_type = points.schema["rep"].dataType.simpleString()
-    dims = dims if dims == 2 else None
-    tile = ["t0", "t1"]
-    columns = [*key, "pos", "rep", "known"]
-    border, solve = _near_border(wobble, side), _solve_tile(wobble, rep_type, dims)
-
-    def spread(df: DataFrame) -> DataFrame:
-        return _spread(df, columns, wobble, side)
-
-    spread.side, done = side, 0
-
-    todo = points.withColumn("known", F.lit(False))
-    sent = spread(todo)
-    found = []
-    while True:
+    tile, columns = ["t0", "t1"], [*key, "pos", "rep", "known"]
+    solve = _solve_tile(wobble, rep_type, dims if dims == 2 else None)
+    sent, found = spread(points.withColumn("known", F.lit(False)), columns, wobble, side), []
+    for done in range(1, rounds + 1):
         home = F.col("n") == 0
         entry = F.struct("pos", "known", home.alias("home"), F.when(home, F.col("rep")).alias("rep"))
         tiles = (sent.groupBy(*key, *tile).agg(F.sort_array(F.collect_list(entry)).alias("points"))
@@ -177,22 +104,10 @@ def greedy_unique(points: DataFrame, key: list[str], wobble: int, side: int | No
         found.append(settled.where("known").drop("known"))
         if left == 0:
             return reduce(DataFrame.unionByName, found)
-        waiting = settled.where("not known")
-        # only tiles with open points go on; what was settled matters there as a neighbour
-        active = spread(waiting).where("n = 0").select(*key, *tile).distinct()
-        around = spread(settled.where(border)).where("n > 0").join(active, [*key, *tile], "left_semi")
-        sent, done = spread(waiting).where("n = 0").unionByName(around), done + 1
-        if done != rounds:
-            continue
-        islands = _islands(waiting, key, spread)
-        named = cut(sent.withColumnRenamed("n", "_move").join(islands, [*key, *tile]))
-        # a settled neighbour may come to several tiles of an island; open ones are at home in one
-        small = named.where(F.col("n") <= island).where("known or _move = 0").select(*key, "island", "pos", "rep", "known")
-        walked = small.groupBy(*key, "island").applyInArrow(_walk(wobble), small.schema)
-        found.append(cut(walked.drop("island", "known")))
-        sent = cut(named.where(F.col("n") > island).drop("island", "n").withColumnRenamed("_move", "n").select(*columns, "n", *tile))
-        if sent.isEmpty():
-            return reduce(DataFrame.unionByName, found)
+        wider = side if done < rounds else side * GROWTH
+        sent = next_round(settled, key, columns, wobble, side, wider)
+    found.append(settle(sent, key, wobble, wider, [F.col("pos")], by_position=True))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _folded(pairs: DataFrame, key: list[str], carry: tuple[str, ...]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Feature annotation on contact matrices: aggregate peaks, loops, domains, motifs.
+"""Feature annotation on contact matrices: aggregate peaks, loops, motifs.
 
 Neighbourhood work is done on square tiles of the matrix. A tile and its margin hold a
 fixed number of pixels, so no task input grows with the number of contacts; Spark shuffles
@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import greedy
 from .support import cut, lookup_join
 
 
@@ -161,11 +162,18 @@ def _chunk(expected: Column) -> Column:
     return F.greatest(F.ceil(F.log2(F.greatest(expected, F.lit(1e-9))) * 3), F.lit(0)).cast("int")
 
 
-def _poisson_tail(rate: float, top: int) -> np.ndarray:
-    """P(X >= k) for k = 0..top."""
-    k = np.arange(top + 1)
-    logs = -rate + k * math.log(rate) - np.array([math.lgamma(x + 1) for x in k])
-    return np.clip(1.0 - np.concatenate([[0.0], np.cumsum(np.exp(logs))[:-1]]), 0.0, 1.0)
+def _poisson_tail(rate: float, counts: np.ndarray) -> np.ndarray:
+    """P(X >= k) for the counts k, the terms of each run between two of them added up in numpy."""
+    order = np.argsort(counts)
+    below, at, out = 0.0, 0, np.empty(len(counts))
+    for place in order.tolist():
+        k, log_factorial = np.arange(at, counts[place]), None
+        if len(k):
+            log_factorial = math.lgamma(at + 1) + np.concatenate([[0.0], np.cumsum(np.log(k[1:]))])
+            below += float(np.exp(-rate + k * math.log(rate) - log_factorial).sum())
+        at = int(counts[place])
+        out[place] = min(max(1.0 - below, 0.0), 1.0)
+    return out
 
 
 def enriched(expectations: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -183,8 +191,7 @@ def enriched(expectations: DataFrame, fdr: float = FDR) -> DataFrame:
         region, chunk = key
         rows = rows.sort_values("n", ascending=False)
         counts, above = rows["n"].to_numpy(), rows["pixels"].cumsum().to_numpy()
-        tail = _poisson_tail(2.0 ** (chunk / 3.0), int(counts.max()))
-        rate = rows["pixels"].sum() * tail[counts] / above
+        rate = rows["pixels"].sum() * _poisson_tail(2.0 ** (chunk / 3.0), counts) / above
         good = counts[rate <= fdr]
         return pd.DataFrame({"region": [region], "chunk": [chunk], "least": [int(good.min()) if len(good) else -1]})
 
@@ -202,42 +209,31 @@ def enriched(expectations: DataFrame, fdr: float = FDR) -> DataFrame:
                      & (F.col("n") >= FOLD_ANY * F.least("donut", "lower_left")) & near.isNotNull())
 
 
+# Bins of a tile of the first round of clustering.
+CLUSTER_TILE = 1024
+
+
 def strongest_first(peaks: DataFrame, radius: int) -> DataFrame:
     """Greedy clustering: take the strongest pixel, absorb those within ``radius`` bins, go on.
 
-    A pixel is settled when no stronger open pixel is near. Rounds run until none is open;
-    pixels meet by cells of side ``radius``, which hold a fixed number of pixels. Returns
-    the tops with ``members``.
+    Equal ones are taken in the order of their bins. Returns the tops with ``members``, the pixels
+    whose strongest near top they are, themselves included. A ramp of pixels settles in a few
+    rounds of tiles; pixels meet their tops by cells of side ``radius``, which hold a fixed number.
     """
+    pixels = cut(peaks.select("chrom", "b1", "b2", "n"))
+    points = pixels.select("chrom", F.array("b1", "b2").alias("pos"), F.col("n").alias("rep"))
+    tops = cut(greedy.select(points, ["chrom"], radius, max(CLUSTER_TILE, 4 * radius), [F.col("rep").desc(), F.col("pos")]).select(
+        "chrom", F.get("pos", F.lit(0)).alias("b1"), F.get("pos", F.lit(1)).alias("b2"), F.col("rep").alias("n")))
     side = radius + 1
-    cells = peaks.select("chrom", "b1", "b2", "n", F.expr(f"b1 div {side}").alias("ci"), F.expr(f"b2 div {side}").alias("cj"))
-    todo = cut(cells)
-    tops = []
-    while not todo.isEmpty():
-        near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-        sent = (todo.withColumn("di", F.explode(near)).withColumn("dj", F.explode(near))
-                .select("chrom", (F.col("ci") + F.col("di")).alias("ci"), (F.col("cj") + F.col("dj")).alias("cj"),
-                        F.col("b1").alias("o1"), F.col("b2").alias("o2"), F.col("n").alias("on")))
-        stronger = F.struct(F.col("on"), -F.col("o1"), -F.col("o2")) > F.struct(F.col("n"), -F.col("b1"), -F.col("b2"))
-        close = (F.abs(F.col("b1") - F.col("o1")) <= radius) & (F.abs(F.col("b2") - F.col("o2")) <= radius)
-        ranked = todo.join(sent, ["chrom", "ci", "cj"]).where(close).groupBy("chrom", "b1", "b2", "n", "ci", "cj").agg(
-            F.count_if(stronger).alias("ahead"))
-        top = cut(ranked.where("ahead = 0").drop("ahead"))
-        taken = (top.withColumn("di", F.explode(near)).withColumn("dj", F.explode(near))
-                 .select("chrom", (F.col("ci") + F.col("di")).alias("ci"), (F.col("cj") + F.col("dj")).alias("cj"),
-                         F.col("b1").alias("o1"), F.col("b2").alias("o2"), F.col("n").alias("on")))
-        owned = todo.join(taken, ["chrom", "ci", "cj"]).where(close)
-        best = owned.groupBy("chrom", "b1", "b2").agg(F.max(F.struct("on", -F.col("o1"), -F.col("o2"))).alias("t"))
-        sizes = best.groupBy("chrom", (-F.col("t.col2")).alias("b1"), (-F.col("t.col3")).alias("b2")).agg(
-            F.count("*").alias("members"))
-        tops.append(top.join(sizes, ["chrom", "b1", "b2"]).select("chrom", "b1", "b2", "n", "members"))
-        todo = cut(todo.join(best.select("chrom", "b1", "b2"), ["chrom", "b1", "b2"], "left_anti"))
-    if not tops:
-        return peaks.select("chrom", "b1", "b2", "n", F.lit(1).cast("bigint").alias("members")).limit(0)
-    out = tops[0]
-    for t in tops[1:]:
-        out = out.unionByName(t)
-    return out
+    cells = pixels.select("chrom", "b1", "b2", F.expr(f"b1 div {side}").alias("ci"), F.expr(f"b2 div {side}").alias("cj"))
+    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    sent = tops.withColumn("di", F.explode(near)).withColumn("dj", F.explode(near)).select(
+        "chrom", (F.expr(f"b1 div {side}") + F.col("di")).alias("ci"), (F.expr(f"b2 div {side}") + F.col("dj")).alias("cj"),
+        F.col("b1").alias("o1"), F.col("b2").alias("o2"), F.col("n").alias("on"))
+    close = (F.abs(F.col("b1") - F.col("o1")) <= radius) & (F.abs(F.col("b2") - F.col("o2")) <= radius)
+    owner = cells.join(sent, ["chrom", "ci", "cj"]).where(close).groupBy("chrom", "b1", "b2").agg(F.max(F.struct("on", -F.col("o1"), -F.col("o2"))).alias("t"))
+    sizes = owner.groupBy("chrom", (-F.col("t.col2")).alias("b1"), (-F.col("t.col3")).alias("b2")).agg(F.count("*").alias("members"))
+    return tops.join(sizes, ["chrom", "b1", "b2"]).select("chrom", "b1", "b2", "n", "members")
 
 
 def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: int | None = None,
@@ -254,102 +250,6 @@ def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: i
         "n", "members")
 
 
-def beyond_span(values: DataFrame, span: int) -> DataFrame:
-    """Pixels per chromosome that ``domains`` with this span does not look at, and their total.
-
-    Domains of span + 1 to 2 * span bins use none of these: no such pixel does not mean that no
-    domain is left out. Without a span none is.
-    """
-    far = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") >= 2 * span))
-    return far.groupBy("chrom").agg(F.count("*").alias("pixels"), F.sum("value").alias("total"))
-
-
-# Largest domain in bins of the first search; each further one goes twice as far.
-FIRST_SPAN = 64
-
-
-def domains(values: DataFrame, res: int, span: int | None = None, min_bins: int = 4, min_score: float = 0.6) -> DataFrame:
-    """Contact domains from the directional preference of each bin.
-
-    A(i, i+d) compares contacts d bins up- and downstream. Inside a domain [a, b] it is
-    negative where the upstream partner leaves the domain and positive where the
-    downstream one does. The score is the mean sign plus the mean value of the two
-    triangles; local maxima above ``min_score`` are kept. Bins off the map have no contacts.
-
-    Domains of every size up to the longest chromosome are looked for, in spans that double; the
-    score of a domain does not depend on the span it is found with. ``span`` asks for
-    domains of at most so many bins instead. Windows of four spans slide along the diagonal, so
-    a task input holds at most (4 * span)^2 pixels, for the last search four chromosomes squared.
-    """
-    if span is not None:
-        spans = [span]
-    else:
-        last = values.where(F.col("value").isNotNull()).agg(F.max("b2")).first()[0]
-        longest, spans = max((last or 0) + 1, min_bins), [max(FIRST_SPAN, min_bins)]
-        while spans[-1] < longest:
-            spans.append(2 * spans[-1])
-        spans[-1] = longest
-    scored = _scored_domains(values, spans[0], min_bins, min_score)
-    for low, high in zip(spans, spans[1:]):
-        scored = scored.unionByName(_scored_domains(values, high, low + 1, min_score))
-    ranked = strongest_first(scored.withColumnRenamed("score", "n"), min_bins)
-    return ranked.select("chrom", (F.col("b1") * res).alias("start"), ((F.col("b2") + 1) * res).alias("end"),
-                         F.col("n").alias("score"))
-
-
-def _scored_domains(values: DataFrame, span: int, least: int, min_score: float) -> DataFrame:
-    """chrom, b1, b2 and score of all domains of ``least`` to ``span`` bins after the first with at least ``min_score``."""
-    pixels = values.where(F.col("value").isNotNull() & (F.col("b2") - F.col("b1") < 2 * span)).select(
-        "chrom", "b1", "b2", "value")
-    # window k serves domains that start in [k*span, (k+1)*span) and sees bins (k-1)*span to (k+3)*span
-    first, last = F.greatest(F.expr(f"b2 div {span}") - 2, F.lit(0).cast("bigint")), F.expr(f"b1 div {span}") + 1
-    placed = pixels.withColumn("k", F.explode(F.sequence(first, last)))
-
-    def score(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        chrom, k = key
-        base, n = (k - 1) * span, 4 * span
-        m = np.zeros((n, n))
-        i, j = cells["b1"].to_numpy() - base, cells["b2"].to_numpy() - base
-        ok = (i >= 0) & (j < n)
-        m[i[ok], j[ok]] = cells["value"].to_numpy()[ok]
-        m = np.maximum(m, m.T)
-        pref = np.zeros((n, n))
-        for d in range(1, 2 * span):
-            at = np.arange(d, n - d)
-            if not len(at):
-                break
-            up, down = m[at, at - d], m[at, at + d]
-            total = up + down
-            pref[at, at + d] = np.divide(up - down, total, out=np.zeros_like(total), where=total > 0)
-        left = np.cumsum(np.pad(pref, ((0, 0), (1, 0))), axis=1)
-        sign = np.cumsum(np.pad(np.sign(pref), ((0, 0), (1, 0))), axis=1)
-        best = np.full((span, span + 1), -np.inf)
-        for a in range(span, 2 * span):
-            for size in range(least, span + 1):
-                b = a + size
-                if b >= n:
-                    break
-                mid = (a + b) // 2
-                up_rows = np.arange(a, mid + 1)
-                lo = np.minimum(2 * up_rows - a + 1, b + 1)
-                upper = (left[up_rows, b + 1] - left[up_rows, lo]).sum()
-                upper_sign = (sign[up_rows, b + 1] - sign[up_rows, lo]).sum()
-                upper_n = (b + 1 - lo).sum()
-                low_rows = np.arange(mid + 1, b + 1)
-                hi = np.minimum(2 * low_rows - a + 1, n)
-                lower = (left[low_rows, hi] - left[low_rows, b + 1]).sum()
-                lower_sign = (sign[low_rows, hi] - sign[low_rows, b + 1]).sum()
-                lower_n = (hi - b - 1).sum()
-                if upper_n and lower_n:
-                    best[a - span, size] = (lower / lower_n - upper / upper_n
-                                            + lower_sign / lower_n - upper_sign / upper_n) / 4
-        rows = [(chrom, base + a + span, base + a + span + size, float(best[a, size]))
-                for a, size in zip(*np.nonzero(best >= min_score))]
-        return pd.DataFrame(rows, columns=["chrom", "b1", "b2", "score"])
-
-    return placed.groupBy("chrom", "k").applyInPandas(score, "chrom string, b1 bigint, b2 bigint, score double")
-
-
 ANCHOR_BIN = 16_384
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features, fragments, matrix, pairs, tracks
+from ..operators.domains import domains as find_domains
 from ..operators.support import cut
 from . import flow
 from .inputs import derive
@@ -255,7 +256,7 @@ def loop_surroundings(spark, d):
 _CHUNK = "cast(greatest(ceil(log2(greatest({}, 1e-9)) * 3), 0) as int)"
 
 
-@query("loop_pixels", f"""
+_TOPS = f"""
 with recursive {_AROUND}, le as (select c.chrom, b1, b2, c.n, {", ".join(f"{_region(r)} as {r}" for r in features.REGIONS)}
  from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n),
 ok as (select * from le where {" and ".join(f"{r} is not null" for r in features.REGIONS)}),
@@ -272,28 +273,36 @@ walk as (select chrom, rn, b1, b2, n, [{{'a': b1, 'b': b2}}] as kept, false as n
  select o.chrom, o.rn, o.b1, o.b2, o.n, case when len(list_filter(w.kept, lambda x: abs(x.a - o.b1) <= 1 and abs(x.b - o.b2) <= 1)) > 0 then w.kept
  else list_append(w.kept, {{'a': o.b1, 'b': o.b2}}) end, len(list_filter(w.kept, lambda x: abs(x.a - o.b1) <= 1 and abs(x.b - o.b2) <= 1)) > 0
  from walk w join od o on o.chrom = w.chrom and o.rn = w.rn + 1)
-select chrom as c1, cast(b1 * 25000 as bigint) as x1, cast(b2 * 25000 as bigint) as y1, n from walk where not near""")
+"""
+
+
+@query("loop_pixels", _TOPS + "select chrom as c1, cast(b1 * 25000 as bigint) as x1, cast(b2 * 25000 as bigint) as y1, n from walk where not near")
 def loop_pixels(spark, d):
     """Strongest pixel of every loop."""
     values, exp, sizes = _values(spark, d, 25_000)
     return features.loops(values, exp, sizes, 25_000).select("c1", "x1", "y1", "n")
 
 
-@query("loops")
+@query("loops", _TOPS + """,
+ow as (select p.chrom, p.b1, p.b2, arg_max({'a': t.b1, 'b': t.b2}, {'n': t.n, 'a': -t.b1, 'b': -t.b2}) as t from pk p
+ join walk t on not t.near and t.chrom = p.chrom and abs(t.b1 - p.b1) <= 1 and abs(t.b2 - p.b2) <= 1 group by all)
+select w.chrom as c1, cast(w.b1 * 25000 as bigint) as x1, cast(w.b1 * 25000 + 25000 as bigint) as x2, w.chrom as c2, cast(w.b2 * 25000 as bigint) as y1, cast(w.b2 * 25000 + 25000 as bigint) as y2,
+ w.n, count(*) as members from ow join walk w on not w.near and w.chrom = ow.chrom and w.b1 = t.a and w.b2 = t.b group by all""")
 def loops(spark, d):
+    """Loops with the pixels whose strongest near top they are."""
     values, exp, sizes = _values(spark, d, 25_000)
     return features.loops(values, exp, sizes, 25_000)
 
 
 @query("domains", f"""
-with recursive {_MIRROR}, {_SCALED}, m as (select chrom, b1 as i, b2 as j, value from vals where b2 - b1 < 50 union all select chrom, b2, b1, value from vals where b1 <> b2 and b2 - b1 < 50),
-st as (select chrom, k * 25 + o as a from (select distinct chrom, unnest(range(greatest(b2 // 25 - 2, 0), b1 // 25 + 2)) as k from vals where b2 - b1 < 50) w, range(25) t(o)),
-pref as (select r.chrom, r.r, r.r + d as j, case when coalesce(u.value, 0) + coalesce(w.value, 0) > 0
- then (coalesce(u.value, 0) - coalesce(w.value, 0)) / (coalesce(u.value, 0) + coalesce(w.value, 0)) else 0 end as p
- from (select distinct chrom, a + x as r from st, range(26) t(x)) r cross join range(1, 50) z(d)
- left join m u on u.chrom = r.chrom and u.i = r.r - d and u.j = r.r left join m w on w.chrom = r.chrom and w.i = r.r and w.j = r.r + d),
-dom as (select chrom, a, a + s as b, (a + a + s) // 2 as mid from st, range(4, 26) z(s)),
-sc as (select q.chrom, a, b, (avg(case when r > mid then p end) - avg(case when r <= mid then p end) + avg(case when r > mid then sign(p) end) - avg(case when r <= mid then sign(p) end)) / 4 as score
+with recursive {_MIRROR}, {_SCALED}, nb as (select chrom, max(b2) + 1 as nb from vals where value is not null group by 1),
+m as (select chrom, b1 as i, b2 as j, value from vals union all select chrom, b2, b1, value from vals where b1 <> b2),
+starts as (select chrom, nb, unnest(range(0, nb)) as r from nb),
+pref as (select x.chrom, x.r, x.r + d as j, (coalesce(u.value, 0) - coalesce(w.value, 0)) / (coalesce(u.value, 0) + coalesce(w.value, 0)) as p
+ from (select chrom, r, unnest(range(1, nb)) as d from starts) x left join m u on u.chrom = x.chrom and u.i = x.r - d and u.j = x.r left join m w on w.chrom = x.chrom and w.i = x.r and w.j = x.r + d
+ where coalesce(u.value, 0) + coalesce(w.value, 0) > 0),
+dom as (select chrom, r as a, r + s as b, (r + r + s) // 2 as mid, (s // 2 + 1) * (s - s // 2) as cells from (select *, unnest(range(4, nb)) as s from starts) where r + s < nb),
+sc as (select q.chrom, a, b, round(sum(case when r > mid then p + sign(p) else - p - sign(p) end) / (4 * any_value(cells)), 9) as score
  from dom q join pref f on f.chrom = q.chrom and r between a and b and (r <= mid and j between 2 * r - a + 1 and b or r > mid and j between b + 1 and 2 * r - a) group by all),
 od as (select *, row_number() over (partition by chrom order by score desc, a, b) as rn from sc where score >= 0.3),
 walk as (select chrom, rn, a, b, score, [{{'a': a, 'b': b}}] as kept, false as near from od where rn = 1
@@ -303,7 +312,7 @@ walk as (select chrom, rn, a, b, score, [{{'a': a, 'b': b}}] as kept, false as n
 select chrom, cast(a * 100000 as bigint) as start, cast((b + 1) * 100000 as bigint) as "end", round(score, 6) as score from walk where not near""")
 def domains(spark, d):
     values, _, _ = _values(spark, d, 100_000)
-    return features.domains(values, 100_000, min_score=0.3).withColumn("score", F.round("score", 6))
+    return find_domains(values, 100_000, min_score=0.3, tile=16).withColumn("score", F.round("score", 6))
 
 
 _MOTIF_INPUT = """

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chromaloom.operators import collisions, duplicates
+from chromaloom.operators import collisions, duplicates, greedy
 
 KEY = ["c1", "c2", "f1", "f2", "s1", "s2"]
 
@@ -94,16 +94,17 @@ def test_group_duplicates_need_all_positions(spark):
 def test_points_of_many_ways_go_to_four_tiles_at_most(spark):
     side = duplicates._tile_side(4)
     df = spark.createDataFrame([("k", [side * i for i in range(1, 41)], "x")], "key string, pos array<long>, rep string")
-    assert duplicates._spread(df, ["key", "pos", "rep"], 4, side).count() == 4
+    assert greedy.spread(df, ["key", "pos", "rep"], 4, side).count() == 4
     rows = [(f"r{i}", [100 * k + d * (k + 1 == i) for k in range(12)]) for i, d in enumerate([0, 3, 4, 5, 9])]
     points = spark.createDataFrame([("k", p, r) for r, p in rows], "key string, pos array<long>, rep string")
     kept = {r.rep for r in duplicates.greedy_unique(points.dropDuplicates(["pos"]), ["key"], 4, side=9).collect()}
     assert kept == {"r0", "r3", "r4"}
 
 
-@pytest.mark.parametrize("island", [500_000, 20])
-def test_long_chains_and_their_islands(spark, island):
-    """Chains over many tiles, walked as islands or, above the limit, tile by tile."""
+@pytest.mark.parametrize("growth", [16, 2])
+def test_long_chains_in_widening_tiles(spark, growth, monkeypatch):
+    for module in (duplicates, greedy):
+        monkeypatch.setattr(module, "GROWTH", growth)
     rng = random.Random(3)
     places = [(2 * i, 100) for i in range(120)] + [(rng.randint(0, 60), rng.randint(500, 540)) for _ in range(150)] + [(3 * i, 900 + 3 * i) for i in range(40)]
     places = sorted(set(places))
@@ -112,14 +113,28 @@ def test_long_chains_and_their_islands(spark, island):
     for a, b in places:
         if not any(abs(a - x) <= 4 and abs(b - y) <= 4 for x, y in want):
             want.append((a, b))
-    got = duplicates.greedy_unique(df, ["key"], 4, side=40, dims=2, rounds=1, island=island).collect()
+    got = duplicates.greedy_unique(df, ["key"], 4, side=40, dims=2, rounds=1).collect()
     assert sorted(tuple(r.pos) for r in got) == want
 
 
-def test_a_chain_of_many_tiles_needs_few_jobs(spark, monkeypatch):
-    """Twenty thousand points two apart settle in three rounds of tiles and one of islands."""
+def test_a_million_chained_points_take_ten_rounds_at_most(spark, monkeypatch):
     rounds = []
-    monkeypatch.setattr(duplicates, "cut_measuring", lambda df, m, real=duplicates.cut_measuring: rounds.append(1) or real(df, m))
-    df = spark.range(20_000).select(F.lit("k").alias("key"), F.array(2 * F.col("id"), F.lit(100).cast("long")).alias("pos"), F.col("id").cast("string").alias("rep"))
-    assert duplicates.greedy_unique(df, ["key"], 4, dims=2).count() == 6667
-    assert len(rounds) == 3
+    for module in (duplicates, greedy):
+        monkeypatch.setattr(module, "cut_measuring", lambda df, m, real=module.cut_measuring: rounds.append(1) or real(df, m))
+    df = spark.range(1_000_000).select(F.lit("k").alias("key"), F.array(2 * F.col("id"), F.lit(100).cast("long")).alias("pos"), F.col("id").cast("string").alias("rep"))
+    kept = duplicates.greedy_unique(df, ["key"], 4, dims=2)
+    assert tuple(kept.agg(F.count("*"), F.count_if(F.col("pos")[0] % 6 > 0)).first()) == (333_334, 0)
+    assert len(rounds) <= 10
+
+
+def test_selection_by_strength(spark):
+    """Any order, in tiles that are smaller than the chains of pixels that wait for each other."""
+    rng = random.Random(8)
+    pixels = {(rng.randint(0, 80), rng.randint(0, 80)): rng.randint(1, 30) for _ in range(500)} | {(200 + k, 300 + k): k for k in range(90)}
+    df = spark.createDataFrame([("k", list(p), n) for p, n in pixels.items()], "key string, pos array<long>, rep long")
+    want = []
+    for p in sorted(pixels, key=lambda p: (-pixels[p], p)):
+        if not any(abs(p[0] - x) <= 2 and abs(p[1] - y) <= 2 for x, y in want):
+            want.append(p)
+    got = greedy.select(df, ["key"], 2, 8, [F.col("rep").desc(), F.col("pos")]).collect()
+    assert sorted(tuple(r.pos) for r in got) == sorted(want)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chromaloom.operators import features, matrix, support
+from chromaloom.operators import domains, features, matrix, support
 from chromaloom.sources import contacts as files
 
 PIXELS = "res long, c1 string, c2 string, b1 long, b2 long, n long"
@@ -115,7 +115,7 @@ def test_planted_loop_is_found(spark):
 def test_planted_domain_is_found(spark):
     m = dense_matrix(spark, planted(100, domains=[(30, 50)]), 10_000)
     values = matrix.intra(m).withColumn("value", F.col("n").cast("double"))
-    found = features.domains(values, 10_000, span=40, min_bins=8, min_score=0.5).orderBy(F.desc("score")).collect()
+    found = domains.domains(values, 10_000, span=40, min_bins=8, min_score=0.5).orderBy(F.desc("score")).collect()
     assert abs(found[0].start - 300_000) <= 20_000 and abs(found[0].end - 510_000) <= 20_000
 
 
@@ -128,14 +128,6 @@ def test_motif_must_be_alone(spark):
     assert [(r.side, r.motif_start, r.convergent) for r in got] == [(1, 1000, True)]
 
 
-def test_domains_beyond_the_span_are_counted(spark):
-    cells = [("chr1", i, j, 10.0 if (i < 20) == (j < 20) else 1.0) for i in range(60) for j in range(i, 60)]
-    values = spark.createDataFrame(cells, "chrom string, b1 long, b2 long, value double")
-    left = features.beyond_span(values, 10).collect()
-    assert [(r.chrom, r.pixels) for r in left] == [("chr1", sum(j - i >= 20 for i in range(60) for j in range(i, 60)))]
-    assert features.beyond_span(values, 30).isEmpty()
-
-
 def test_loops_ask_for_their_shape(spark):
     values = spark.createDataFrame([("chr1", 0, 1, 1, 1.0)], "chrom string, b1 long, b2 long, n long, value double")
     with pytest.raises(ValueError, match="give peak and window"):
