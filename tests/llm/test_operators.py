@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -50,9 +51,116 @@ def ids_of(path, text, end):
     ("<title>t</title><script>var a='</p>'</script>body&amp;&nbsp;<style>p{}</style>text", "body& text"),
     ("<select><option>a<option selected>b</select><details><summary>S</summary>hidden</details>", "b\nS"),
     ("</i>a</p>b<![x y>c<!d>e<!-- f -->g", "a\n\nbceg"), ("", ""), ("<div>" * 3000 + "deep", "deep"), ("<script>never closed", ""),
+    # text in tables outside of cells, forms between rows, drawings, hidden elements below the depth limit, unfinished parts
+    ("<table><tbody>Foo<div>bar</div><tr><td>a</table>", "Foo\nbar\n\na"), ("<table><tbody><form><tr><td>x</td></tr></form></tbody></table>", "x"),
+    ("<p>a<svg><title>t</title><text>lab</text></svg>b<math><mi>x</mi></math>", "a lab bx"), ("<font>" * 201 + "<script>var x=1</script>t", "t"),
+    ("<div>" * 250 + "<script>var x=1</script>s<div hidden><div>no</div>no</div>t<div style='visibility:hidden'>n", "s\nt"),
+    ("a<!-- x <b>y", "a"), ("a<b title='x>y", "a"), ("a <!--> b <!--->c", "a b c"), ("1 < 2 <3 </ x>&lt;b>", "1 < 2 <3 <b>"),
+    ("<span style='display:none'>n<span>n</span>n</span>y<b hidden>n<i>n</b>z", "yz"), ("<table><tr><td>1<table><tr><td>n</table><td>2</table>", "1  2\nn"),
+    ("<table><colgroup>c<tr><td>x<tr>y<td>z</table>", "cy\n\nx\nz"), ("<noscript><p>no</noscript>yes<textarea>a &amp; <b></textarea>", "yesa & <b>"),
 ])
 def test_html(html, text):
-    assert html_text.render(html) == (text if "</p>b" not in html else html_text.render(html))
+    assert html_text.render(html) == text
+
+
+def random_page(rng, depth=0):
+    """A page and the words a browser shows of it, made together."""
+    html, words = [], []
+
+    def text(visible):
+        word = f"w{rng.integers(1 << 40)}"
+        html.append(f" {word} " if rng.random() < 0.7 else f" &#{ord(word[0])};{word[1:]}\n")
+        if visible:
+            words.append(word)
+
+    def inner(visible, depth, kinds):
+        for _ in range(rng.integers(0, 4)):
+            kind = rng.choice(kinds)
+            if kind == "text":
+                text(visible)
+            elif kind in ("div", "p", "span", "b", "blockquote", "section"):
+                hides = rng.choice(["", "", "", " hidden", " style='display: none'"])
+                html.append(f"<{kind}{hides}>")
+                below = ("text", "span", "b") if kind in ("p", "span", "b") else KINDS
+                if depth < 7:
+                    inner(visible and not hides, depth + 1, below)
+                html.append(f"</{kind}>" if kind != "p" or hides or rng.random() < 0.5 else "")
+            elif kind == "list":
+                html.append("<ul>")
+                for _ in range(rng.integers(1, 4)):
+                    html.append("<li>")
+                    text(visible)
+                    if depth < 7:
+                        inner(visible, depth + 1, KINDS)
+                html.append("</ul>")
+            elif kind == "table":
+                html.append("<table>")
+                for _ in range(rng.integers(1, 3)):
+                    html.append("<tr>" if rng.random() < 0.8 else "<tbody>")
+                    if rng.random() < 0.2:
+                        text(visible)  # in no cell
+                    for _ in range(rng.integers(1, 4)):
+                        html.append(rng.choice(["<td>", "<th>", "<td colspan=2>", "<td rowspan=3>"]))
+                        if depth < 7:
+                            inner(visible, depth + 1, KINDS)
+                html.append("</table>")
+            else:
+                html.append(rng.choice(["<script>var a = '<p>' </script>", "<style>b{}</style>", "<!-- <b>x</b> -->", "<template><p>t</p></template>", "<br>", "<img alt=x>"]))
+
+    KINDS = ("text", "text", "div", "p", "span", "b", "list", "table", "blockquote", "section", "none")
+    inner(True, 0, KINDS)
+    return "".join(html), words
+
+
+def test_html_shows_the_words_a_browser_shows():
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        html, words = random_page(rng)
+        assert Counter(html_text.render(html).replace("- ", " ").split()) == Counter(words), html
+
+
+def test_html_of_pages(spark):
+    """Words of whole pages against a plain walk that only counts hidden elements."""
+    from html.parser import HTMLParser
+
+    class Walk(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.hidden, self.words = 0, Counter()
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += tag in html_text.HIDDEN
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in html_text.HIDDEN
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.words.update(re.findall(r"\w{3,}", data))
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    html = {r.page_id: r.html or "" for r in pages.collect()}
+    for r in queries.op1_html_text(spark, SF).collect():
+        walk = Walk()
+        walk.feed(html[r.page_id])
+        walk.close()
+        assert Counter(re.findall(r"\w{3,}", r.text)) == walk.words, r.page_id
+
+
+@pytest.mark.parametrize("html", ["<a " * 300_000, "<!--" * 250_000, "<a t='\">" * 100_000, "<div>" * 150_000, "<b hidden><b>" * 60_000, "<td><table>" * 60_000,
+                                  "<tr><td colspan=1000 rowspan=9>x" * 15_000, "<ul><li>" * 90_000])
+def test_html_takes_time_by_length(html):
+    start = time.process_time()
+    assert len(html_text.render(html)) <= 5 * len(html)
+    assert time.process_time() - start < 10
+
+
+def test_html_tables_grow_with_their_text():
+    html = "<table><tr><td>" + "w" * 20_000 + "<td>y" + "<tr><td>a<td>b" * 2_000 + "</table>"
+    text = html_text.render(html)
+    assert len(text) < 200_000 and text.count("a  b") == 2_000 and "w" * 20_000 in text
+    wide = "".join(f"<td>{'c' * 90}" for _ in range(40))
+    assert len(html_text.render(f"<table><tr>{wide}" + "<tr><td colspan=39><td>x" * 3_000)) < 50_000
 
 
 def test_html_rows(spark):
