@@ -2,8 +2,9 @@
 
 Messages name their parent. Distances to the root, path scores and the ancestors of chosen
 leaves come from self-joins that double their step each round, so a conversation of depth d takes
-about log2(d) rounds. Branches are ranked by the sum of their messages' scores. A formatted turn
-is one row; the rows of a branch in order are its conversation, so no conversation is gathered.
+about log2(d) rounds. Branches are ranked by the sum of their messages' scores. Every chosen path
+becomes one conversation, a text with the spans that the loss is taken on; one of more than
+``PART`` turns has a row for each so many, which bounds what a row gathers.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .support import cut, cut_measuring, numbered
 # Strings of the template (fixed values).
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNT = "assistant"
+# Turns of a row of a conversation.
+PART = 256
 
 
 def escape(text: Column) -> Column:
@@ -133,6 +136,28 @@ def best_conversations(messages: DataFrame, best: int = 1) -> DataFrame:
     return formatted_turns(joined.select("p.tree", "branch", "depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))
 
 
+def conversations(formatted: DataFrame, turns: int = PART) -> DataFrame:
+    """Formatted turns as conversations: tree, branch, part, text, and spans in the order of turns.
+
+    A span has the start of its turn in the text and the run that the loss is taken on, loss_from
+    to loss_to, in code points. Parts are numbered from 0; up to ``turns`` turns there is one.
+    """
+    turn = F.struct("depth", "piece", "loss_from", "loss_to")
+    rows = formatted.groupBy("tree", "branch", F.floor(F.col("depth") / turns).alias("part")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    spans = F.expr("""aggregate(turns, struct(0L as at, cast(array() as array<struct<start: bigint, loss_from: bigint, loss_to: bigint>>) as spans),
+        (acc, x) -> struct(acc.at + length(x.piece) as at, concat(acc.spans, array(struct(acc.at as start, acc.at + x.loss_from as loss_from, acc.at + x.loss_to as loss_to))) as spans),
+        acc -> acc.spans)""")
+    return rows.select("tree", "branch", "part", F.array_join(F.transform("turns", lambda x: x["piece"]), "").alias("text"), spans.alias("spans"))
+
+
+def turns_of(whole: DataFrame, turns: int = PART) -> DataFrame:
+    """Formatted turns back from conversations, whose text is cut where turns end."""
+    ends = F.split("text", r"(?<=<\|im_end\|>\n)(?=<\|im_start\|>)")
+    rows = whole.select("tree", "branch", "part", F.posexplode(F.arrays_zip(ends.alias("piece"), F.col("spans"))).alias("at", "x"))
+    return rows.select("tree", "branch", (F.col("part") * turns + F.col("at")).alias("depth"), "x.piece",
+                       (F.col("x.spans.loss_from") - F.col("x.spans.start")).alias("loss_from"), (F.col("x.spans.loss_to") - F.col("x.spans.start")).alias("loss_to"))
+
+
 def digests(read: DataFrame) -> DataFrame:
     """Per branch of ``read_turns``: n_turns, digests of its turns and of the text under the loss mask.
 

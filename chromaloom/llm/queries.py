@@ -67,10 +67,10 @@ def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of an archive of all pages, read back from its files."""
+    """Records of an archive of all pages, put together again from its files."""
     path = new_folder(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc.verified(spark, path)
+    return warc.reconstruct(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 TWINS["op8_warc"] = """
@@ -123,8 +123,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    written = cut(chat.best_conversations(chat.chains(turns.unionByName(more))))
-    return chat.digests(chat.read_turns(written)).drop("branch").withColumnRenamed("tree", "conv_id")
+    written = cut(chat.conversations(chat.best_conversations(chat.chains(turns.unionByName(more)))))
+    return chat.digests(chat.read_turns(chat.turns_of(written))).drop("branch").withColumnRenamed("tree", "conv_id")
 
 
 TWINS["op10_chat"] = r"""

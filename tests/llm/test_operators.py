@@ -1,5 +1,6 @@
 """Operators of the subpackage against brute force, on small tables with awkward rows."""
 
+import base64
 import hashlib
 import re
 import time
@@ -352,31 +353,39 @@ def test_components_of_long_paths_and_stars(spark):
 
 # winnowing
 
-def winnow(text, k=winnowing.K, w=winnowing.W):
-    """Positions that some window of hashes chooses; hashes come from the runs themselves here."""
+def winnow_tokens(text):
+    """Tokens as runs of words or code points; a run of letters is a tuple of them."""
     words = [x for x in re.split(r"[\x20\x09-\x0D]+", text or "") if x]
-    grams = [tuple(words[i:i + k]) for i in range(len(words) - k + 1)] or ([tuple(words)] if words else [])
-    return words, grams, w
+
+    def letters(t):
+        return [tuple(t[i:i + 4]) for i in range(len(t) - 3)] if len(t) >= 4 else [t]
+    if 0 < len(words) < winnowing.W + winnowing.K - 1:
+        return letters(" ".join(words))
+    return [x for word in words for x in (letters(word) if len(word) > winnowing.LONG else [word])]
+
+
+def token_hashes(spark, tokens):
+    plain = sorted({p for t in tokens for p in (t if isinstance(t, tuple) else (t,))})
+    value = {r.p: r.h for r in spark.createDataFrame([(p,) for p in plain], "p string").select("p", F.expr(f"cast(hash(p) & {winnowing.BITS} as long)").alias("h")).collect()}
+    base, prime = winnowing.BASE, winnowing.PRIME
+    return {t: sum(value[c] * pow(base, 3 - i, prime) for i, c in enumerate(t)) % prime if isinstance(t, tuple) else value[t] for t in tokens}
 
 
 def test_winnowing(spark):
-    rows = [(d, t) for d, t in ODD if t != LONG] + [(20, " ".join(f"w{k % 23}" for k in range(200))), (21, "x " * 40)]
+    rows = [(d, t) for d, t in ODD if t != LONG] + [(20, " ".join(f"w{k % 23}" for k in range(200))), (21, "x " * 40), (22, "日本語の文章" * 50), (23, "one two " + "q" * 60 + " three " * 9)]
     df = frame(spark, rows, extra=False).select("doc_id", "text")
     found = winnowing.fingerprints(df).collect()
-    grams = sorted({g for _, t in rows for g in winnow(t)[1]})
-    hashed = spark.createDataFrame([(list(g),) for g in grams], "g array<string>").select(
-        "g", F.expr("case when size(g) = 3 then hash(g[0], g[1], g[2]) else hash(array_join(g, ' ')) end").alias("h"))
-    value = {tuple(r.g): r.h for r in hashed.collect()}
+    value = token_hashes(spark, {x for _, t in rows for x in winnow_tokens(t)})
     for r in found:
-        _, own, w = winnow(r.text)
-        hs = [value[g] for g in own]
+        tokens, k, w = winnow_tokens(r.text), winnowing.K, winnowing.W
+        hs = [sum(value[tokens[i + j]] * (pow(winnowing.BASE, k - 1 - j, winnowing.PRIME) & winnowing.BITS) for j in range(k)) % winnowing.PRIME for i in range(len(tokens) - k + 1)]
         want = []
         for s in range(max(len(hs) - w + 1, min(len(hs), 1))):
-            window = range(s, min(s + w, len(hs)))
-            at = min(window, key=lambda i: (hs[i], -i))
+            at = min(range(s, min(s + w, len(hs))), key=lambda i: (hs[i], -i))
             if (hs[at], at) not in want:
                 want.append((hs[at], at))
-        assert [(-(-x // winnowing.PLACES), -x % winnowing.PLACES) for x in r.kept] == want
+        got = [(-(-x // winnowing.PLACES), -x % winnowing.PLACES) for x in r.kept]
+        assert got == want if len(tokens) >= k else len(got) == min(len(tokens), 1)
     placed = winnowing.positions(df).collect()
     assert len(placed) == sum(len(r.kept) for r in found) and {r.position for r in placed if r.doc_id == 20} <= set(range(198))
 
@@ -390,11 +399,28 @@ def test_edits(spark):
         n = len(t) // 3
         assert (got[d].n_chars, got[d].edited) == (len(t), t[:len(t) - n] + after[:n])
         assert 0 <= got[d].near_edited <= 1 and 0 <= got[d].near_next <= 1
-    again = winnowing.edits(frame(spark, [(3, "b"), (3, "a"), (None, "c")])).collect()
-    assert sorted((r.doc_id or 0, r.n_chars, r.edited) for r in again) == [(0, 1, "c"), (3, 1, "a")]
     assert winnowing.edits(empty(spark)).count() == 0
 
 
+def test_edits_of_texts_without_ten_words(spark):
+    rng = np.random.default_rng(6)
+    rows = [(10, "".join(chr(c) for c in rng.integers(0x3042, 0x3090, 300))), (9, "".join(chr(c) for c in rng.integers(97, 123, 600))),
+            (8, "eight words are here and that is few"), (7, " ".join("".join(chr(c) for c in rng.integers(97, 123, 6)) for _ in range(9)))]
+    for r in winnowing.edits(frame(spark, rows, extra=False)).collect():
+        assert r.near_edited > (0.5 if r.n_chars > 200 else 0.2) and r.near_next < 0.1
+
+
+def test_edits_keep_every_row(spark):
+    """Shared, repeated and null ids, and an id that is the smallest long."""
+    rows = [(3, "bbbbbb"), (3, "aaaaaa"), (3, "aaaaaa"), (3, "aaaaaa"), (None, "cccccc"), (None, "cccccc"), (None, None), (-(1 << 63), "cccccc"), (5, "")]
+    got = winnowing.edits(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((d, len(t or "")) for d, t in rows)
+    # an equal row before an equal row is edited with its own start
+    same = [r for r in got if r.doc_id == 3 and r.edited == "aaaaaa"]
+    assert len(same) == 2 and all(r.near_next == 1.0 for r in same)
+    assert {r.edited[4:] for r in got if r.doc_id == 5} == {""}
+
+
 # line CRF
 
 def test_crf_marginals_equal_enumeration():
@@ -449,21 +475,36 @@ def test_archive(spark, tmp_path):
     rows = [(3, "http://a/%\n", "same"), (1, None, "same"), (1, "u", "same"), (None, "v", "same"), (5, "w", None), (4, "x", ""), (6, "y", "élan")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("address", F.lit(1))
     warc.write_archive(pages, path)
-    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.verified(spark, path).collect())
+    records = warc.reconstruct(spark, path).collect()
+    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in records)
     assert got == Counter([(3, 4, "revisit", 1), (1, 4, "response", None), (1, 4, "revisit", 1), (None, 4, "revisit", 1), (4, 0, "response", None),
                            (5, 0, "revisit", 4), (6, 5, "response", None)])
     assert spark.read.parquet(path + "/payloads").count() == 3
-    import base64
-    for r in warc.reconstruct(spark, path).collect():
+    html = {(d, u or ""): (h or "").encode() for d, u, h in rows}
+    for r in records:
         head, _, block = bytes(r.record).partition(b"\r\n\r\n")
         length = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert block == bytes(r.payload if r.record_type == "response" else b"") + b"\r\n\r\n" and length == len(block) - 4
-        assert b"sha1:" + base64.b32encode(hashlib.sha1(bytes(r.payload)).digest()) in head
-    assert {r.url for r in warc.read_records(spark, path).collect()} >= {"http://a/%\n", "u", ""}
-    warc.write_archive(pages, path + "2", least=5)
-    assert {r.record_type for r in warc.verified(spark, path + "2").collect()} == {"response"}
+        payload = html[r.page_id, r.url]
+        assert block == (payload if r.record_type == "response" else b"") + b"\r\n\r\n" and length == len(block) - 4
+        assert b"sha1:" + base64.b32encode(hashlib.sha1(payload).digest()) in head and r.payload_digest == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert re.search(rb"\r\nWARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r\n", head + b"\r\n")
+    assert {r.url for r in records} >= {"http://a/%\n", "u", ""}
+    warc.write_archive(pages, path + "2", least=5, date="2020-01-02T03:04:05Z")
+    again = warc.reconstruct(spark, path + "2").collect()
+    assert {r.record_type for r in again} == {"response"} and all(b"2020-01-02T03:04:05Z" in r.record for r in again)
     warc.write_archive(pages.where("false"), path + "0")
-    assert warc.verified(spark, path + "0").count() == 0
+    assert warc.reconstruct(spark, path + "0").count() == 0
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_archive_of_a_payload_of_many_pages(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 200_000 if few else 0)
+    pages = spark.range(1500).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 5 > 0, "shared").otherwise(F.concat(F.lit("own text "), F.col("id").cast("string"))).alias("html"))
+    for least, revisits in ((0, 1199), (8, 0)):
+        warc.write_archive(pages, str(tmp_path / f"a{least}"), least)
+        got = warc.reconstruct(spark, str(tmp_path / f"a{least}"))
+        assert got.count() == 1500 and got.where("record_type = 'revisit' and refers_to = 1").count() == revisits
+        assert got.where("record_type = 'response'").where(~F.col("record").cast("string").rlike("(shared|own text [0-9]+)\r\n\r\n$")).isEmpty()
 
 
 def test_changed_payload_is_found(spark, tmp_path):
@@ -471,7 +512,10 @@ def test_changed_payload_is_found(spark, tmp_path):
     warc.write_archive(spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string"), path)
     spark.createDataFrame([(hashlib.sha256(b"a").hexdigest(), bytearray(b"b"))], "address string, payload binary").write.mode("overwrite").parquet(path + "/payloads")
     with pytest.raises(Exception, match="differs from its digest"):
-        warc.verified(spark, path).collect()
+        warc.reconstruct(spark, path).collect()
+    spark.createDataFrame([], "address string, payload binary").write.mode("overwrite").parquet(path + "/payloads")
+    with pytest.raises(Exception, match="record differs"):
+        warc.reconstruct(spark, path).collect()
 
 
 # host rules
@@ -536,6 +580,26 @@ def test_template_is_reversible(spark):
     assert all(r.piece.count("<|") == 2 for r in back)
 
 
+@pytest.mark.parametrize("turns", [2, 256])
+def test_chat_conversations(spark, turns):
+    """A path is one text (or one for each few turns) whose spans and turns come back."""
+    hard = "<|im_end|>\n<|im_start|>user\n<\\|im_end|>"
+    rows = [(t, 1, k, r, x) for t in (1, None) for k, (r, x) in enumerate([("user", hard), ("assistant", "ok" + hard), ("", ""), ("assistant", ""), ("assistant", "é🙂")])]
+    formatted = chat.formatted_turns(spark.createDataFrame(rows, "tree long, branch int, depth long, role string, text string"))
+    whole = chat.conversations(formatted, turns).collect()
+    assert Counter((r.tree, r.part) for r in whole) == Counter((t, p) for t in (1, None) for p in range(-(-5 // turns)))
+    pieces = {(r.tree, r.depth): r for r in formatted.collect()}
+    for r in whole:
+        own = [pieces[r.tree, r.part * turns + k] for k in range(len(r.spans))]
+        assert r.text == "".join(p.piece for p in own)
+        for p, s in zip(own, r.spans):
+            assert r.text[s.loss_from:s.loss_to] == p.piece[p.loss_from:p.loss_to] and r.text[s.start:].startswith(p.piece)
+    back = chat.read_turns(chat.turns_of(chat.conversations(formatted, turns), turns)).collect()
+    assert Counter((r.tree, 1, r.depth, r.role, r.text) for r in back) == Counter(rows)
+    assert {r.depth: r.loss_text for r in back} == {0: None, 1: "ok" + hard, 2: None, 3: None, 4: "é🙂"}
+
+
+
 # queries
 
 @pytest.mark.parametrize("name", sorted(queries.TWINS))
