@@ -18,26 +18,37 @@ from chromaloom.llm import host_rules, line_crf, near_copies, packing, tokens
 from chromaloom.llm.support import own_tables, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Bytes of an Arrow batch. By rows alone ten thousand long texts make one, of which the JVM and a
+# Python worker hold several each.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the conditional random field over their lines predicts good."""
+    small_batches(spark)
     model = line_crf.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return line_crf.good_documents(docs, model)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and whose source is not rejected."""
+    small_batches(spark)
     return host_rules.kept_documents(docs, F.col("source"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of texts that share 0.8 of their shingles of five words."""
+    small_batches(spark)
     return near_copies.one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences."""
+    small_batches(spark)
     return packing.pack(docs, tokens.default_vocabulary())
 
 
