@@ -250,6 +250,45 @@ def loops(values: DataFrame, exp: DataFrame, sizes: DataFrame, res: int, peak: i
         "n", "members")
 
 
+# A loop found at the finest resolution alone stays if it is as near the diagonal, in bp, or has more contacts.
+NEAR_DIAGONAL = 110_000
+STRONG = 100
+
+
+def _beside(loops_: DataFrame, others: DataFrame, radius: int, how: str) -> DataFrame:
+    """Semi or anti join to loops whose middles both lie within ``radius``; loops meet by cells of that side."""
+    def middles(df: DataFrame) -> DataFrame:
+        return df.withColumns({"mx": F.expr("(x1 + x2) div 2"), "my": F.expr("(y1 + y2) div 2")}).withColumns(
+            {"ci": F.expr(f"mx div {radius + 1}"), "cj": F.expr(f"my div {radius + 1}")})
+
+    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    sent = middles(others).withColumn("di", F.explode(near)).withColumn("dj", F.explode(near)).select(
+        F.col("c1").alias("o1"), F.col("c2").alias("o2"), F.col("mx").alias("ox"), F.col("my").alias("oy"), (F.col("ci") + F.col("di")).alias("oi"), (F.col("cj") + F.col("dj")).alias("oj"))
+    on = ((F.col("c1") == F.col("o1")) & (F.col("c2") == F.col("o2")) & (F.col("ci") == F.col("oi")) & (F.col("cj") == F.col("oj"))
+          & (F.abs(F.col("mx") - F.col("ox")) <= radius) & (F.abs(F.col("my") - F.col("oy")) <= radius))
+    return middles(loops_).join(sent, on, how).select(*loops_.columns)
+
+
+def merged_loops(lists: dict[int, DataFrame], near: int = NEAR_DIAGONAL, strong: int = STRONG) -> DataFrame:
+    """One loop list out of those of several resolutions, with the resolution ``res`` of each loop.
+
+    A coarser loop within two of its bins of a finer one is the same loop, and the finer one stands for
+    it. Loops of the finest list that the next one does not confirm need to be ``near`` the diagonal or
+    ``strong``; coarser loops of their own are all kept.
+    """
+    order = sorted(lists)
+    found = [cut(lists[res].withColumn("res", F.lit(res).cast("bigint"))) for res in order]
+    merged = found[0]
+    for k, own in enumerate(found[1:], 1):
+        radius = 2 * order[k]
+        added = _beside(own, merged, radius, "left_anti")
+        if k == 1:
+            single = _beside(merged, own, radius, "left_anti").where((F.col("y1") - F.col("x1") < near) | (F.col("n") > strong))
+            merged = _beside(merged, own, radius, "left_semi").unionByName(single)
+        merged = cut(merged.unionByName(added))
+    return merged
+
+
 ANCHOR_BIN = 16_384
 
 

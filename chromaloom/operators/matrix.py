@@ -200,11 +200,13 @@ PEARSON_BLOCK = 256
 PEARSON_COLUMNS = 4096
 
 
-def pearsons(oe: DataFrame, max_bins: int | None = None, block: int = PEARSON_BLOCK) -> DataFrame:
+def pearsons(oe: DataFrame, max_bins: int | None = None, block: int = PEARSON_BLOCK, rows: tuple[int, int] | None = None) -> DataFrame:
     """Correlation of every two rows of the O/E matrix: (res, chrom, i, j, r) with i <= j.
 
     Missing pixels are 0 and empty bins are left out. The answer has bins * bins entries;
-    ``max_bins`` refuses a finer map than meant. Rows are cut into blocks. Each pair of blocks
+    ``max_bins`` refuses a finer map than meant. ``rows`` asks for bins from the first up to, not
+    including, the last against all others: fine maps are read by some rows at a time, and
+    ``eigenvector`` needs no correlation at all. Rows are cut into blocks. Each pair of blocks
     is one task input: the pixels of two blocks, of which some columns are dense at a time.
     """
     cells = oe.where("oe is not null").select("res", "chrom", "b1", "b2", "oe")
@@ -218,6 +220,9 @@ def pearsons(oe: DataFrame, max_bins: int | None = None, block: int = PEARSON_BL
     mine = F.expr(f"i div {block}")
     sent = sized.select("res", "chrom", "n_active", "i", "j", "oe", mine.alias("mine"),
                         F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("other"))
+    if rows is not None:
+        wanted = (rows[0] // block, (rows[1] - 1) // block)
+        sent = sent.where(F.col("mine").between(*wanted) | F.col("other").between(*wanted))
     keyed = sent.withColumns({"ba": F.least("mine", "other"), "bb": F.greatest("mine", "other")})
 
     def correlate(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
@@ -243,35 +248,46 @@ def pearsons(oe: DataFrame, max_bins: int | None = None, block: int = PEARSON_BL
 
     found = keyed.drop("mine", "other").groupBy("res", "chrom", "ba", "bb").applyInPandas(
         correlate, "res bigint, chrom string, i bigint, j bigint, r double")
+    if rows is not None:
+        found = found.where(F.col("i").between(rows[0], rows[1] - 1) | F.col("j").between(rows[0], rows[1] - 1))
     return found.withColumn("r", F.nanvl("r", F.lit(None).cast("double")))
 
 
-def eigenvector(pearson: DataFrame, iters: int = 30, cut_every: int = 10) -> DataFrame:
+def eigenvector(oe: DataFrame, iters: int = 30, cut_every: int = 5) -> DataFrame:
     """First principal component per resolution and chromosome: (res, chrom, bin, v).
 
-    Power iteration; a round is one join and one grouped sum. The sign is a convention:
-    the largest component is positive.
+    ``oe`` has res, chrom, b1, b2 and oe. Power iteration on the correlation of its rows, which is
+    never made: with m the means, s the deviations of the n rows that are not empty, a round takes
+    x to (O (O' (x / s)) - n m m' (x / s)) / s, two sparse joins and sums whose size is that of the map.
+    Rows without deviation have no component. The sign is a convention: the largest component is
+    positive.
     """
-    rows = pearson.where("r is not null")
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
-    full = cut(rows.select("res", "chrom", "r", F.explode(both).alias("x")).select("res", "chrom", "x.*", "r"))
-    per_chrom = Window.partitionBy("res", "chrom")
+    cells = oe.where("oe is not null").select("res", "chrom", "b1", "b2", "oe")
+    full = cut(mirrored(cells.withColumns({"c1": F.col("chrom"), "c2": F.col("chrom")}).drop("chrom"), "oe"))
+    per_chrom, place = Window.partitionBy("res", "chrom"), ["res", "chrom", "i"]
+    sums = full.groupBy(*place).agg(F.sum("oe").alias("total"), F.sum(F.col("oe") * F.col("oe")).alias("squares"))
+    sized = sums.withColumn("n", F.count("*").over(per_chrom)).withColumn("m", F.col("total") / F.col("n"))
+    rows, n_rows = cut_measuring(sized.withColumn("s", F.sqrt(F.greatest(F.col("squares") / F.col("n") - F.col("m") * F.col("m"), F.lit(0.0)))).where("s > 0").select(*place, "m", "s"), F.count("*"))
+    small = n_rows <= BROADCAST_ROWS
+
+    def times(vector: DataFrame) -> DataFrame:
+        """The map, which is symmetric, times a vector (res, chrom, i, y)."""
+        weighted = lookup_join(full, vector.withColumnRenamed("i", "j"), ["res", "chrom", "j"], "inner", salt_from=["i"], small=small)
+        return weighted.groupBy(*place).agg(F.sum(F.col("oe") * F.col("y")).alias("y"))
 
     def unit(df: DataFrame) -> DataFrame:
         return df.withColumn("v", F.col("v") / F.sqrt(F.sum(F.col("v") * F.col("v")).over(per_chrom)))
 
-    start = 1.0 + F.pmod(F.col("i") * 7, F.lit(11)) / 11.0
-    x = unit(full.select("res", "chrom", "i").distinct().select("res", "chrom", F.col("i").alias("bin"), start.alias("v")))
+    x = unit(rows.select(*place, "m", "s", (1.0 + F.pmod(F.col("i") * 7, F.lit(11)) / 11.0).alias("v")))
     for done in range(1, iters + 1):
-        step = x.withColumnRenamed("bin", "j")
-        moved = full.join(step, ["res", "chrom", "j"]).groupBy("res", "chrom", F.col("i").alias("bin")).agg(
-            F.sum(F.col("r") * F.col("v")).alias("v"))
-        x = unit(moved)
+        seen = cut(times(x.select(*place, (F.col("v") / F.col("s")).alias("y"))))
+        whole = seen.groupBy("res", "chrom").agg(F.sum("y").alias("z"))  # a row per resolution and chromosome
+        moved = rows.join(times(seen), place).join(F.broadcast(whole), ["res", "chrom"])
+        x = unit(moved.select(*place, "m", "s", ((F.col("y") - F.col("m") * F.col("z")) / F.col("s")).alias("v")))
         if done % cut_every == 0 and done < iters:
             x = cut(x)
-    top = F.max_by("v", F.struct(F.abs("v"), -F.col("bin"))).over(per_chrom)
-    return x.withColumn("v", F.col("v") * F.signum(top))
+    top = F.max_by("v", F.struct(F.round(F.abs("v"), 12), -F.col("i"))).over(per_chrom)
+    return x.select("res", "chrom", F.col("i").alias("bin"), (F.col("v") * F.signum(top)).alias("v"))
 
 
 def extract_region(matrix: DataFrame, res: int, region1: tuple[str, int, int], region2: tuple[str, int, int],

@@ -129,18 +129,30 @@ def contact_statistics(pairs: DataFrame, sites: DataFrame | None = None, q: int
                  n(true & F.col("same") & (d >= measures.LONG_RANGE), "true_dangling_intra_long"),
                  n(true & ~F.col("same"), "true_dangling_inter")]
     counted = df.agg(*aggs)
+    return _with_shares(counted, total_reads)
+
+
+def _with_shares(counted: DataFrame, total_reads: int | None = None) -> DataFrame:
+    """Counters of contacts with their shares of unique pairs, reads, long contacts and sided ends."""
     shares = ["intra_fragment", "below_mapq", "contacts", "ligation", "inter", "intra", "short", "long"]
     counted = with_percent(counted, shares, F.col("unique_pairs"), "of_unique_pct")
     if total_reads is not None:
         counted = with_percent(counted, shares, F.lit(total_reads), "of_reads_pct")
     for o in ORIENTATIONS:
         counted = with_percent(counted, [f"{o}_long"], F.col("long"), "pct")
-    if sites is not None:
+    if "three_prime" in counted.columns:
         for c in ("three_prime", "five_prime"):
             counted = with_percent(counted, [c], F.col("three_prime") + F.col("five_prime"), "pct")
     return counted
 
 
+def add_contact_statistics(parts: list[DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+    """Statistics of several experiments as one: counters added up, shares taken anew."""
+    every = reduce(DataFrame.unionByName, parts)
+    counters = [c for c in every.columns if c not in by and not c.endswith("_pct")]
+    return _with_shares(every.groupBy(*by).agg(*(F.sum(c).cast("bigint").alias(c) for c in counters)))
+
+
 def pair_type_counts(pairs: DataFrame, q: int = 1) -> DataFrame:
     """Long-range contacts of one chromosome by orientation."""
     df = _described(contact_status(pairs, q).where("status = 'contact'"), motifs.UNKNOWN_JUNCTION)

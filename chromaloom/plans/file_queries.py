@@ -17,6 +17,7 @@ from .matrix_queries import _LOOPS, _MIRROR, _TYPED, _loops, _matrix, _pixels
 from .pair_queries import _DIST_HIST, _MAPQ_HIST, _SITE_HIST
 from .read_queries import _tag
 from .registry import TWINS, query
+from .stages import Stages
 
 
 def _folder(spark, name):
@@ -170,47 +171,92 @@ def merged_order(spark, d):
     return _placed(merged.select("qname", "experiment"))
 
 
-# whole experiments from alignment records: unique contacts of the accepted reads at interior positions
-_UNIQUE_READS = """recursive p as (select qname, cast(s1 as int) as s1, cast(s2 as int) as s2, c1, c2, cast(p1 as bigint) as p1, cast(p2 as bigint) as p2, cast(ip1 as bigint) as ip1,
+def _unique_reads(experiment: str = "0") -> str:
+    """Whole experiments from alignment records: unique contacts of the accepted reads at interior positions."""
+    key = "e, c1, c2, f1, f2, s1, s2"
+    same = " and ".join(f"g.{c} = w.{c}" for c in key.split(", "))
+    return f"""recursive p as (select {experiment} as e, qname, cast(s1 as int) as s1, cast(s2 as int) as s2, c1, c2, cast(p1 as bigint) as p1, cast(p2 as bigint) as p2, cast(ip1 as bigint) as ip1,
  cast(ip2 as bigint) as ip2, q1, q2 from @classified where status in ('normal', 'chimeric')),
 f as (select p.*, coalesce(a.idx + 1, 0) as f1, coalesce(b.idx + 1, 0) as f2 from p asof left join @sites a on p.c1 = a.chrom and p.p1 >= a.pos
  asof left join @sites b on p.c2 = b.chrom and p.p2 >= b.pos),
-g as (select *, row_number() over (partition by c1, c2, f1, f2, s1, s2 order by p1, p2, qname) as rn from f),
-walk as (select c1, c2, f1, f2, s1, s2, rn, qname, [{'a': p1, 'b': p2}] as kept, false as dup from g where rn = 1
+g as (select *, row_number() over (partition by {key} order by p1, p2, qname) as rn from f),
+walk as (select {key}, rn, qname, [{{'a': p1, 'b': p2}}] as kept, false as dup from g where rn = 1
  union all
- select g.c1, g.c2, g.f1, g.f2, g.s1, g.s2, g.rn, g.qname,
-  case when len(list_filter(w.kept, lambda k: abs(k.a - g.p1) <= 4 and abs(k.b - g.p2) <= 4)) > 0 then w.kept else list_append(w.kept, {'a': g.p1, 'b': g.p2}) end,
+ select {", ".join(f"g.{c}" for c in key.split(", "))}, g.rn, g.qname,
+  case when len(list_filter(w.kept, lambda k: abs(k.a - g.p1) <= 4 and abs(k.b - g.p2) <= 4)) > 0 then w.kept else list_append(w.kept, {{'a': g.p1, 'b': g.p2}}) end,
   len(list_filter(w.kept, lambda k: abs(k.a - g.p1) <= 4 and abs(k.b - g.p2) <= 4)) > 0
- from walk w join g on g.c1 = w.c1 and g.c2 = w.c2 and g.f1 = w.f1 and g.f2 = w.f2 and g.s1 = w.s1 and g.s2 = w.s2 and g.rn = w.rn + 1),
+ from walk w join g on {same} and g.rn = w.rn + 1),
 u as (select g.*, l.v as q, abs(ip1 - ip2) as d from g join (select qname from walk where not dup) k on g.qname = k.qname, (values (1), (30)) as l(v))"""
 
 
+_UNIQUE_READS = _unique_reads()
+_READ_NUMBER = "cast(substr(qname, 3) as bigint) % 3"
+_EXPERIMENT_STATISTICS = """t as (select *, case when c1 = c2 and f1 = f2 then 'intra' when least(q1, q2) < q then 'low' else 'contact' end as status from u)
+select cast(q as int) as q, count(*) as unique_pairs, count_if(status = 'intra') as intra_fragment, count_if(status = 'low') as below_mapq,
+ count_if(status = 'contact') as contacts, count_if(status = 'contact' and c1 <> c2) as inter, count_if(status = 'contact' and c1 = c2) as intra,
+ count_if(status = 'contact' and c1 = c2 and d >= 10 and d < 20000) as short, count_if(status = 'contact' and c1 = c2 and d >= 20000) as long,
+ cast(null as bigint) as ligation, cast(null as bigint) as dangling from t group by q"""
+_EXPERIMENT_MATRIX = """select cast(q as int) as q, cast(100000 as bigint) as res, c1, c2,
+ cast(case when c1 = c2 then least(ip1 // 100000, ip2 // 100000) else ip1 // 100000 end as bigint) as b1,
+ cast(case when c1 = c2 then greatest(ip1 // 100000, ip2 // 100000) else ip2 // 100000 end as bigint) as b2, count(*) as n from u
+ where q1 >= q and q2 >= q group by all"""
+
+
 def _experiment(spark, d):
     return flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), _folder(spark, "experiment"), (100_000,))
 
 
-@query("experiment_statistics", f"""
-with {_UNIQUE_READS}, t as (select *, case when c1 = c2 and f1 = f2 then 'intra' when least(q1, q2) < q then 'low' else 'contact' end as status from u)
-select cast(q as int) as q, count(*) as unique_pairs, count_if(status = 'intra') as intra_fragment, count_if(status = 'low') as below_mapq,
- count_if(status = 'contact') as contacts, count_if(status = 'contact' and c1 <> c2) as inter, count_if(status = 'contact' and c1 = c2) as intra,
- count_if(status = 'contact' and c1 = c2 and d >= 10 and d < 20000) as short, count_if(status = 'contact' and c1 = c2 and d >= 20000) as long,
- cast(null as bigint) as ligation, cast(null as bigint) as dangling from t group by q""")
+@query("experiment_statistics", f"with {_UNIQUE_READS}, {_EXPERIMENT_STATISTICS}")
 def experiment_statistics(spark, d):
     """Statistics of a whole experiment at two mapping qualities; the reads have no sequences."""
     return _experiment(spark, d)["statistics"].select(
         "q", "unique_pairs", "intra_fragment", "below_mapq", "contacts", "inter", "intra", "short", "long", "ligation", "dangling")
 
 
-@query("experiment_matrix", f"""
-with {_UNIQUE_READS} select cast(q as int) as q, cast(100000 as bigint) as res, c1, c2,
- cast(case when c1 = c2 then least(ip1 // 100000, ip2 // 100000) else ip1 // 100000 end as bigint) as b1,
- cast(case when c1 = c2 then greatest(ip1 // 100000, ip2 // 100000) else ip2 // 100000 end as bigint) as b2, count(*) as n from u
- where q1 >= q and q2 >= q group by all""")
+@query("experiment_matrix", f"with {_UNIQUE_READS} {_EXPERIMENT_MATRIX}")
 def experiment_matrix(spark, d):
     """Contact matrix of a whole experiment at two mapping qualities."""
     return _experiment(spark, d)["matrix"].select("q", "res", "c1", "c2", "b1", "b2", "n")
 
 
+@query("resumed_experiment", f"with {_UNIQUE_READS}, x as ({_EXPERIMENT_MATRIX}) select *, cast(0 as bigint) as stages_made, cast(8 as bigint) as stages_read from x")
+def resumed_experiment(spark, d):
+    """Matrix of an experiment that is run again: all its stages are read."""
+    path = _folder(spark, "resumed")
+    flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,))
+    again = Stages(spark, path)
+    found = flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,), stages=again)
+    counts = {"stages_made": F.lit(len(again.made)).cast("bigint"), "stages_read": F.lit(len(again.read)).cast("bigint")}
+    return found["matrix"].select("q", "res", "c1", "c2", "b1", "b2", "n").withColumns(counts)
+
+
+def _merged_experiment(spark, d):
+    """Three experiments, by the number of the read, each processed on its own and then merged."""
+    records = derive(spark, d, "alignments")
+    number = F.substring("qname", 3, 20).cast("bigint") % 3
+    parts = [flow.process(records.where(number == k), flow.sites(spark, d), _folder(spark, f"experiment{k}"), (100_000,), norms=("VC",)) for k in range(3)]
+    return flow.merge(parts, _folder(spark, "merged"), norms=("VC",))
+
+
+@query("merged_experiment", f"with {_unique_reads(_READ_NUMBER)} {_EXPERIMENT_MATRIX}")
+def merged_experiment(spark, d):
+    """Matrix of three experiments added up from their own."""
+    return _merged_experiment(spark, d)["matrix"].select("q", "res", "c1", "c2", "b1", "b2", "n")
+
+
+@query("merged_experiment_statistics", f"with {_unique_reads(_READ_NUMBER)}, {_EXPERIMENT_STATISTICS}")
+def merged_experiment_statistics(spark, d):
+    """Statistics of three experiments added up from their own."""
+    return _merged_experiment(spark, d)["statistics"].select(
+        "q", "unique_pairs", "intra_fragment", "below_mapq", "contacts", "inter", "intra", "short", "long", "ligation", "dangling")
+
+
+@query("merged_experiment_contacts", f"with {_unique_reads(_READ_NUMBER)} select qname, c1, ip1 as p1, c2, ip2 as p2, q1, q2 from u where q = 1")
+def merged_experiment_contacts(spark, d):
+    """Contacts of three experiments in one list."""
+    return _merged_experiment(spark, d)["contacts"].select("qname", "c1", "p1", "c2", "p2", "q1", "q2")
+
+
 @query("phased_by_chromosome", TWINS["phase_categories"])
 def phased_by_chromosome(spark, d):
     """Phased pairs written by chromosome and read back."""

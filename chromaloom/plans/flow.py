@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import duplicates, fragments, matrix, pairs, reads, statistics
 from . import inputs
+from .stages import Stages, of_input
 
 PAYLOAD = ("q1", "q2", "seq1", "seq2", "experiment")
 
@@ -72,8 +74,21 @@ def with_sequences(unique: DataFrame, alignments: DataFrame) -> DataFrame:
     return unique
 
 
+NORMS = ("VC", "VC_SQRT", "BALANCE")
+
+
+def _leveled(levels: tuple[int, ...], make: Callable[[int], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [make(q).withColumn("q", F.lit(q)) for q in levels])
+
+
+def _norms(maps: DataFrame, levels: tuple[int, ...], kinds: tuple[str, ...]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        _leveled(levels, lambda q, kind=kind: matrix.norm_vectors(maps.where(F.col("q") == q).drop("q"), kind)) for kind in kinds])
+
+
 def process(alignments: DataFrame, sites_: DataFrame | None, path: str, resolutions=matrix.RESOLUTIONS, junction: str = "GATCGATC",
-            wobble: int = duplicates.WOBBLE, levels: tuple[int, ...] = LEVELS, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
+            wobble: int = duplicates.WOBBLE, levels: tuple[int, ...] = LEVELS, sizes: DataFrame | None = None,
+            norms: tuple[str, ...] = NORMS, stages: Stages | None = None) -> dict[str, DataFrame]:
     """A whole experiment: reads to contacts, statistics, matrices and normalisation.
 
     Duplicates and fragments follow the outer positions of the ends; contact lists, statistics
@@ -83,39 +98,64 @@ def process(alignments: DataFrame, sites_: DataFrame | None, path: str, resoluti
     are moved by the average insert size; ``sizes`` then gives the chromosomes. Counters that
     need sequences are null when the alignments have none.
 
-    Stages that later ones share are written as Parquet tables under ``path``, a folder all
-    executors reach; a rerun starts from the tables that exist by calling the operators on
-    them.
+    Every result is a stage table under ``path``, a folder all executors reach. A rerun reads the
+    stages that were finished from the same inputs with the same parameters and makes the others;
+    ``stages`` tells which.
     """
-    spark = alignments.sparkSession
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
-
-    def leveled(make) -> DataFrame:
-        return reduce(DataFrame.unionByName, [make(q).withColumn("q", F.lit(q)) for q in levels])
-
-    found = stage("classified", reads.classify(alignments))
-    insert = reads.insert_size(found)
-    if sites_ is None:
-        moved = reads.adjust_insert_size(reads.accepted(found), stage("insert", insert))
-        both = pairs.dummy_fragments(moved)
-    else:
-        both = fragments.assign_fragments(reads.accepted(found), sites_)
+    stages = stages or Stages(alignments.sparkSession, path)
+    reads_in, sites_in = of_input(alignments), of_input(sites_)
+    found = stages.table("classified", (reads_in,), lambda: reads.classify(alignments))
+    insert = stages.table("insert", (stages.stage("classified"),), lambda: reads.insert_size(found))
+    if sites_ is not None:
         sizes = fragments.chrom_sizes(sites_)
-    unique = stage("unique", with_sequences(duplicates.unique_pairs(both, wobble, carry=("q1", "q2", "ip1", "ip2", "rec1", "rec2")), alignments))
+
+    def placed() -> DataFrame:
+        if sites_ is None:
+            return pairs.dummy_fragments(reads.adjust_insert_size(reads.accepted(found), insert))
+        return fragments.assign_fragments(reads.accepted(found), sites_)
+
+    unique = stages.table("unique", (stages.stage("classified"), sites_in, wobble), lambda: with_sequences(
+        duplicates.unique_pairs(placed(), wobble, carry=("q1", "q2", "ip1", "ip2", "rec1", "rec2")), alignments))
     ends = [c for c in unique.columns if c.startswith("seq")]
     contacts = unique.withColumns({"p1": F.col("ip1"), "p2": F.col("ip2")}).select("qname", *pairs.SHORT_FORM, "q1", "q2", *ends)
-    maps = stage("matrix", leveled(lambda q: matrix.contact_matrix(contacts, resolutions, q, sizes)))
-    norms = [leveled(lambda q, kind=kind: matrix.norm_vectors(maps.where(F.col("q") == q).drop("q"), kind)) for kind in ("VC", "VC_SQRT")]
+    of_contacts = (stages.stage("unique"), sites_in, of_input(sizes), list(levels))
+    maps = stages.table("matrix", (*of_contacts, list(resolutions)), lambda: _leveled(levels, lambda q: matrix.contact_matrix(contacts, resolutions, q, sizes)))
     return {
-        "split_stats": reads.split_counters(found),
+        "split_stats": stages.table("split_stats", (stages.stage("classified"),), lambda: reads.split_counters(found)),
         "insert_size": insert,
         "unique": unique,
         "contacts": contacts,
-        "statistics": leveled(lambda q: statistics.contact_statistics(contacts, sites_, q, junction)),
-        "hists": leveled(lambda q: statistics.hists(contacts, sites_, q)),
+        "statistics": stages.table("statistics", (*of_contacts, junction), lambda: _leveled(levels, lambda q: statistics.contact_statistics(contacts, sites_, q, junction))),
+        "hists": stages.table("hists", of_contacts, lambda: _leveled(levels, lambda q: statistics.hists(contacts, sites_, q))),
+        "matrix": maps,
+        "norm": stages.table("norm", (stages.stage("matrix"), list(norms)), lambda: _norms(maps, levels, norms)),
+    }
+
+
+def merge(experiments: list[dict[str, DataFrame]], path: str, norms: tuple[str, ...] = NORMS, stages: Stages | None = None) -> dict[str, DataFrame]:
+    """Several processed experiments as one, from their stage tables.
+
+    Contacts are put together in the order of chromosome pairs and positions, without removing
+    duplicates across experiments. Statistics, histograms and matrices are added up from those
+    stored, so no contact is counted again; only normalisation is made anew, from the merged maps.
+    Results are stages under ``path`` like those of ``process``.
+    """
+    stages = stages or Stages(experiments[0]["matrix"].sparkSession, path)
+
+    def every(name: str) -> tuple[list[DataFrame], tuple[str, ...]]:
+        parts = [e[name] for e in experiments]
+        return parts, tuple(of_input(p) for p in parts)
+
+    lists, of_lists = every("contacts")
+    stored, of_stored = every("matrix")
+    stats, of_stats = every("statistics")
+    counts, of_counts = every("hists")
+    levels = tuple(r["q"] for r in stored[0].select("q").distinct().orderBy("q").collect())
+    maps = stages.table("matrix", of_stored, lambda: pairs.merge_experiments(stored).groupBy("q", "res", *matrix.PIXEL).agg(F.sum("n").alias("n")))
+    return {
+        "contacts": stages.table("contacts", of_lists, lambda: pairs.merge_sorted(lists)),
+        "statistics": stages.table("statistics", of_stats, lambda: statistics.add_contact_statistics(stats, ("q",))),
+        "hists": stages.table("hists", of_counts, lambda: pairs.merge_experiments(counts).groupBy("q", "hist", "bin", "series").agg(F.sum("n").alias("n"))),
         "matrix": maps,
-        "norm": stage("norm", norms[0].unionByName(norms[1])),
+        "norm": stages.table("norm", (stages.stage("matrix"), list(norms)), lambda: _norms(maps, levels, norms)),
     }

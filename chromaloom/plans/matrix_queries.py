@@ -149,6 +149,16 @@ def pearson_correlation(spark, d):
     return matrix.pearsons(oe, block=16).select("chrom", "i", "j", F.round("r", 6).alias("r"))
 
 
+@query("correlation_of_rows", f"""
+with {_MIRROR}, {_EXPECTED}, {_CORRELATED} select chrom, cast(i as bigint) as i, cast(j as bigint) as j, round(r, 6) as r from corr where i between 10 and 19 or j between 10 and 19""")
+def correlation_of_rows(spark, d):
+    """Some rows of the correlation against all others."""
+    sizes = fragments.chrom_sizes(flow.sites(spark, d))
+    m = cut(_matrix(spark, d, (100_000,)))
+    oe = matrix.observed_over_expected(m, cut(matrix.expected(m, sizes, (100_000,))))
+    return matrix.pearsons(oe, block=8, rows=(10, 20)).select("chrom", "i", "j", F.round("r", 6).alias("r"))
+
+
 _UNIT = "select chrom, i, v / sqrt(sum(v * v) over (partition by chrom)) as v from ({}) u"
 _POWER = _rounds(10, _UNIT.format("select distinct chrom, i, 1.0::double + ((i * 7) % 11) / 11.0::double as v from sym"),
                  _UNIT.format("select s.chrom, s.i, sum(s.r * w.v) as v from sym s join {x} w on w.chrom = s.chrom and w.i = s.j group by all"))
@@ -163,7 +173,7 @@ def compartment_eigenvector(spark, d):
     sizes = fragments.chrom_sizes(flow.sites(spark, d))
     m = cut(_matrix(spark, d, (250_000,)))
     oe = matrix.observed_over_expected(m, cut(matrix.expected(m, sizes, (250_000,))))
-    return matrix.eigenvector(matrix.pearsons(oe), iters=10).select("chrom", "bin", F.round("v", 6).alias("v"))
+    return matrix.eigenvector(oe, iters=10).select("chrom", "bin", F.round("v", 6).alias("v"))
 
 
 @query("extract_region", f"""
@@ -226,9 +236,10 @@ def _values(spark, d, res):
     return scaled.where(F.col("res") == res), exp.where(F.col("res") == res), sizes
 
 
-# cells around every pixel with the regions they belong to
-_AROUND = f"""
-{_mirror(25_000)}, {_SCALED}, {_diagonals(25_000, "vals", "value")}, nb as (select chrom, max(pos) // 25000 + 1 as nb from @sites group by chrom),
+def _around(res: int) -> str:
+    """Cells around every pixel with the regions they belong to."""
+    return f"""
+{_mirror(res)}, {_SCALED}, {_diagonals(res, "vals", "value")}, nb as (select chrom, max(pos) // {res} + 1 as nb from @sites group by chrom),
 off as (select a.v as di, b.v as dj, a.v <> 0 and b.v <> 0 and greatest(abs(a.v), abs(b.v)) > 1 as donut, a.v >= 1 and b.v <= -1 and (a.v > 1 or b.v < -1) as lower_left,
  abs(a.v) <= 1 and abs(b.v) > 1 as horizontal, abs(b.v) <= 1 and abs(a.v) > 1 as vertical from (select unnest(range(-3, 4)) as v) a, (select unnest(range(-3, 4)) as v) b),
 cells as (select v.chrom, v.b1, v.b2, v.n, v.value, o.*, coalesce(m.value, 0) as m, e.expected as e from vals v join nb using (chrom) cross join off o
@@ -243,7 +254,7 @@ def _region(name: str) -> str:
 
 
 @query("loop_surroundings", f"""
-with {_AROUND}
+with {_around(25_000)}
 select c.chrom, cast(b1 as bigint) as b1, cast(b2 as bigint) as b2, c.n, {", ".join(
     f"round({_region(r)}, 4) as {r}"
     for r in features.REGIONS)} from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n""")
@@ -256,8 +267,10 @@ def loop_surroundings(spark, d):
 _CHUNK = "cast(greatest(ceil(log2(greatest({}, 1e-9)) * 3), 0) as int)"
 
 
-_TOPS = f"""
-with recursive {_AROUND}, le as (select c.chrom, b1, b2, c.n, {", ".join(f"{_region(r)} as {r}" for r in features.REGIONS)}
+def _tops(res: int) -> str:
+    """Enriched pixels (pk) and their greedy choice (walk where not near) with neighbours one bin away."""
+    return f"""
+with recursive {_around(res)}, le as (select c.chrom, b1, b2, c.n, {", ".join(f"{_region(r)} as {r}" for r in features.REGIONS)}
  from cells c join ex x on x.d = c.b2 - c.b1 group by c.chrom, b1, b2, c.n),
 ok as (select * from le where {" and ".join(f"{r} is not null" for r in features.REGIONS)}),
 tally as ({" union all ".join(f"select '{r}' as region, {_CHUNK.format(r)} as chunk, n, count(*) as pixels from ok group by all" for r in features.REGIONS)}),
@@ -276,14 +289,14 @@ walk as (select chrom, rn, b1, b2, n, [{{'a': b1, 'b': b2}}] as kept, false as n
 """
 
 
-@query("loop_pixels", _TOPS + "select chrom as c1, cast(b1 * 25000 as bigint) as x1, cast(b2 * 25000 as bigint) as y1, n from walk where not near")
+@query("loop_pixels", _tops(25_000) + "select chrom as c1, cast(b1 * 25000 as bigint) as x1, cast(b2 * 25000 as bigint) as y1, n from walk where not near")
 def loop_pixels(spark, d):
     """Strongest pixel of every loop."""
     values, exp, sizes = _values(spark, d, 25_000)
     return features.loops(values, exp, sizes, 25_000).select("c1", "x1", "y1", "n")
 
 
-@query("loops", _TOPS + """,
+@query("loops", _tops(25_000) + """,
 ow as (select p.chrom, p.b1, p.b2, arg_max({'a': t.b1, 'b': t.b2}, {'n': t.n, 'a': -t.b1, 'b': -t.b2}) as t from pk p
  join walk t on not t.near and t.chrom = p.chrom and abs(t.b1 - p.b1) <= 1 and abs(t.b2 - p.b2) <= 1 group by all)
 select w.chrom as c1, cast(w.b1 * 25000 as bigint) as x1, cast(w.b1 * 25000 + 25000 as bigint) as x2, w.chrom as c2, cast(w.b2 * 25000 as bigint) as y1, cast(w.b2 * 25000 + 25000 as bigint) as y2,
@@ -294,6 +307,46 @@ def loops(spark, d):
     return features.loops(values, exp, sizes, 25_000)
 
 
+# loop lists of three resolutions made one; limits that leave some loops of each kind
+LOOP_RESOLUTIONS, _NEAR, _STRONG = (25_000, 50_000, 100_000), 500_000, 12
+
+
+def _close(a: str, b: str, res: int) -> str:
+    return f"{a}.chrom = {b}.chrom and abs({a}.x + {a}.res // 2 - {b}.x - {b}.res // 2) <= {2 * res} and abs({a}.y + {a}.res // 2 - {b}.y - {b}.res // 2) <= {2 * res}"
+
+
+_FINE, _MIDDLE, _COARSE = LOOP_RESOLUTIONS
+_LISTS = ", ".join(f"l{k} as materialized ({_tops(res)} select chrom, b1 * {res} as x, b2 * {res} as y, n, {res} as res from walk where not near)" for k, res in enumerate(LOOP_RESOLUTIONS))
+_MERGED = f"""{_LISTS},
+m1 as (select a.* from l0 a where exists (select 1 from l1 b where {_close("a", "b", _MIDDLE)}) or a.y - a.x < {_NEAR} or a.n > {_STRONG}
+ union all select b.* from l1 b where not exists (select 1 from l0 a where {_close("a", "b", _MIDDLE)})),
+ml as materialized (select * from m1 union all select b.* from l2 b where not exists (select 1 from m1 a where {_close("a", "b", _COARSE)}))
+"""
+
+
+def _merged_loops(spark, d):
+    lists = {}
+    for res in LOOP_RESOLUTIONS:
+        values, exp, sizes = _values(spark, d, res)
+        lists[res] = features.loops(values, exp, sizes, res, 1, 3)
+    return features.merged_loops(lists, _NEAR, _STRONG)
+
+
+@query("merged_loops", f"with {_MERGED} select chrom as c1, cast(x as bigint) as x1, cast(y as bigint) as y1, n, cast(res as bigint) as res from ml")
+def merged_loops(spark, d):
+    """Loops of three resolutions as one list."""
+    return _merged_loops(spark, d).select("c1", "x1", "y1", "n", "res")
+
+
+@query("merged_loop_peaks", f"""
+with {_mirror(100_000)}, {_MERGED}, lp as (select chrom as c1, (2 * x + res) // 2 // 100000 as cx, (2 * y + res) // 2 // 100000 as cy from ml)
+select cast(b1 - cx as bigint) as dx, cast(b2 - cy as bigint) as dy, cast(sum(n) as bigint) as total from px p join lp on lp.c1 = p.c1
+ and abs(b1 - cx) <= 3 and abs(b2 - cy) <= 3 where cy - cx >= 4 group by all""")
+def merged_loop_peaks(spark, d):
+    """Pixels around the loops of the merged list added up."""
+    return features.apa(_matrix(spark, d, (100_000,)), _merged_loops(spark, d), 100_000, window=3, min_dist=4)
+
+
 @query("domains", f"""
 with recursive {_MIRROR}, {_SCALED}, nb as (select chrom, max(b2) + 1 as nb from vals where value is not null group by 1),
 m as (select chrom, b1 as i, b2 as j, value from vals union all select chrom, b2, b1, value from vals where b1 <> b2),
@@ -322,6 +375,34 @@ an as (select distinct 1 as side, c1 as chrom, cx * 100000 as "start", cx * 1000
 """
 
 
+def _motif_twin(loops_: str, x1: str, x2: str, y1: str, y2: str) -> str:
+    """Motifs of the anchors of a table of loops with the given ends."""
+    return f"""
+pk as (select distinct c1 as chrom, p1 // 1000 * 1000 as "start", p1 // 1000 * 1000 + 1000 as "end" from @canon where q2 % 3 = 0),
+mt as (select distinct c1 as chrom, p1 as "start", p1 + 20 as "end", case when s1 = 0 then '+' else '-' end as strand from @canon where q1 % 5 = 0),
+an as (select distinct 1 as side, chrom, {x1} as "start", {x2} as "end" from {loops_} union select 2, chrom, {y1}, {y2} from {loops_})
+"""
+
+
+_ONE_MOTIF = """bm as (select distinct m.* from mt m join pk p on m.chrom = p.chrom and m."start" < p."end" and m."end" > p."start"),
+one as (select a.side, a.chrom, a."start", a."end", min(b."start") as ms, min(b."end") as me, min(b.strand) as strand from an a join bm b on a.chrom = b.chrom and b."start" < a."end" and b."end" > a."start"
+ group by all having count(*) = 1)
+select chrom, cast("start" as bigint) as "start", cast("end" as bigint) as "end", side, cast(ms as bigint) as motif_start, cast(me as bigint) as motif_end, strand,
+ strand = (case when side = 1 then '+' else '-' end) as convergent from one"""
+
+
+@query("merged_loop_motifs", f"with {_MERGED}, {_motif_twin('ml', 'x', 'x + res', 'y', 'y + res')}, {_ONE_MOTIF}")
+def merged_loop_motifs(spark, d):
+    """Motifs of the anchors of the merged list."""
+    canonical = pairs.canonical_pair(derive(spark, d, "raw_pairs"))
+    start = F.expr("p1 div 1000 * 1000")
+    peaks = canonical.where("q2 % 3 = 0").select(F.col("c1").alias("chrom"), start.alias("start"), (start + 1000).alias("end")).distinct()
+    motifs = canonical.where("q1 % 5 = 0").select(
+        F.col("c1").alias("chrom"), F.col("p1").alias("start"), (F.col("p1") + 20).alias("end"),
+        F.when(F.col("s1") == 0, "+").otherwise("-").alias("strand")).distinct()
+    return features.anchor_motifs(_merged_loops(spark, d), peaks, motifs)
+
+
 @query("anchor_motifs", f"""
 with {_LOOPS}, {_MOTIF_INPUT}, bm as (select distinct m.* from mt m join pk p on m.chrom = p.chrom and m."start" < p."end" and m."end" > p."start"),
 one as (select a.side, a.chrom, a."start", a."end", min(b."start") as ms, min(b."end") as me, min(b.strand) as strand from an a join bm b on a.chrom = b.chrom and b."start" < a."end" and b."end" > a."start"

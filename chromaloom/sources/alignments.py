@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions import names
-from ..operators.support import cut, lookup_join
+from ..operators.support import BROADCAST_ROWS, cut, cut_measuring, lookup_join
 
 FIXED = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
 TYPES = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
@@ -83,15 +88,19 @@ def write_sam(alignments: DataFrame, path: str, header: list[str] | None = None)
             "value").coalesce(1).write.mode("overwrite").text(f"{path}_header")
 
 
-def _line_numbers(lines: DataFrame) -> DataFrame:
+def _parts(lines: DataFrame) -> DataFrame:
+    """file, part, block, first and n of the read splits of ``lines``, a row each."""
+    part = F.shiftright("seq_id", 33).alias("part")
+    return lines.groupBy("file", part).agg(F.count("*").alias("n"), F.min("seq_id").alias("first"), F.min("block").alias("block"))
+
+
+def _line_numbers(lines: DataFrame, parts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Number lines per file: rank inside a read split plus the lines of earlier splits."""
-    split = F.struct("file", F.shiftright("seq_id", 33).alias("part"))
-    tagged = lines.withColumn("part", split)
-    counts = tagged.groupBy("part").agg(F.count("*").alias("n"), F.min("seq_id").alias("first"), F.min("block").alias("block"))
-    before = Window.partitionBy("part.file").orderBy("block", "first").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return (tagged.join(bases, "part")
-            .select("file", "text", (F.col("base") + F.col("seq_id") - F.col("first")).alias("line")))
+    before = Window.partitionBy("file").orderBy("block", "first").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (_parts(lines) if parts is None else parts).select("file", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    tagged = lines.withColumn("part", F.shiftright("seq_id", 33))
+    return (tagged.join(bases, ["file", "part"])
+            .select("file", "text", (F.col("base") + F.col("seq_id") - F.col("first")).alias("line"), *keep))
 
 
 def _sequences(spark: SparkSession, path: str, column: str) -> DataFrame:
@@ -107,21 +116,49 @@ def read_fastq(spark: SparkSession, r1: str, r2: str | None = None) -> DataFrame
     return first.join(_sequences(spark, r2, "seq2"), "read_no")
 
 
+def _headed(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``head``, whether a line is a header, and ``chrom``, the name in the last header of its split up to it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            heads = pc.starts_with(batch.column("text"), ">")
+            found = pc.struct_field(pc.extract_regex(batch.column("text"), r"^>\s*(?P<name>\S*)"), "name").to_pylist()
+            # a batch may hold the end of one file and the start of another
+            places = pa.StructArray.from_arrays([batch.column("file"), pc.shift_right(batch.column("seq_id"), 33)], ["file", "part"]).to_pylist() if len(
+                pc.unique(batch.column("file"))) > 1 else None
+            first = places[0] if places else {"file": batch.column("file")[0].as_py(), "part": batch.column("seq_id")[0].as_py() >> 33}
+            if first != split:
+                split, last = first, None
+            names = []
+            for k, (head, name) in enumerate(zip(heads.to_pylist(), found, strict=True)):
+                if places and places[k] != split:
+                    split, last = places[k], None
+                last = name if head else last
+                names.append(last)
+            yield pa.RecordBatch.from_arrays([*batch.columns, heads, pa.array(names, pa.string())], names=[*batch.schema.names, "head", "chrom"])
+
+    return lines.mapInArrow(run, StructType([*lines.schema.fields, StructField("head", BooleanType()), StructField("chrom", StringType())]))
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, line_no, seq) upper-cased; the name is the first word of the header line.
 
-    A line belongs to the last header before it, found among the headers of its file.
-    Very long lines are cut into pieces.
+    A line belongs to the last header before it in its file. Headers are carried along inside a
+    read split; what a split begins with comes from a table with a row per split, so the work does
+    not grow with headers times lines. Lines before the first header of a file are left out. Very
+    long lines are cut into pieces.
     """
-    numbered = _line_numbers(_numbered(spark, path))
-    heads = numbered.where(F.startswith("text", F.lit(">")))
-    spans = heads.select("file", F.col("line").alias("start"),
-                         F.regexp_extract("text", r"^>\s*(\S+)", 1).alias("chrom"),
-                         F.lead("line").over(Window.partitionBy("file").orderBy("line")).alias("stop"))
-    body = numbered.where(~F.startswith("text", F.lit(">")) & (F.length(F.trim("text")) > 0))
-    # the table of headers has one row per chromosome
-    joined = body.alias("b").join(F.broadcast(spans).alias("s"), (F.col("b.file") == F.col("s.file"))
-                       & (F.col("line") > F.col("start")) & (F.col("stop").isNull() | (F.col("line") < F.col("stop"))))
+    raw = _numbered(spark, path)
+    parts, n_parts = cut_measuring(_parts(raw), F.count("*"))
+    headed = _headed(raw)
+    ends = headed.where("head").groupBy("file", F.shiftright("seq_id", 33).alias("part")).agg(F.max_by("chrom", "seq_id").alias("last"))
+    before = Window.partitionBy("file").orderBy("block", "first").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut(parts.join(ends, ["file", "part"], "left").select("file", "part", F.last("last", ignorenulls=True).over(before).alias("carried")))
+    numbered = _line_numbers(headed, parts, ("part", "head", "chrom")).where(~F.col("head") & (F.length(F.trim("text")) > 0))
+    joined = lookup_join(numbered, carried, ["file", "part"], salt_from=["line"], small=n_parts <= BROADCAST_ROWS)
+    joined = joined.withColumn("chrom", F.coalesce("chrom", "carried")).where("chrom is not null")
     text = F.upper(F.trim("text"))
     pieces = F.transform(F.sequence(F.lit(0), F.expr(f"(length(trim(text)) - 1) div {MAX_LINE}")),
                          lambda i: F.struct(i.alias("piece"), F.substr(text, i * MAX_LINE + 1, F.lit(MAX_LINE)).alias("seq")))

@@ -53,7 +53,10 @@ def test_correlation_and_component(spark, symmetric):
         got[r.i, r.j] = got[r.j, r.i] = r.r
     want = np.corrcoef(symmetric)
     assert np.allclose(got, want)
-    vector = np.array([r.v for r in matrix.eigenvector(corr, iters=24, cut_every=6).orderBy("bin").collect()])
+    vector = np.array([r.v for r in matrix.eigenvector(cells, iters=24, cut_every=6).orderBy("bin").collect()])
+    some = {(r.i, r.j): r.r for r in matrix.pearsons(cells, block=5, rows=(4, 6)).collect()}
+    assert set(some) == {(i, j) for i in range(12) for j in range(i, 12) if 4 <= i < 6 or 4 <= j < 6}
+    assert all(abs(r - want[k]) < 1e-9 for k, r in some.items())
     values, vectors = np.linalg.eigh(want)
     top = vectors[:, np.argmax(np.abs(values))]
     assert abs(abs(vector @ top) - 1) < 0.05
