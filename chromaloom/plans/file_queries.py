@@ -14,7 +14,7 @@ from ..sources import contacts, reports
 from . import flow
 from .inputs import derive
 from .matrix_queries import _LOOPS, _MIRROR, _TYPED, _loops, _matrix, _pixels
-from .pair_queries import _DIST_HIST, _MAPQ_HIST, _SITE_HIST
+from .pair_queries import _DIST_HIST, _MAPQ_HIST, _PHASE, _SITE_HIST
 from .read_queries import _tag
 from .registry import TWINS, query
 from .stages import Stages
@@ -203,7 +203,7 @@ _EXPERIMENT_MATRIX = """select cast(q as int) as q, cast(100000 as bigint) as re
 
 
 def _experiment(spark, d):
-    return flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), _folder(spark, "experiment"), (100_000,))
+    return flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), _folder(spark, "experiment"), (100_000,), norms=("VC",))
 
 
 @query("experiment_statistics", f"with {_UNIQUE_READS}, {_EXPERIMENT_STATISTICS}")
@@ -223,9 +223,9 @@ def experiment_matrix(spark, d):
 def resumed_experiment(spark, d):
     """Matrix of an experiment that is run again: all its stages are read."""
     path = _folder(spark, "resumed")
-    flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,))
+    flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,), norms=("VC",))
     again = Stages(spark, path)
-    found = flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,), stages=again)
+    found = flow.process(derive(spark, d, "alignments"), flow.sites(spark, d), path, (100_000,), norms=("VC",), stages=again)
     counts = {"stages_made": F.lit(len(again.made)).cast("bigint"), "stages_read": F.lit(len(again.read)).cast("bigint")}
     return found["matrix"].select("q", "res", "c1", "c2", "b1", "b2", "n").withColumns(counts)
 
@@ -257,12 +257,13 @@ def merged_experiment_contacts(spark, d):
     return _merged_experiment(spark, d)["contacts"].select("qname", "c1", "p1", "c2", "p2", "q1", "q2")
 
 
-@query("phased_by_chromosome", TWINS["phase_categories"])
+@query("phased_by_chromosome", _PHASE + "select p.c1 as chrom, p.qname, cast(p.p1 as bigint) as p1, p.c2, cast(p.p2 as bigint) as p2, snp1 as snps1, snp2 as snps2, category from phased h join @pairs p on h.qname = p.qname")
 def phased_by_chromosome(spark, d):
-    """Phased pairs written by chromosome and read back."""
+    """Phased pairs written by chromosome and read back, each with the folder it lay in."""
     path = _folder(spark, "phased")
     phasing.write_by_chromosome(phasing.phase_pairs(flow.contact_pairs(spark, d), derive(spark, d, "snps")), path)
-    return phasing.category_counts(spark.read.parquet(path))
+    folder = F.regexp_extract(F.input_file_name(), "/chrom=([^/]+)/", 1)
+    return spark.read.parquet(path).select(folder.alias("chrom"), "qname", "p1", "c2", "p2", "snps1", "snps2", "category")
 
 
 @query("phased_variants_of_sample", """

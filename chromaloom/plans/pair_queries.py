@@ -41,7 +41,7 @@ def _chroms(spark, d):
 
 @query("standard_chromosomes", f"""
 select chrom, replace(chrom, '_', '') as cleaned, count(*) as n from ({_CHROMS}) x
- where regexp_matches(chrom, '^(chr)?[1-9,X,Y,M][0-9,T]?$') group by all""")
+ where regexp_matches(chrom, '{names.STANDARD_CHROMOSOME}') group by all""")
 def standard_chromosomes(spark, d):
     kept = pairs.standard_chromosomes(_chroms(spark, d), ("chrom",))
     return kept.groupBy("chrom", names.clean_chrom(F.col("chrom")).alias("cleaned")).agg(F.count("*").alias("n"))
@@ -449,9 +449,19 @@ def phase_categories(spark, d):
     return phasing.category_counts(phasing.phase_pairs(flow.contact_pairs(spark, d), derive(spark, d, "snps")))
 
 
-@query("parental_contacts", _PHASE + """
-select q.parent, p.qname, p.c1, p.p1, p.f1, p.c2, p.p2, p.f2 from phased h join @pairs p on h.qname = p.qname
- join (values ('maternal'), ('paternal')) as q(parent) on replace(h.category, '_both', '') = q.parent""")
+def _phased_once() -> str:
+    """The same blocks, each step made once, and SNPs met by bins of 64 bp before the exact test."""
+    text = _PHASE
+    for name in ("cand", "ends", "laid", "hit", "phased"):
+        text = text.replace(f"{name} as (", f"{name} as materialized (")
+    return text.replace("select l.*, n.pos as snp", "select l.* exclude (bin), n.pos as snp").replace(
+        "from laid l join @snps n on l.chrom = n.chrom and",
+        "from (select *, unnest(range(cast(start // 64 as bigint), cast((start + len) // 64 + 1 as bigint))) as bin from laid) l join @snps n on l.chrom = n.chrom and n.pos // 64 = l.bin and")
+
+
+@query("parental_contacts", _phased_once() + """
+select replace(h.category, '_both', '') as parent, p.qname, p.c1, p.p1, p.f1, p.c2, p.p2, p.f2 from phased h join @pairs p on h.qname = p.qname
+ where h.category in ('maternal', 'maternal_both', 'paternal', 'paternal_both')""")
 def parental_contacts(spark, d):
     phased = phasing.phase_pairs(flow.contact_pairs(spark, d), derive(spark, d, "snps"))
     parts = [phasing.parental_contacts(phased, p).withColumn("parent", F.lit(p)) for p in ("maternal", "paternal")]

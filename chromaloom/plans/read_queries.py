@@ -222,9 +222,9 @@ def abnormal_records(spark, d):
     return collisions.collect_abnormal(flow.tagged(spark, d)).select("qname", "rec_no", "rname", "pos")
 
 
-_WAYS = """
-with abn as (select qname, list({'chrom': rname, 'pos': pos, 'strand': flag & 16, 'rec_no': rec_no} order by rname, pos, flag & 16, rec_no) as recs,
-  count(*) as k from @tagged where rt = 8 group by qname having bool_and(mapq >= 10 and regexp_matches(rname, '^(chr)?[1-9,X,Y,M][0-9,T]?$')))
+_WAYS = f"""
+with abn as (select qname, list({{'chrom': rname, 'pos': pos, 'strand': flag & 16, 'rec_no': rec_no}} order by rname, pos, flag & 16, rec_no) as recs,
+  count(*) as k from @tagged where rt = 8 group by qname having bool_and(mapq >= 10 and regexp_matches(rname, '{names.STANDARD_CHROMOSOME}')))
 """
 
 
@@ -243,7 +243,7 @@ _FOLD = 40
 @query("collision_duplicates", f"""
 with recursive folded as (select qname, list({{'chrom': rname, 'pos': pos % {_FOLD}, 'strand': flag & 16, 'rec_no': rec_no}}
    order by rname, pos % {_FOLD}, flag & 16, rec_no) as recs from @tagged where rt = 8 group by qname
-  having bool_and(mapq >= 10 and regexp_matches(rname, '^(chr)?[1-9,X,Y,M][0-9,T]?$'))),
+  having bool_and(mapq >= 10 and regexp_matches(rname, '{names.STANDARD_CHROMOSOME}'))),
 keyed as (select qname, list_transform(recs, lambda r: concat(r.strand, r.chrom)) as key, list_transform(recs, lambda r: r.pos) as pos from folded),
 num as (select *, row_number() over (partition by key order by pos, qname) as rn from keyed),
 walk as (select key, rn, qname, [pos] as kept, false as dup from num where rn = 1

@@ -82,13 +82,13 @@ CONTACT_LABELS = (
 )
 
 
+# fixed values: further lines of a report, and the counters that reports are merged by
 READ_TYPE = {False: "Read type: Paired End", True: "Read type: Single End"}
 LIGATION_LABEL = "Ligation Motif Present"
 NOT_KNOWN = "N/A"
 INSERT_LINE = "Average insert size: %.2f"
 BIAS_LINE = " 3' Bias (Long Range): %.0f%% - %.0f%%"
 TYPE_LINE = " Pair Type %%(L-I-O-R): %.0f%% - %.0f%% - %.0f%% - %.0f%%"
-# counters of a report that reports are merged by
 MERGED_LABELS = {
     "Sequenced Read Pairs": "total",
     "One or both reads unmapped": "unmapped",
