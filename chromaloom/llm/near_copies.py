@@ -11,10 +11,11 @@ What a text has alone bounds its likeness to any other: a shingle that no other
 never shared. Texts that have too many of them leave, and pairs are compared only where both
 texts' own shingles leave room for the likeness.
 
-The texts of a band's bucket are compared with some of them, the centres, those with the fewest
-shingles of their own first. Pairs that are already connected need no comparison, and each round
-has eight times as many centres as the one before, until every bucket is connected or compared
-whole: a large class of copies costs a few comparisons a text, not one for each of its pairs.
+The texts of a band's bucket are first compared with a few of them, the centres, those with the
+fewest shingles of their own, so a large class of copies is connected by a few comparisons a text. Texts
+of buckets that are still apart are then joined by prefixes: of two texts that are alike enough, with
+their shingles ordered from rare to common, the first fifth of each has a shingle of the other's. A text
+that is not quite alike a large class has rare shingles enough to meet almost none of it.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ LEAST = (4, 5)
 BANDS = 40
 ROWS = 5
 SEED = 7
-# Times as many centres in each round as in the one before.
-GROWTH = 8
+# Centres of a bucket in each round of comparisons.
+CENTRES = (1, 8)
 # Largest list of longs that is broadcast; it is counted first.
 BROADCAST_LONGS = 1_000_000
 
@@ -150,20 +151,23 @@ def linked(docs: DataFrame, firsts: DataFrame, words: int = WORDS) -> DataFrame:
     sizes = sets.select("set_id", F.size("shingles").cast("long").alias("n")).join(own, "set_id", "left").select(
         "set_id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
     sizes = cut(sizes.where(_room(F.col("n"), F.col("common"), F.col("common"), F.col("common"))))
-    members = members.join(sizes, "set_id")
+    everyone = cut(members.join(sizes, "set_id"))
 
     found = cut(_alike(close, sets))
     compared, roots = close, components(found)
-    centres_each = 1
-    while True:
+
+    def apart(members: DataFrame) -> DataFrame:
+        """Members, with their present roots, of buckets that hold several."""
         named = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_new"))
-        members = cut(members.drop("root").join(named, "set_id", "left").withColumn("root", F.coalesce("_new", "set_id")).drop("_new"))
-        apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
-        members = cut(members.join(apart, "key", "left_semi"))
-        if members.isEmpty():
-            return roots
+        rooted = cut(members.drop("root").join(named, "set_id", "left").withColumn("root", F.coalesce("_new", "set_id")).drop("_new"))
+        several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
+        return cut(rooted.join(several, "key", "left_semi"))
+
+    members = everyone
+    for n_centres in CENTRES:
+        members = apart(members)
         placed = F.row_number().over(Window.partitionBy("key").orderBy(F.col("common").desc(), "set_id"))
-        centres = cut(members.withColumn("_at", placed).where(F.col("_at") <= centres_each).select(
+        centres = cut(members.withColumn("_at", placed).where(F.col("_at") <= n_centres).select(
             "key", F.col("set_id").alias("_set"), F.col("n").alias("_n"), F.col("common").alias("_common"), F.col("root").alias("_root")))
         near = (F.col("root") != F.col("_root")) & _room(F.col("n"), F.col("common"), F.col("_n"), F.col("_common"))
         pairs = members.join(centres, "key").where(near).select(F.least("set_id", "_set").alias("a"), F.greatest("set_id", "_set").alias("b")).distinct()
@@ -172,7 +176,30 @@ def linked(docs: DataFrame, firsts: DataFrame, words: int = WORDS) -> DataFrame:
         found = found.unionByName(cut(_alike(pairs, sets)))
         roots = components(found)
         members = members.join(centres.select("key", F.col("_set").alias("set_id")), ["key", "set_id"], "left_anti")
-        centres_each *= GROWTH
+    # centres come back: a text that is left may be alike one that was compared with others only
+    members = apart(everyone)
+    if members.isEmpty():
+        return roots
+    pairs = cut(_by_prefix(members.select("set_id", "root").distinct(), sets).join(compared, ["a", "b"], "left_anti"))
+    return components(found.unionByName(cut(_alike(pairs, sets))))
+
+
+def _by_prefix(some: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs a, b of ``some(set_id, root)`` of different roots that may be alike enough, all that are among them."""
+    rows = cut(sets.join(some, "set_id").select("set_id", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s")))
+    shared = rows.groupBy("s").agg(F.count("*").alias("df"))
+    order = F.row_number().over(Window.partitionBy("set_id").orderBy("df", "s"))
+    # if n - need + 1 shingles of a set are not shared, less than need are
+    need = F.ceil(F.col("n") * LEAST[0] / LEAST[1])
+    first = rows.join(shared, "s").withColumn("at", order - 1).where((F.col("at") <= F.col("n") - need) & (F.col("df") > 1)).select("s", "set_id", "root", "n", "at")
+    first = cut(first)
+    # the largest class of a shingle is not compared with itself
+    main = first.groupBy("s", "root").agg(F.count("*").alias("m")).groupBy("s").agg(F.max(F.struct("m", "root")).alias("main")).select("s", F.col("main.root").alias("main"))
+    others = first.join(main, "s").where("root != main").select("s", *(F.col(c).alias(f"_{c}") for c in ("set_id", "root", "n", "at")))
+    left = F.least(F.col("n") - F.col("at"), F.col("_n") - F.col("_at"))
+    room = LEAST[1] * left >= LEAST[0] * (F.col("n") + F.col("_n") - left)
+    return first.join(others, "s").where((F.col("root") != F.col("_root")) & room).select(
+        F.least("set_id", "_set_id").alias("a"), F.greatest("set_id", "_set_id").alias("b")).distinct()
 
 
 def _copies(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:

@@ -142,20 +142,21 @@ def edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     name = ["key", "hash"]
     texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("key"), body().alias("text")).withColumn("hash", F.xxhash64("text", F.col("doc_id").isNull()))
     ids = cut(texts.select("doc_id", *name, F.length("text").alias("n")))
-    repeated, n_repeated = cut_measuring(ids.groupBy(*name).agg(F.count("*").alias("times"), F.any_value("n").alias("n")).where("times > 1"), F.count("*"))
+    repeated, n_repeated = cut_measuring(ids.groupBy(*name).agg(F.count("*").alias("times"), F.any_value("n").alias("n"), F.any_value("doc_id").alias("doc_id")).where("times > 1"), F.count("*"))
     if n_repeated:
         texts, ids = texts.dropDuplicates(name), ids.dropDuplicates(name)
     # each document goes to the one before it, with as many code points as that one replaces
     order, total = numbered(ids, [F.col("doc_id").desc_nulls_last(), F.col("hash")], "at")
     order, third = cut(order), F.floor(F.col("n") / 3).cast("int").alias("take")
-    before = order.select(F.pmod(F.col("at") + 1, F.lit(max(total, 1))).alias("at"), F.col("key").alias("to_key"), F.col("hash").alias("to_hash"), third)
-    sent = order.select("at", *name).join(before, "at").select(*name, "to_key", "to_hash", "take", F.lit(1).cast("long").alias("times"))
+    to = [F.col(c).alias(f"to_{c}") for c in (*name, "doc_id")]
+    before = order.select(F.pmod(F.col("at") + 1, F.lit(max(total, 1))).alias("at"), *to, third)
+    sent = order.select("at", *name).join(before, "at").select(*name, "to_key", "to_hash", "to_doc_id", "take", F.lit(1).cast("long").alias("times"))
     if n_repeated:  # all but the last of equal rows go before one of their own kind
-        sent = sent.unionByName(repeated.select(*name, F.col("key").alias("to_key"), F.col("hash").alias("to_hash"), third, (F.col("times") - 1).alias("times")))
+        sent = sent.unionByName(repeated.select(*name, *to, third, (F.col("times") - 1).alias("times")))
     # one exchange of the texts serves both joins
-    own = fingerprints(texts, "text", "_kept", k, w).select("doc_id", *name, "text", hashes("_kept").alias("kept")).hint("shuffle_merge")
+    own = fingerprints(texts, "text", "_kept", k, w).select(*name, "text", hashes("_kept").alias("kept")).hint("shuffle_merge")
     heads = own.join(sent.hint("shuffle_merge"), name).select(
-        F.col("to_key").alias("key"), F.col("to_hash").alias("hash"), F.substring("text", F.lit(1), F.col("take")).alias("head"), F.col("kept").alias("next_kept"), "times")
+        F.col("to_key").alias("key"), F.col("to_hash").alias("hash"), F.col("to_doc_id").alias("doc_id"), F.substring("text", F.lit(1), F.col("take")).alias("head"), F.col("kept").alias("next_kept"), "times")
     joined = own.join(heads.hint("shuffle_merge"), name)
     n = F.length("text")
     changed = joined.select("doc_id", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), "head").alias("edited"), "kept", "next_kept", "times")
