@@ -3,7 +3,8 @@
 Each line is good or bad. Its features are shares of character classes, lengths and repetition,
 of the line itself and of its neighbours. The forward-backward marginals of the lines, weighted by
 their lengths, are the quality of the document. Training reads a bounded sample of labelled
-documents, whose lines take the label of the document; scoring reads whole texts.
+documents, whose lines take the label of the document; scoring reads whole texts, those of very
+many lines in runs, so that beside the text a few numbers a line are held.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ CLASSES = (b" \t\r\x0b\x0c", bytes(range(97, 123)), bytes(range(65, 91)), b"0123
 N_CLASSES = len(CLASSES) + 2
 STEP = 1 << 20
 ROUNDS = 250
+# Lines of a text above which it is scored in runs of as many lines.
+RUN = 10_000
 RATE = 0.05
 DECAY = 1e-3
 
@@ -46,21 +49,24 @@ BYTE_CLASS = _byte_classes()
 SIGNS = np.isin(BYTE_CLASS, [4, 5, 6, 7, 9])
 
 
-def word_features(texts: list[str]) -> np.ndarray:
-    """Per line: share of words equal to the one before, share of different words, and whether the text had the line before."""
+def word_features(texts: list[str], known: set[int] | None = None) -> np.ndarray:
+    """Per line: share of words equal to the one before, share of different words, and whether the text had the line before.
+
+    ``known`` holds hashes of the lines before, if the texts are runs of one; they are added to it.
+    """
     out = []
     for text in texts:
-        seen = set()
+        seen = set() if known is None else known
         for line in text.split("\n"):
             words = line.split()
-            n = len(words) or 1
-            out.append((sum(map(eq, words, words[1:])) / n, len(set(words)) / n, line in seen and bool(words)))
-            seen.add(line)
+            n, mark = len(words) or 1, hash(line)
+            out.append((sum(map(eq, words, words[1:])) / n, len(set(words)) / n, mark in seen and bool(words)))
+            seen.add(mark)
     return np.array(out, float).reshape(-1, 3)
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of the lines of texts one after another, their lengths in bytes, and lines per text.
+def own_features(texts: list[str], known: set[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of the lines of texts by themselves, one after another, their lengths in bytes, and lines per text.
 
     Lines are split at line breaks; a text has one line at least. Bytes are counted in runs of
     bounded size, so a text of any length takes memory for its lines only.
@@ -89,14 +95,33 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     words = counts[:, 0] + 1
     own = np.column_stack([counts / some, doubled / some[:, 0], np.log1p(lengths), np.minimum(lengths / words, 40) / 10,
                            np.minimum(counts[:, 4] / words, 2), np.minimum((counts[:, 5] + counts[:, 6] + counts[:, 7] + counts[:, 8]) / words, 4), lengths == 0])
-    own = np.column_stack([own, word_features(texts)])
+    return np.column_stack([own, word_features(texts, known)]), lengths, n_lines
+
+
+def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of the lines of texts and of their neighbours, their lengths in bytes, and lines per text."""
+    own, lengths, n_lines = own_features(texts)
     # neighbours within the text; lines beyond its ends are all zero
     firsts = np.cumsum(n_lines) - n_lines
     before, after = np.zeros_like(own), np.zeros_like(own)
     before[1:], after[:-1] = own[:-1], own[1:]
     before[firsts] = 0
     after[firsts + n_lines - 1] = 0
-    return np.column_stack([own, before, after, np.ones(total)]).astype(np.float32), lengths, n_lines
+    return np.column_stack([own, before, after, np.ones(len(own))]).astype(np.float32), lengths, n_lines
+
+
+def runs_of(text: str, lines: int) -> Iterator[str]:
+    """A text in runs of ``lines`` lines, without the breaks between them."""
+    at = 0
+    while True:
+        end = at - 1
+        for _ in range(lines):
+            end = text.find("\n", end + 1)
+            if end < 0:
+                yield text[at:]
+                return
+        yield text[at:end]
+        at = end + 1
 
 
 @dataclass
@@ -114,8 +139,54 @@ class Crf:
         good = ((features - self.mean) / self.scale) @ self.weights
         return np.column_stack([np.zeros_like(good), good])
 
+    def _good_lines(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Score of the good state, and length, of each line of a text, from one run of lines at a time."""
+        known: set[int] = set()
+        found, sizes, held, last = [], [], None, None
+
+        def scored(own: np.ndarray, first: np.ndarray | None, then: np.ndarray | None) -> np.ndarray:
+            none = np.zeros((1, own.shape[1]))
+            before = np.concatenate([none if first is None else first, own[:-1]])
+            after = np.concatenate([own[1:], none if then is None else then])
+            return self.states(np.column_stack([own, before, after, np.ones(len(own))]).astype(np.float32))[:, 1]
+
+        for run in runs_of(text, RUN):
+            own, lengths, _ = own_features([run], known)
+            if held is not None:
+                found.append(scored(held, last, own[:1]))
+                last = held[-1:]
+            held = own
+            sizes.append(lengths)
+        found.append(scored(held, last, None))
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _score_long(self, text: str) -> float:
+        """Quality of a text of many lines. With two states a pass holds one number a line: the odds of good."""
+        good, lengths = self._good_lines(text)
+        (a, b), (c, d) = np.exp(self.moves - self.moves.max()).tolist()  # from bad to bad, to good; from good to bad, to good
+        emit = np.exp(np.clip(good, -300, 300)).tolist()
+        forward, f = [], emit[0] * float(np.exp(np.clip(self.starts[1] - self.starts[0], -300, 300)))
+        forward.append(f)
+        for e in emit[1:]:
+            f = min(max(e * (b + d * f) / (a + c * f), 1e-300), 1e300) if f < 1e200 else e * d / c if c else 1e300
+            forward.append(f)
+        total, s, weights = 0.0, 1.0, (lengths + 1.0).tolist()
+        for t in range(len(emit) - 1, -1, -1):
+            odds = forward[t] * s
+            total += weights[t] * (odds / (1 + odds) if odds < 1e300 else 1.0)
+            es = emit[t] * s
+            s = (c + d * es) / (a + b * es) if es < 1e200 else d / b if b else 1e300
+        return min(max(total / sum(weights), 0.0), 1.0) ** self.power
+
     def score(self, texts: list[str]) -> np.ndarray:
         """Quality of each text, from 0 to 1."""
+        long = np.array([t.count("\n") >= RUN for t in texts], bool)
+        if long.any():
+            out = np.empty(len(texts))
+            out[long] = [self._score_long(t) for t, x in zip(texts, long, strict=True) if x]
+            if not long.all():
+                out[~long] = self.score([t for t, x in zip(texts, long, strict=True) if not x])
+            return out
         features, lengths, n_lines = line_features(texts)
         good = marginals(self.states(features), n_lines, self.moves, self.starts)[0][:, 1]
         weights = lengths + 1.0
@@ -206,7 +277,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Crf:
     """Model of ``labels(doc_id, quality)`` over ``docs(doc_id, text)``.
 
     Of each label the ``sample`` ids that hash lowest are learnt from, without held-out ids; their
-    texts come to the driver, whatever the size of the tables. Null labels and ids are left out; a
+    texts come to the driver, whatever the size of the tables; its memory holds the texts of so many
+    documents, however long they are. Null labels and ids are left out; a
     document labelled more than once counts once. Without documents of both labels the model says
     1 for every text.
     """

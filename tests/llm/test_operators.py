@@ -468,6 +468,26 @@ def test_crf_held_out_accuracy(spark):
     assert {r.predicted for r in line_crf.scores(frame(spark), none).collect()} == {1}
 
 
+def test_crf_scores_long_texts_in_runs(monkeypatch):
+    """Texts of many lines get the scores they get whole, from a few numbers a line."""
+    rng = np.random.default_rng(3)
+    lines = ["good words in a line of some length here", "!!! $$$ ### win win win", "", "x", "The end of it, then."]
+    texts = ["\n".join(rng.choice(lines, n)) for n in (1, 2, 5, 6, 31, 200, 47)]
+    model = line_crf.train(texts, np.array([0, 1, 0, 1, 0, 1, 1]), 20)
+    whole = model.score(texts)
+    for run in (1, 3, 7, 46):
+        monkeypatch.setattr(line_crf, "RUN", run)
+        assert np.allclose(model.score(texts), whole, atol=1e-9)
+    assert [t for t in line_crf.runs_of("a\nb\n\nc\n", 2)] == ["a\nb", "\nc", ""]
+    monkeypatch.setattr(line_crf, "RUN", 3)
+    sure = line_crf.Crf(model.weights, np.array([[0.0, 60], [0, 60]]), np.array([0.0, 60]), model.mean, model.scale)
+    assert np.allclose(sure.score(texts), 1)
+    monkeypatch.setattr(line_crf, "RUN", 10_000)
+    start = time.process_time()
+    assert 0 <= model.score(["\n".join(lines * 60_000)])[0] <= 1
+    assert time.process_time() - start < 20
+
+
 # archive
 
 def test_archive(spark, tmp_path):
