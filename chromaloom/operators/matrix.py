@@ -145,6 +145,61 @@ def _balanced(matrix: DataFrame, iters: int, min_total: float, cut_every: int) -
     return x.withColumn("v", 1.0 / F.col("x"))
 
 
+# Balancing by Newton steps: largest residual, steps, and rounds of the solver inside a step.
+TOLERANCE = 1e-6
+NEWTON_STEPS = 30
+SOLVER_ROUNDS = 8
+# Contacts of the sparsest row that is kept over those of the mean row.
+LEAST_SHARE = 0.1
+
+
+def balanced(matrix: DataFrame, tolerance: float = TOLERANCE, least_share: float = LEAST_SHARE, steps: int = NEWTON_STEPS, rounds: int = SOLVER_ROUNDS) -> DataFrame:
+    """Balancing that ends when it has converged: (res, chrom, bin, v, residual, steps).
+
+    x with all row sums of diag(x) M diag(x) equal to 1 is where the convex function x' M x / 2 -
+    sum(log x) is least. Each step solves Newton's equation for log x by conjugate gradients, with
+    the row sums as preconditioner; a product with M is one join and one grouped sum. Maps are
+    solved side by side; one whose largest deviation from 1 is below ``tolerance`` stays as it is,
+    and the rounds end when all are. ``residual`` is that deviation, per map, as it is in the end. Sparse
+    rows, whose contacts are less than ``least_share`` of the mean row's, are left out: with them a map
+    may have no balance at all. Factors are 1 / x.
+    """
+    place, per_map = ["res", "chrom", "i"], Window.partitionBy("res", "chrom")
+    full = cut(mirrored(matrix))
+    sums = full.groupBy(*place).agg(F.sum("n").cast("double").alias("t")).withColumn("mean", F.avg("t").over(per_map))
+    dense, n_rows = cut_measuring(sums.where(F.col("t") >= least_share * F.col("mean")).select(*place), F.count("*"))
+    full = cut(full.join(dense, place, "left_semi").join(dense.withColumnRenamed("i", "j"), ["res", "chrom", "j"], "left_semi"))
+    totals = full.groupBy(*place).agg(F.sum("n").cast("double").alias("t"))
+    small = n_rows <= BROADCAST_ROWS
+
+    def times(df: DataFrame, y: Column, name: str) -> DataFrame:
+        """``df`` (a written table) with the product of the map and the column ``y`` of it."""
+        vector = df.select("res", "chrom", F.col("i").alias("j"), y.alias("_y"))
+        sums = lookup_join(full, vector, ["res", "chrom", "j"], "inner", salt_from=["i"], small=small).groupBy(*place).agg(F.sum(F.col("n") * F.col("_y")).alias(name))
+        return df.join(sums, place, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+
+    def dot(a: str, b: str) -> Column:
+        return F.sum(F.col(a) * F.col(b)).over(per_map)
+
+    x = cut(totals.select(*place, (1.0 / F.sqrt("t")).alias("x"), F.lit(0).alias("steps")))
+    for done in range(steps + 1):
+        at = times(x, F.col("x"), "m").withColumn("s", F.col("x") * F.col("m")).drop("m")
+        at = at.withColumn("residual", F.max(F.abs(F.col("s") - 1)).over(per_map)).withColumn("open", F.col("residual") > tolerance)
+        state = cut(at.withColumns({"r": F.when(F.col("open"), 1 - F.col("s")).otherwise(0.0), "d": F.lit(0.0)}).withColumn("z", F.col("r") / F.col("s"))
+                    .withColumns({"p": F.col("z"), "rz": dot("r", "z")}))
+        if done == steps or state.where("open").isEmpty():
+            return state.select("res", "chrom", F.col("i").alias("bin"), (1.0 / F.col("x")).alias("v"), "residual", "steps")
+        for _ in range(rounds):
+            moved = times(state, F.col("x") * F.col("p"), "m").withColumn("q", F.col("s") * F.col("p") + F.col("x") * F.col("m")).drop("m")
+            moved = moved.withColumn("a", F.coalesce(F.try_divide(F.col("rz"), dot("p", "q")), F.lit(0.0)))
+            moved = moved.withColumns({"d": F.col("d") + F.col("a") * F.col("p"), "r": F.col("r") - F.col("a") * F.col("q")}).withColumn("z", F.col("r") / F.col("s"))
+            moved = moved.withColumn("next", dot("r", "z")).withColumn("p", F.col("z") + F.coalesce(F.try_divide(F.col("next"), F.col("rz")), F.lit(0.0)) * F.col("p"))
+            state = cut(moved.withColumn("rz", F.col("next")).drop("q", "a", "next"))
+        # far from the solution a whole step may overshoot
+        step = F.greatest(F.least("d", F.lit(1.0)), F.lit(-1.0))
+        x = cut(state.select(*place, (F.col("x") * F.exp(step)).alias("x"), (F.col("steps") + F.col("open").cast("int")).alias("steps")))
+
+
 def apply_norm(matrix: DataFrame, norm: DataFrame, rescale: bool = True, within: bool = True) -> DataFrame:
     """Add ``value`` = n / (v_i v_j) per pixel, scaled to the total of its chromosome pair.
 

@@ -123,6 +123,22 @@ ex as (select p.d, coalesce(total, 0) as total, possible, coalesce(total, 0) / c
 """
 
 
+# without sparse rows, plain rounds until nothing moves any more
+_CONVERGED = _rounds(60, "select chrom, i, 1 / sqrt(sum(n)) as x from fl group by all",
+                     "select v.chrom, v.i, v.x / sqrt(v.x * s.s) as x from {x} v join (select f.chrom, f.i, sum(f.n * w.x) as s from fl f"
+                     " join {x} w on w.chrom = f.chrom and w.i = f.j group by all) s on s.chrom = v.chrom and s.i = v.i")
+
+
+@query("converged_balance", f"""
+with {_mirror(500_000)}, kept as (select chrom, i from rs qualify total >= 0.1 * avg(total) over (partition by chrom)),
+fl as materialized (select f.* from full_ f join kept a on a.chrom = f.chrom and a.i = f.i join kept b on b.chrom = f.chrom and b.i = f.j), {_CONVERGED}
+select chrom, cast(i as bigint) as bin, round(1 / x, 3) as v, true as converged from x60""")
+def converged_balance(spark, d):
+    """Balancing that ends by its residual."""
+    found = matrix.balanced(cut(_matrix(spark, d, (500_000,))), tolerance=1e-9)
+    return found.select("chrom", "bin", F.round("v", 3).alias("v"), (F.col("residual") < 1e-9).alias("converged"))
+
+
 @query("expected_by_distance", f"""
 with {_MIRROR}, {_EXPECTED} select cast(d as bigint) as d, cast(total as bigint) as total, cast(possible as bigint) as possible, round(expected, 6) as expected from ex""")
 def expected_by_distance(spark, d):
