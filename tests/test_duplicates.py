@@ -82,11 +82,11 @@ def test_pcr_wins_when_marked_by_both(spark):
 
 def test_group_duplicates_need_all_positions(spark):
     def group(name, *positions, strand=0):
-        return (name, len(positions), [("chr1", p, strand, i, 60, "50M") for i, p in enumerate(positions)])
+        return (name, len(positions), 0, [("chr1", p, strand, i, 60, "50M") for i, p in enumerate(positions)])
 
     rows = [group("a", 100, 5000, 90000), group("b", 103, 5004, 89997), group("c", 100, 5005, 90000),
             group("d", 100, 5000, 90000, strand=16), group("e", 100, 5000)]
-    df = spark.createDataFrame(rows, "qname string, k long, recs array<struct<chrom:string,pos:long,strand:int,rec_no:int,mapq:int,cigar:string>>")
+    df = spark.createDataFrame(rows, "qname string, k long, part long, recs array<struct<chrom:string,pos:long,strand:int,rec_no:int,mapq:int,cigar:string>>")
     dup = {r.qname for r in collisions.dedup_groups(df).where("is_dup").collect()}
     assert dup == {"b"}
 
@@ -138,3 +138,29 @@ def test_selection_by_strength(spark):
             want.append(p)
     got = greedy.select(df, ["key"], 2, 8, [F.col("rep").desc(), F.col("pos")]).collect()
     assert sorted(tuple(r.pos) for r in got) == sorted(want)
+
+
+def test_groups_of_several_rows_have_the_same_verdicts(spark, monkeypatch):
+    """Names with more records than a row holds: all their records in order, and verdicts as for short ones."""
+    rng = random.Random(5)
+    rows = []
+    for base in range(6):
+        spots = sorted(rng.sample(range(1000, 90_000, 50), 7))
+        for copy in range(5):
+            shift = [copy * 2 + (copy == 3) * rng.randint(0, 1) if copy < 4 else 9 for _ in spots]
+            rows += [(f"g{base}{copy}", i + 1, 16 * (base % 2), "chr1", p + d, 60, "50M") for i, (p, d) in enumerate(zip(spots, shift))]
+    rows += [("few", i, 0, "chr2", 100 * i, 60, "50M") for i in (1, 2)] + [("low", i, 0, "chr2", 100 * i, 1 + i, "50M") for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "qname string, rec_no int, flag int, rname string, pos long, mapq int, cigar string")
+    whole = collisions.abnormal_groups(df)
+    want = {r.qname: r.is_dup for r in collisions.dedup_groups(whole).collect()}
+    recs = {r.qname: r.recs for r in whole.collect()}
+    assert any(want.values()) and not all(want.values())
+    for most in (3, 6):
+        monkeypatch.setattr(collisions, "MAX_WAYS", most)
+        groups = collisions.abnormal_groups(df)
+        got = {}
+        for r in sorted(groups.collect(), key=lambda r: r.part):
+            got.setdefault(r.qname, []).extend(r.recs)
+            assert len(r.recs) <= most and r.k == len(recs[r.qname])
+        assert got == recs
+        assert {r.qname: r.is_dup for r in collisions.dedup_groups(groups).collect()} == want
