@@ -257,6 +257,25 @@ def merged_experiment_contacts(spark, d):
     return _merged_experiment(spark, d)["contacts"].select("qname", "c1", "p1", "c2", "p2", "q1", "q2")
 
 
+def _diploid(spark, d):
+    path = _folder(spark, "linked")
+    flow.linked(spark, d).write.parquet(path)
+    records = spark.read.parquet(path)
+    return flow.diploid(records, flow.homologs(records), _folder(spark, "diploid"), (100_000,))
+
+
+@query("diploid_experiment", TWINS["homolog_matrices"])
+def diploid_experiment(spark, d):
+    """Matrices of each homolog from a diploid experiment's stages."""
+    return _diploid(spark, d)["homolog_matrices"].select("res", "homolog", "c1", "b1", "b2", "n")
+
+
+@query("diploid_experiment_tracks", TWINS["diploid_tracks"])
+def diploid_experiment_tracks(spark, d):
+    """Accessibility by homolog from a diploid experiment's stages."""
+    return _diploid(spark, d)["diploid_tracks"]
+
+
 @query("phased_by_chromosome", _PHASE + "select p.c1 as chrom, p.qname, cast(p.p1 as bigint) as p1, p.c2, cast(p.p2 as bigint) as p2, snp1 as snps1, snp2 as snps2, category from phased h join @pairs p on h.qname = p.qname")
 def phased_by_chromosome(spark, d):
     """Phased pairs written by chromosome and read back, each with the folder it lay in."""

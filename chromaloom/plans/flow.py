@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import duplicates, fragments, matrix, pairs, reads, statistics
+from ..operators import duplicates, fragments, matrix, pairs, reads, statistics, tracks
 from . import inputs
 from .stages import Stages, of_input
 
@@ -159,3 +159,24 @@ def merge(experiments: list[dict[str, DataFrame]], path: str, norms: tuple[str,
         "matrix": maps,
         "norm": stages.table("norm", (stages.stage("matrix"), list(norms)), lambda: _norms(maps, levels, norms)),
     }
+
+
+def diploid(records: DataFrame, homologs_: DataFrame, path: str, resolutions=matrix.RESOLUTIONS, platform: str = "ILLUMINA",
+            stages: Stages | None = None) -> dict[str, DataFrame]:
+    """A diploid experiment from tagged ``records`` with mates and a read-to-homolog map ``homologs_``.
+
+    Contacts within homologs, the matrix of all homologs and one set of matrices for each of the two, and accessibility
+    tracks, of all reads and by homolog (raw and corrected). Results are stages under ``path`` like
+    those of ``process``.
+    """
+    stages = stages or Stages(records.sparkSession, path)
+    made_from = (of_input(records), of_input(homologs_))
+    contacts = stages.table("homolog_contacts", made_from, lambda: tracks.assign_homologs(records, homologs_))
+    of_contacts = (stages.stage("homolog_contacts"), list(resolutions))
+    return {
+        "contacts": contacts,
+        "matrix": stages.table("diploid_matrix", of_contacts, lambda: matrix.homolog_matrices(contacts, resolutions)),
+        "homolog_matrices": stages.table("homolog_matrices", of_contacts, lambda: matrix.homolog_matrices(contacts, resolutions, separate=True)),
+        "track": stages.table("track", (made_from[0], platform), lambda: tracks.accessibility(records, platform)),
+        "diploid_tracks": stages.table("diploid_tracks", (*made_from, platform), lambda: tracks.diploid_accessibility(records, homologs_, platform)),
+    }

@@ -68,3 +68,16 @@ def test_merged_experiments_add_up(spark, tmp_path):
     again = Stages(spark, str(tmp_path / "merged"))
     flow.merge(parts, str(tmp_path / "merged"), norms=("VC",), stages=again)
     assert not again.made and len(stages.made) == 5
+
+
+def test_diploid_stages(spark, tmp_path):
+    records = str(tmp_path / "linked")
+    flow.linked(spark, SF).write.parquet(records)
+    linked = spark.read.parquet(records)
+    runs = []
+    for _ in range(2):
+        stages = Stages(spark, str(tmp_path / "diploid"))
+        found = flow.diploid(linked, flow.homologs(linked), str(tmp_path / "diploid"), RES, stages=stages)
+        runs.append({k: rows(v) for k, v in found.items()})
+    assert runs[0] == runs[1] and len(stages.read) == 5 and not stages.made
+    assert found["homolog_matrices"].agg(F.sum("n")).first()[0] == found["matrix"].agg(F.sum("n")).first()[0] == found["contacts"].count() * len(RES)
