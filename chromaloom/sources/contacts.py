@@ -64,10 +64,11 @@ def pairs_header(spark: SparkSession, path: str) -> DataFrame:
 def parse_sites(lines: DataFrame) -> DataFrame:
     """(chrom, idx, pos) from lines of a chromosome name and its sorted positions."""
     cols = F.split(F.trim("text"), r"\s+")
-    return lines.where("trim(text) <> ''").select(
-        names.clean_chrom(F.get(cols, F.lit(0))).alias("chrom"),
-        F.posexplode(F.slice(cols, 2, F.size(cols))).alias("i", "text_pos"),
-    ).select("chrom", F.col("i").cast("bigint").alias("idx"), F.col("text_pos").cast("bigint").alias("pos"))
+    # a line is taken apart below the generator, once, and not again for each of its positions
+    parted = lines.where("trim(text) <> ''").select(
+        names.clean_chrom(F.regexp_extract(F.trim("text"), r"^\S*", 0)).alias("chrom"), F.slice(cols, 2, F.size(cols)).alias("sites"))
+    return parted.select("chrom", F.posexplode("sites").alias("i", "text_pos")).select(
+        "chrom", F.col("i").cast("bigint").alias("idx"), F.col("text_pos").cast("bigint").alias("pos"))
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:

@@ -202,3 +202,14 @@ def test_redo_reasons(spark):
     stats = spark.createDataFrame([("a", 10, 4, 6), ("b", 10, 4, 5), ("c", 0, 0, 0)], "split string, total long, unmapped long, normal long")
     inputs = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "split string")
     assert {r.split: r.reason for r in quality.splits_to_redo(inputs, stats).collect()} == {"b": "inconsistent", "c": "empty", "d": "absent"}
+
+
+def test_long_site_lines_are_taken_apart_once(spark):
+    lines = spark.range(2).select(F.concat(F.lit("chr_"), (F.col("id") + 1).cast("string"), F.lit(" "), F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: (i * 7).cast("string")), " ")).alias("text"))
+    found = contacts.parse_sites(lines)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # nothing above the generator works on the text
+    assert "split" not in plan[:plan.index("Generate")] and "text" not in plan[:plan.index("Generate")].replace("text_pos", "")
+    got = found.groupBy("chrom").agg(F.count("*").alias("n"), F.count_if(F.col("pos") == (F.col("idx") + 1) * 7).alias("right")).collect()
+    assert {(r.chrom, r.n, r.right) for r in got} == {("chr1", 20_000, 20_000), ("chr2", 20_000, 20_000)}
