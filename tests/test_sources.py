@@ -213,3 +213,12 @@ def test_long_site_lines_are_taken_apart_once(spark):
     assert "split" not in plan[:plan.index("Generate")] and "text" not in plan[:plan.index("Generate")].replace("text_pos", "")
     got = found.groupBy("chrom").agg(F.count("*").alias("n"), F.count_if(F.col("pos") == (F.col("idx") + 1) * 7).alias("right")).collect()
     assert {(r.chrom, r.n, r.right) for r in got} == {("chr1", 20_000, 20_000), ("chr2", 20_000, 20_000)}
+
+
+def test_bins_know_the_sites_around_them_without_frames_to_the_end(spark):
+    cuts = spark.createDataFrame([("chr1", i, p) for i, p in enumerate((3, 9, 130, 700))], "chrom string, idx long, pos long")
+    bins = fragments.site_bins(cuts, 64)
+    # a frame that reaches to the end is gone through again for every row
+    assert "unboundedfollowing" not in bins._jdf.queryExecution().optimizedPlan().toString().lower()
+    got = {r.bin: (r.inside, r.base, r.low, r.high) for r in bins.collect()}
+    assert got[0] == ([3, 9], 0, None, 130) and got[1] == ([], 2, 9, 130) and got[2] == ([130], 2, 9, 700) and got[10] == ([700], 3, 130, None)
