@@ -205,7 +205,7 @@ with c as (select homolog as c1, min(ip) as p1, max(ip) as p2 from @linked l joi
  where rt between 0 and 5 and rnext in ('=', '*') group by l.qname, homolog having count(*) = 2)
 select cast(100000 as bigint) as res, right(c1, 1) as homolog, left(c1, -2) as c1, cast(p1 // 100000 as bigint) as b1, cast(p2 // 100000 as bigint) as b2, count(*) as n from c group by all""")
 def homolog_matrices(spark, d):
-    records = flow.linked(spark, d)
+    records = cut(flow.linked(spark, d))
     contacts = tracks.assign_homologs(records, flow.homologs(records))
     return matrix.homolog_matrices(contacts, (100_000,), separate=True).select("res", "homolog", "c1", "b1", "b2", "n")
 

@@ -132,7 +132,7 @@ select qname, {_shift(1, 2)}, {_shift(2, 1)} from @classified join (select split
  coalesce(sum(case when {_INNER} then p2 - p1 end), 0) / greatest(count_if({_INNER}), 1) as avg_insert from @classified group by split) using (split)
 where status in ('normal', 'chimeric')""")
 def adjust_insert_size(spark, d):
-    found = flow.classified(spark, d)
+    found = cut(flow.classified(spark, d))
     sizes = cut(reads.insert_size(found))
     return reads.adjust_insert_size(reads.accepted(found), sizes).select("qname", "ip1", "ip2")
 
@@ -186,7 +186,7 @@ select l.qname, homolog as c1, cast(min_by(ip, rt) as bigint) as p1, cast(max_by
 from @linked l join @phased_reads p on l.qname = p.qname and l.rname = p.rname
 where rt between 0 and 5 and rnext in ('=', '*') group by l.qname, homolog having count(*) = 2""")
 def assign_homologs(spark, d):
-    records = flow.linked(spark, d)
+    records = cut(flow.linked(spark, d))
     return tracks.assign_homologs(records, flow.homologs(records)).select("qname", "c1", "p1", "p2")
 
 
