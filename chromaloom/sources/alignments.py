@@ -97,9 +97,11 @@ def _parts(lines: DataFrame) -> DataFrame:
 def _line_numbers(lines: DataFrame, parts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Number lines per file: rank inside a read split plus the lines of earlier splits."""
     before = Window.partitionBy("file").orderBy("block", "first").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (_parts(lines) if parts is None else parts).select("file", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    parts, n_parts = cut_measuring(_parts(lines) if parts is None else parts, F.count("*"))
+    bases = parts.select("file", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     tagged = lines.withColumn("part", F.shiftright("seq_id", 33))
-    return (tagged.join(bases, ["file", "part"])
+    # a split's lines stay where they were read
+    return (lookup_join(tagged, bases, ["file", "part"], "inner", salt_from=["seq_id"], small=n_parts <= BROADCAST_ROWS)
             .select("file", "text", (F.col("base") + F.col("seq_id") - F.col("first")).alias("line"), *keep))
 
 

@@ -222,3 +222,12 @@ def test_bins_know_the_sites_around_them_without_frames_to_the_end(spark):
     assert "unboundedfollowing" not in bins._jdf.queryExecution().optimizedPlan().toString().lower()
     got = {r.bin: (r.inside, r.base, r.low, r.high) for r in bins.collect()}
     assert got[0] == ([3, 9], 0, None, 130) and got[1] == ([], 2, 9, 130) and got[2] == ([130], 2, 9, 700) and got[10] == ([700], 3, 130, None)
+
+
+def test_lines_of_a_split_are_numbered_where_they_were_read(spark, tmp_path):
+    for name in ("a", "b"):
+        with gzip.open(tmp_path / f"{name}.gz", "wt") as f:
+            f.write("".join(f"@{name}{i}\n{'ACGT'[i % 4] * 3}\n+\nIII\n" for i in range(50)))
+    found = alignments.read_fastq(spark, str(tmp_path))
+    assert sorted((r.read_no, r.seq1) for r in found.collect()) == sorted(2 * [(i, "ACGT"[i % 4] * 3) for i in range(50)])
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
