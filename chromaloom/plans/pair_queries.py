@@ -201,7 +201,7 @@ def _flowcell_pairs(spark, d):
     name = F.concat_ws(":", F.concat(F.lit("M"), part[0], F.lit("-"), part[1]), F.concat(part[2], F.lit("-"), part[3]),
                        F.lit("FC"), (F.col("q1") % 2).cast("string"), (F.col("q2") % 2).cast("string"),
                        (F.col("s1") + F.col("q1") * 2).cast("string"), (F.col("s2") + F.col("q2") * 2).cast("string"))
-    return flow.contact_pairs(spark, d).withColumn("qname", name)
+    return flow.contact_pairs(spark, d).select(name.alias("qname"), *pairs.BLOCK, "p1", "p2")
 
 
 _OPTICAL = f"""

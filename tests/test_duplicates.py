@@ -164,3 +164,20 @@ def test_groups_of_several_rows_have_the_same_verdicts(spark, monkeypatch):
             assert len(r.recs) <= most and r.k == len(recs[r.qname])
         assert got == recs
         assert {r.qname: r.is_dup for r in collisions.dedup_groups(groups).collect()} == want
+
+
+def test_verdicts_are_the_same_however_the_kept_rows_are_joined(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(f"A:1:F:1:1:{rng.randrange(90)}:{rng.randrange(90)}" if i % 3 else f"q{i}", "chr1" if i % 17 else None, rng.randrange(25), rng.randrange(25)) for i in range(300)]
+    df = spark.createDataFrame([*rows, *rows[:20], (None, "chr1", 3, 3)], "qname string, c string, p1 long, p2 long")
+    for kwargs in ({"exact": True}, {}, {"optical": True}):
+        found = []
+        for limit in (10**6, 0):  # sent to the pairs, then shuffled, markers of cells with many duplicates apart
+            monkeypatch.setattr(duplicates, "KEPT_ROWS", limit)
+            monkeypatch.setattr(duplicates, "MARKER_ROWS", limit)
+            monkeypatch.setattr(duplicates, "HOT_CELL", 5)
+            got = duplicates.dedup(df, key=["c"], **kwargs)
+            if kwargs.get("exact"):
+                assert ("SortMergeJoin" not in got._jdf.queryExecution().optimizedPlan().toString()) and ("broadcast" in got._jdf.queryExecution().optimizedPlan().toString()) == (limit > 0)
+            found.append(sorted(map(str, got.collect())))
+        assert found[0] == found[1] and len(found[0]) == 321
