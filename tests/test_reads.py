@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from chromaloom.functions import cigar as cg
 from chromaloom.operators import reads
 
@@ -130,3 +131,13 @@ def test_base_at(spark, cigar, target, want):
     df = spark.createDataFrame([(cigar, "ABCDEFGH")], "cigar string, seq string")
     got = df.select(cg.base_at(F.col("cigar"), F.col("seq"), F.lit(100), F.lit(target)).alias("b")).collect()[0].b
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["adjust_insert_size", "assign_homologs", "homolog_matrices"])
+def test_reads_are_classified_once_and_stored(spark, tmp_path, name):
+    spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), (F.col("id") * 1.7).alias("value")).write.parquet(
+        str(tmp_path / "events.parquet"))
+    found = entry.queries()[name](spark, str(tmp_path))
+    # the records of a read are gathered before, not in the plan that uses the verdicts
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert not found.isEmpty()
