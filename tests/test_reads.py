@@ -141,3 +141,10 @@ def test_reads_are_classified_once_and_stored(spark, tmp_path, name):
     # the records of a read are gathered before, not in the plan that uses the verdicts
     assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert not found.isEmpty()
+
+
+def test_clips_of_records_without_any_are_not_cast(spark):
+    rows = [("10S40M", 10, 0), ("40M7H", 0, 7), ("50M", 0, 0), ("*", 0, 0), ("", 0, 0), (None, 0, 0), ("99999999999999999999S1M", 0, 0)]
+    found = spark.createDataFrame(rows, "cigar string, lead long, trail long").select("*", cg.lead_clip(F.col("cigar")).alias("a"), cg.trail_clip(F.col("cigar")).alias("b"))
+    assert all((r.a, r.b) == (r.lead, r.trail) for r in found.collect())
+    assert found._jdf.queryExecution().analyzed().toString().count("nullif") == 2
